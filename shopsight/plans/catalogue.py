@@ -29,7 +29,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from shopsight.plans import q_rfm  # noqa: F401
+    from shopsight.plans import (  # noqa: F401
+        q_clean,
+        q_rfm,
+    )
 
 
 # The two engines may disagree by one float step on values that lie exactly
