@@ -31,6 +31,10 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from shopsight.plans import (  # noqa: F401
         q_clean,
+        q_features,
+        q_kpi,
+        q_lifecycle,
+        q_profile,
         q_rfm,
     )
 
