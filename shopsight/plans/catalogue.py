@@ -34,6 +34,7 @@ def load_all() -> None:
         q_features,
         q_kpi,
         q_lifecycle,
+        q_models,
         q_profile,
         q_rfm,
     )
