@@ -360,14 +360,19 @@ def content_based(
 
 
 def hybrid(
-    collaborative: DataFrame, content: DataFrame, n: int = 5, cf_weight: float = 0.6, content_weight: float = 0.4
+    collaborative: DataFrame,
+    content: DataFrame,
+    n: int = 5,
+    cf_weight: float = 0.6,
+    content_weight: float = 0.4,
+    keep: int | None = None,
 ) -> DataFrame:
-    """Min-max scaled scores of both lists (top 2n each), weighted; a missing score counts 0."""
+    """Min-max scaled scores of both lists (top ``keep`` each, default 2n), weighted; a missing score counts 0."""
 
     def scaled(df: DataFrame, name: str) -> DataFrame:
-        w = Window.partitionBy("user")  # at most 2n rows per user
+        w = Window.partitionBy("user")  # at most ``keep`` rows per user
         low, high = F.min("score").over(w), F.max("score").over(w)
-        return top_n(df.select("user", "item", "score"), 2 * n).select(
+        return top_n(df.select("user", "item", "score"), keep or 2 * n).select(
             "user", "item", ((F.col("score") - low) / (high - low + EPSILON)).alias(name)
         )
 

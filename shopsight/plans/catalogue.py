@@ -36,7 +36,9 @@ def load_all() -> None:
         q_lifecycle,
         q_models,
         q_profile,
+        q_recommend,
         q_rfm,
+        q_sources,
     )
 
 

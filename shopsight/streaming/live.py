@@ -27,7 +27,8 @@ def live_key_figures(
     Works on a stream and on a bounded table alike.
     """
     return (
-        events.withWatermark(ts, late)
+        events.withColumn(ts, F.col(ts).cast("timestamp"))
+        .withWatermark(ts, late)
         .groupBy(F.window(ts, width).alias("window"))
         .agg(F.sum(amount).alias("revenue"), F.count(F.lit(1)).alias("orders"), F.avg(amount).alias("avg_order_value"))
         .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "revenue", "orders", "avg_order_value")
