@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from shopsight.operators import metrics as M
 from shopsight.operators.clean import impute
 from shopsight.operators.sampling import hash_split
+from shopsight.operators.similarity import empty_frame
 from shopsight.schemas import numeric_columns
 from shopsight.session import materialize
 
@@ -326,7 +327,7 @@ def nearest_neighbours(
         mask = pdf["is_query"].to_numpy()
         qs, ts = pdf[mask].sort_values("id"), pdf[~mask].sort_values("id")
         if not len(qs) or not len(ts):
-            return pd.DataFrame({f.name: [] for f in schema.fields})
+            return empty_frame(schema)
         tv = np.stack(ts["v"].to_numpy())
         out = []
         for part in _slices(qs, 256):

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from shopsight.session import materialize
 
 MAX_CELLS = 4096
-ROWS_PER_CELL = 200_000
+ROWS_PER_CELL = 1_000_000
 _SAMPLE_PER_CELL = 24
 
 
@@ -147,12 +147,17 @@ def value_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (
 
 
 def _ranked_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str], rows_per_cell: int) -> DataFrame:
-    """Histogram rows with the 1-based rank range they cover: ``first_rank``, ``last_rank``, ``n``."""
+    """Histogram rows with the 1-based rank range they cover: ``first_rank``, ``last_rank``, ``n``.
+
+    ``df`` must be materialised.
+    """
     group = [*by, "column"]
-    cum = running_totals(
-        value_histogram(df, columns, by), [*group, "value"], {"_cum": F.col("cnt")}, rows_per_cell
-    )
-    cum = materialize(cum)
+    hist = value_histogram(df, columns, by)
+    if df.count() <= rows_per_cell:
+        w = Window.partitionBy(*group)
+        placed = hist.withColumns({"last_rank": F.sum("cnt").over(w.orderBy("value")), "n": F.sum("cnt").over(w)})
+        return placed.withColumn("first_rank", F.col("last_rank") - F.col("cnt") + 1)
+    cum = materialize(running_totals(hist, [*group, "value"], {"_cum": F.col("cnt")}, rows_per_cell))
     sizes = cum.groupBy(*group).agg(
         F.sum("cnt").alias("n"), F.min(F.col("_cum") - F.col("cnt")).alias("_base")
     )
@@ -185,7 +190,7 @@ def quantiles(
     one task. NULLs are ignored.
     """
     df = materialize(df.select(*by, *[F.col(c).cast("double").alias(c) for c in dict.fromkeys(columns)]))
-    if df.count() <= rows_per_cell:
+    if df.count() <= rows_per_cell // 2:
         return _quantiles_of_few(df, columns, probs, by)
     ranked = _ranked_histogram(df, columns, by, rows_per_cell)
     aggs = []
@@ -330,6 +335,7 @@ def _edge_keys(df: DataFrame, key: str, edges: dict, rows_per_cell: int) -> dict
 
 def average_ranks(df: DataFrame, columns: Sequence[str], rows_per_cell: int = ROWS_PER_CELL) -> DataFrame:
     """``(column, value, avg_rank, n)`` for every distinct value; ties share the mean rank."""
+    df = materialize(df.select(*columns))
     ranked = _ranked_histogram(df, columns, (), rows_per_cell)
     return ranked.select(
         "column", "value", ((F.col("first_rank") + F.col("last_rank")) / 2).alias("avg_rank"), "n"

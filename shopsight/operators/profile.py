@@ -20,8 +20,13 @@ from shopsight.schemas import datetime_columns, numeric_columns, string_columns
 _WIDE = 100  # columns per aggregation
 
 
-def _stack(df: DataFrame, columns: Sequence[str], stats: dict) -> DataFrame:
-    """``(column, <stat>...)``: ``stats`` maps a name to a function column name -> aggregate."""
+def _stack(df: DataFrame, columns: Sequence[str], stats: dict, unique: bool | None = None) -> DataFrame:
+    """``(column, <stat>...)``: ``stats`` maps a name to a function column name -> aggregate.
+
+    ``unique`` adds the number of distinct values: True exactly, False approximately.
+    """
+    if unique is False:
+        stats = {**stats, "unique": lambda c: F.approx_count_distinct(F.col(c))}
     out = None
     for start in range(0, len(columns), _WIDE):
         part = columns[start : start + _WIDE]
@@ -29,6 +34,28 @@ def _stack(df: DataFrame, columns: Sequence[str], stats: dict) -> DataFrame:
         rows = [F.struct(F.lit(c).alias("column"), *[F.col(f"{s}_{i}").alias(s) for s in stats]) for i, c in enumerate(part)]
         block = wide.select(F.inline(F.array(*rows)))
         out = block if out is None else out.unionByName(block)
+    if unique:
+        counts = distinct_counts(df, columns)
+        out = out.join(F.broadcast(counts), "column", "left").withColumn("unique", F.coalesce("unique", F.lit(0)))
+    return out
+
+
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, unique)``: exact distinct values of many columns.
+
+    Values travel as (column, value) rows that are made distinct before and
+    after one shuffle; several ``count_distinct`` in one aggregation would
+    carry every other aggregate along through the expanded rows.
+    """
+    by_type: dict[str, list[str]] = {}
+    for name, kind in df.dtypes:
+        if name in columns:
+            by_type.setdefault(kind, []).append(name)
+    out = None
+    for names in by_type.values():
+        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in names])
+        part = df.select(F.inline(pairs)).filter(F.col("value").isNotNull()).distinct().groupBy("column").agg(F.count(F.lit(1)).alias("unique"))
+        out = part if out is None else out.unionByName(part)
     return out
 
 
@@ -40,11 +67,6 @@ def _missing_pct(c: str) -> Column:
     return F.coalesce(ratio(F.count_if(F.col(c).isNull()) * 100.0, F.count(F.lit(1))), F.lit(0.0))
 
 
-def _unique(exact: bool):
-    """Distinct values; the approximate count avoids one shuffled copy of the rows per column."""
-    return lambda c: F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c))
-
-
 def _double(c: str) -> Column:
     return F.col(c).cast("double")
 
@@ -129,8 +151,8 @@ def quality_table(df: DataFrame, exact: bool = True) -> DataFrame:
             "data_type": lambda c: F.max(F.lit(types[c])),
             "missing": _missing,
             "missing_pct": _missing_pct,
-            "unique": _unique(exact),
         },
+        exact,
     )
 
 
@@ -188,7 +210,7 @@ def _value_frame(df: DataFrame, modes: dict[str, tuple], value: str, count: str)
 def describe_text(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Count, distinct values, most frequent value and its frequency per text column."""
     columns = _require_columns(columns or string_columns(df))
-    stats = _stack(df, columns, {"count": lambda c: F.count(F.col(c)), "unique": _unique(exact)})
+    stats = _stack(df, columns, {"count": lambda c: F.count(F.col(c))}, exact)
     return stats.join(_value_frame(df, column_modes(df, columns), "top", "freq"), "column", "left")
 
 
@@ -211,10 +233,10 @@ def statistical_summary(
             "max": lambda c: F.max(_double(c)),
             "missing": _missing,
             "missing_pct": _missing_pct,
-            "unique": _unique(exact),
             "skewness": lambda c: bias_corrected_skewness(_double(c)),
             "kurtosis": lambda c: bias_corrected_kurtosis(_double(c)),
         },
+        exact,
     )
     return _with_quartiles(df, columns, stats, rows_per_cell)
 
@@ -236,8 +258,7 @@ def data_profile(df: DataFrame, exact: bool = True) -> DataFrame:
             "non_null": lambda c: F.count(F.col(c)),
             "null_count": _missing,
             "null_pct": _missing_pct,
-            "unique": _unique(exact),
-            "unique_pct": lambda c: F.coalesce(ratio(_unique(exact)(c) * 100.0, F.count(F.lit(1))), F.lit(0.0)),
+            "rows": lambda c: F.count(F.lit(1)),
             "min": num(F.min),
             "max": num(F.max),
             "mean": num(F.avg),
@@ -245,7 +266,10 @@ def data_profile(df: DataFrame, exact: bool = True) -> DataFrame:
             "min_length": length(F.min),
             "max_length": length(F.max),
         },
+        exact,
     )
+    share = F.coalesce(ratio(F.col("unique") * 100.0, F.col("rows")), F.lit(0.0))
+    stats = stats.withColumn("unique_pct", share).drop("rows")
     names = sorted(text)
     if not names:
         return stats
@@ -266,12 +290,12 @@ def feature_summary(df: DataFrame, exact: bool = True, rows_per_cell: int = ROWS
         [*numeric, *text],
         {
             "missing": _missing,
-            "unique": _unique(exact),
             "mean": num(F.avg),
             "std": num(F.stddev),
             "min": num(F.min),
             "max": num(F.max),
         },
+        exact,
     )
     if numeric:
         medians = quantiles(df, numeric, [0.5], (), rows_per_cell).select("column", F.col("q0").alias("median"))
@@ -294,13 +318,13 @@ def feature_statistics(df: DataFrame, exact: bool = True) -> DataFrame:
         {
             "kind": lambda c: F.max(F.lit("numeric" if c in numeric else "categorical")),
             "missing_pct": _missing_pct,
-            "unique": _unique(exact),
             "mean": num(F.avg),
             "std": num(F.stddev),
             "variance": num(F.variance),
             "skewness": num(bias_corrected_skewness),
             "kurtosis": num(bias_corrected_kurtosis),
         },
+        exact,
     ).withColumnRenamed("column", "feature")
     if text:
         modes = _value_frame(df, column_modes(df, text), "most_frequent", "_n").drop("_n")

@@ -315,7 +315,19 @@ def content_based(
     max_texts: int = 20_000,
 ) -> DataFrame:
     """Cosine of a user's mean purchase vector with texts of categories never bought; best text per category."""
-    texts = materialize(content_texts(tx, features, category))
+    usable = [f for f in features if f in tx.columns]
+    if not usable:
+        raise ValueError("no content columns available")
+    # one pass over the transactions: purchases per user and text
+    bought = materialize(
+        tx.select(
+            F.col(customer).alias("user"), join_text(*usable).alias("content"), F.col(category).alias("category")
+        )
+        .filter(F.col("user").isNotNull() & F.col("category").isNotNull())
+        .groupBy("user", "content", "category")
+        .agg(F.count(F.lit(1)).cast("double").alias("rating"))
+    )
+    texts = materialize(bought.groupBy("content").agg(F.max("category").alias("category")))
     rows = texts.orderBy("content").limit(max_texts + 1).collect()
     if len(rows) > max_texts:
         raise ValueError(f"more than {max_texts} distinct texts")
@@ -331,13 +343,7 @@ def content_based(
     members = np.zeros((len(contents), len(categories)))
     members[np.arange(len(contents)), cat_of] = 1.0
     names = np.asarray(categories)
-    usable = [f for f in features if f in tx.columns]
-    counts = (
-        tx.select(F.col(customer).alias("user"), join_text(*usable).alias("item"))
-        .filter(F.col("user").isNotNull())
-        .groupBy("user", "item")
-        .agg(F.count(F.lit(1)).cast("double").alias("rating"))
-    )
+    counts = bought.groupBy("user", F.col("content").alias("item")).agg(F.sum("rating").alias("rating"))
 
     def score(users, m):
         profile = (m @ x) / m.sum(1, keepdims=True)

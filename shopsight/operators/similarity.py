@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopsight.session import materialize
+
 ROW_BLOCK = 8192  # rows (for example customers) per block
 COL_BLOCK = 512  # columns (for example items) per block side
 
@@ -32,6 +34,11 @@ def _hash_block(column: str, blocks: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")
 
 
+def empty_frame(schema: T.StructType) -> pd.DataFrame:
+    """No rows; object columns convert to any Arrow type."""
+    return pd.DataFrame({f.name: pd.Series([], dtype=object) for f in schema.fields})
+
+
 def _dense(pdf: pd.DataFrame, rows: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
     codes, names = pd.factorize(pdf["col"], sort=True)
     m = np.zeros((n_rows, len(names)))
@@ -47,7 +54,10 @@ def gram(
     ``dot`` is the inner product of the two columns, ``common`` the number of
     rows where both are positive. (row, col) must be unique.
     """
-    src = entries.select(F.col(row).alias("row"), F.col(col).alias("col"), F.col(val).cast("double").alias("val"))
+    # read several times below; the entries are already one row per (row, column)
+    src = materialize(
+        entries.select(F.col(row).alias("row"), F.col(col).alias("col"), F.col(val).cast("double").alias("val"))
+    )
     n_row, n_col = _blocks(src, "row", row_block), _blocks(src, "col", col_block)
     placed = src.withColumns({"rb": _hash_block("row", n_row), "cb": _hash_block("col", n_col)})
     # an entry serves every pair of column blocks its own block belongs to
@@ -147,7 +157,9 @@ def row_row_blocks(
     all rows against all rows, which is quadratic by definition but never
     holds more than one block pair in a task.
     """
-    src = entries.select(F.col(row).alias("row"), F.col(col).alias("col"), F.col(val).cast("double").alias("val"))
+    src = materialize(
+        entries.select(F.col(row).alias("row"), F.col(col).alias("col"), F.col(val).cast("double").alias("val"))
+    )
     n_cols = src.agg(F.approx_count_distinct("col")).first()[0]
     size = block or _row_block_size(n_cols)
     wanted = src if targets is None else src.join(targets.select(F.col(targets.columns[0]).alias("row")), "row", "left_semi")
@@ -175,7 +187,7 @@ def row_row_blocks(
         q_names, q = side(is_q)
         u_names, u = side(~is_q)
         if not len(q_names) or not len(u_names):
-            return pd.DataFrame({f.name: [] for f in schema.fields})
+            return empty_frame(schema)
         return handler(q_names, q, u_names, u, np.asarray(col_names))
 
     return queries.unionByName(others).groupBy("qb", "ub").applyInPandas(run, schema)
@@ -206,7 +218,9 @@ def map_row_blocks(
 
     Used to multiply every row with a small matrix that the handler carries.
     """
-    src = entries.select(F.col(row).alias("row"), F.col(index).cast("int").alias("idx"), F.col(val).cast("double").alias("val"))
+    src = materialize(
+        entries.select(F.col(row).alias("row"), F.col(index).cast("int").alias("idx"), F.col(val).cast("double").alias("val"))
+    )
     blocks = _blocks(src, "row", block or _row_block_size(n_cols))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

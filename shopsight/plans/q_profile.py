@@ -10,12 +10,18 @@ from shopsight.plans.catalogue import query, rnd, sql_rnd
 from shopsight.plans.q_clean import SQL_HOLED, holed
 from shopsight.plans.q_rfm import base
 from shopsight.plans.retail import SQL_ORD, SQL_RFM_BASE, SQL_TX, lines_view
+from shopsight.session import materialize
 
 _COLUMNS = {"customer_id": "n", "order_id": "n", "amount": "n", "quantity": "n", "category": "t", "season": "t"}
 _NUM = [c for c, k in _COLUMNS.items() if k == "n"]
 _TEXT = [c for c, k in _COLUMNS.items() if k == "t"]
 
 
+def measured(spark, sf):
+    """The joined input, computed once for reports that pass over it several times."""
+    return materialize(holed(spark, sf))
+
+
 def _union(fn, columns) -> str:
     return f"WITH {SQL_HOLED} " + " UNION ALL ".join(fn(c) for c in columns)
 
@@ -50,7 +56,7 @@ def _round(df, digits: dict[str, int]):
     ),
 )
 def i01(spark, sf):
-    out = P.quality_report(holed(spark, sf)).drop("data_type")
+    out = P.quality_report(measured(spark, sf)).drop("data_type")
     return _round(out, {c: 4 for c in ("missing_pct", "mean", "std", "min", "max")})
 
 
@@ -62,7 +68,7 @@ def i01(spark, sf):
     (SELECT d FROM d) AS duplicate_rows FROM holed""".replace("GROUP BY ALL, ", "GROUP BY "),
 )
 def i01_overview(spark, sf):
-    return _round(P.quality_overview(holed(spark, sf)), {"completeness_pct": 6})
+    return _round(P.quality_overview(measured(spark, sf)), {"completeness_pct": 6})
 
 
 @query(
@@ -82,7 +88,7 @@ def i02(spark, sf):
     ),
 )
 def i03(spark, sf):
-    return _round(P.quality_table(holed(spark, sf)).drop("data_type"), {"missing_pct": 4})
+    return _round(P.quality_table(measured(spark, sf)).drop("data_type"), {"missing_pct": 4})
 
 
 def _sql_quartiles(c: str, digits: int) -> str:
@@ -100,7 +106,7 @@ def _sql_quartiles(c: str, digits: int) -> str:
     ),
 )
 def i04(spark, sf):
-    return _round(P.describe_numeric(holed(spark, sf)), {c: 4 for c in ("mean", "std", "min", "max", "q25", "median", "q75")})
+    return _round(P.describe_numeric(measured(spark, sf)), {c: 4 for c in ("mean", "std", "min", "max", "q25", "median", "q75")})
 
 
 @query(
@@ -111,7 +117,7 @@ def i04(spark, sf):
     ),
 )
 def i04_text(spark, sf):
-    return P.describe_text(holed(spark, sf))
+    return P.describe_text(measured(spark, sf))
 
 
 @query(
@@ -124,7 +130,7 @@ def i04_text(spark, sf):
     ),
 )
 def i05(spark, sf):
-    out = P.statistical_summary(holed(spark, sf))
+    out = P.statistical_summary(measured(spark, sf))
     digits = {c: 3 for c in ("mean", "std", "min", "max", "skewness", "kurtosis", "q25", "median", "q75")}
     return _round(out, {**digits, "missing_pct": 4})
 
@@ -142,7 +148,7 @@ def i05(spark, sf):
     ),
 )
 def i06(spark, sf):
-    return _round(P.data_profile(holed(spark, sf)), {c: 4 for c in ("null_pct", "unique_pct", "min", "max", "mean", "std")})
+    return _round(P.data_profile(measured(spark, sf)), {c: 4 for c in ("null_pct", "unique_pct", "min", "max", "mean", "std")})
 
 
 @query(
@@ -155,7 +161,7 @@ def i06(spark, sf):
     ),
 )
 def i07(spark, sf):
-    return _round(P.feature_summary(holed(spark, sf)), {c: 4 for c in ("mean", "std", "min", "max", "median")})
+    return _round(P.feature_summary(measured(spark, sf)), {c: 4 for c in ("mean", "std", "min", "max", "median")})
 
 
 @query(
@@ -168,7 +174,7 @@ def i07(spark, sf):
     ),
 )
 def i08(spark, sf):
-    out = P.feature_statistics(holed(spark, sf))
+    out = P.feature_statistics(measured(spark, sf))
     return _round(out, {"missing_pct": 4, "mean": 4, "std": 4, "variance": 1, "skewness": 4, "kurtosis": 4})
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopsight.sources.readers import spread_small_scan
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -76,7 +78,8 @@ def orders_view(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     available = {**_ORDER_COLUMNS, "amount": ((), "o_totalprice")}
     names = columns or ("customer_id", "order_id", "purchase_date", "amount")
     needed = {t for n in names for t in available[n][0]}
-    df = _join_dimensions(table(spark, sf_dir, "orders"), spark, sf_dir, needed)
+    orders = spread_small_scan(table(spark, sf_dir, "orders"), "o_orderkey")
+    df = _join_dimensions(orders, spark, sf_dir, needed)
     return df.select(*[F.expr(available[n][1]).alias(n) for n in names])
 
 
@@ -85,7 +88,7 @@ def lines_view(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     available = {**_ORDER_COLUMNS, **_LINE_COLUMNS}
     names = columns or tuple(available)
     needed = {t for n in names for t in available[n][0]}
-    df = table(spark, sf_dir, "lineitem")
+    df = spread_small_scan(table(spark, sf_dir, "lineitem"), "l_orderkey")
     if needed - {"part"} or any(n in _ORDER_COLUMNS for n in names):
         df = df.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     df = _join_dimensions(df, spark, sf_dir, needed)

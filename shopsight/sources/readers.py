@@ -45,6 +45,17 @@ def read_json(
     return nan_to_null(_non_empty((reader.schema(schema) if schema else reader).json(path), path))
 
 
+def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that has fewer splits than the session has cores.
+
+    A file with a single row group is read by one task, and every narrow step
+    after it stays there. Large inputs have more splits than cores and are
+    returned unchanged, so they pay no extra shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_parquet(spark: SparkSession, path: str, **options: Any) -> DataFrame:
     return spark.read.options(**options).parquet(path)
 
