@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from shopsight.functions.scalars import ratio
 from shopsight.operators.ordering import ROWS_PER_CELL, quantile_values, value_bucket
-from shopsight.schemas import numeric_columns, string_columns
+from shopsight.schemas import columns_named, numeric_columns, string_columns
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
@@ -102,7 +102,7 @@ def missing_report(df: DataFrame) -> DataFrame:
 def parse_dates(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Named text columns, or all whose name contains 'date', as timestamps; bad text -> NULL."""
     if columns is None:
-        columns = [c for c in string_columns(df) if "date" in c.lower()]
+        columns = columns_named(df.select(*string_columns(df)), "date")
     return df.withColumns({c: F.try_to_timestamp(F.col(c)) for c in columns})
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shopsight.functions.scalars import bands, ratio
 from shopsight.operators.ordering import previous_row, running_totals
-from shopsight.schemas import DEFAULT_COLUMNS, ColumnMap
+from shopsight.schemas import DEFAULT_COLUMNS, ColumnMap, literal_for
 
 
 @dataclass(frozen=True)
@@ -30,9 +30,9 @@ class FilterSpec:
         for name, (low, high) in self.ranges.items():
             if name in df.columns:
                 if low is not None:
-                    parts.append(F.col(name) >= F.lit(low))
+                    parts.append(F.col(name) >= literal_for(df, name, low))
                 if high is not None:
-                    parts.append(F.col(name) <= F.lit(high))
+                    parts.append(F.col(name) <= literal_for(df, name, high))
         for name, values in self.members.items():
             values = list(values)
             if name not in df.columns or (not values and not self.strict_empty):
@@ -88,7 +88,7 @@ def advanced_filter(
     """Date range, minimum amount, IQR outliers removed, customers with enough purchases."""
     out = df
     if date_range is not None:
-        out = out.filter(F.col(cols.date).between(F.lit(date_range[0]), F.lit(date_range[1])))
+        out = out.filter(F.col(cols.date).between(*[literal_for(out, cols.date, d) for d in date_range]))
     if min_amount is not None:
         out = out.filter(F.col(cols.amount) >= min_amount)
     drop_outliers = list(drop_outliers)

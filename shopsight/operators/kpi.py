@@ -34,50 +34,52 @@ def aggregate(name: str) -> Callable[[Column], Column]:
 def key_figures(tx: DataFrame, cols: ColumnMap = DEFAULT_COLUMNS) -> DataFrame:
     """One row: customers, transactions, revenue, averages, growth, satisfaction, top category.
 
-    Everything comes from one table grouped by (customer, month, category)
-    counts would not help for distinct customers, so customers, months and
-    categories are grouped once each and joined as one-row aggregates.
+    Grouping sets over customer, month and category read the transactions once
+    and leave one row per customer, month and category for the final figures.
     """
-    overall = tx.agg(
-        F.count(F.lit(1)).alias("total_transactions"),
-        F.sum(cols.amount).alias("total_revenue"),
-        F.avg(cols.amount).alias("avg_order_value"),
-        F.avg(cols.rating).alias("avg_rating"),
-        (F.avg((F.col(cols.rating) >= 4.0).cast("double")) * 100).alias("satisfaction_rate"),
+    rating = F.col(cols.rating)
+    keyed = tx.select(
+        F.col(cols.customer).alias("c"),
+        F.date_trunc("month", cols.date).alias("m"),
+        F.col(cols.category).alias("k"),
+        F.col(cols.amount).alias("a"),
+        rating.alias("r"),
     )
-    per_customer = (
-        tx.filter(F.col(cols.customer).isNotNull())
-        .groupBy(cols.customer)
-        .agg(F.sum(cols.amount).alias("s"), F.count(cols.amount).alias("n"))
+    sets = keyed.groupingSets([["c"], ["m"], ["k"]], "c", "m", "k").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("a").alias("na"),
+        F.sum("a").alias("s"),
+        F.sum("r").alias("sr"),
+        F.count("r").alias("nr"),
+        F.count_if(F.col("r") >= 4.0).alias("n4"),
+        F.grouping("c").alias("gc"),
+        F.grouping("m").alias("gm"),
+        F.grouping("k").alias("gk"),
     )
-    customers = per_customer.agg(
-        F.struct(F.count(F.lit(1)).alias("c"), F.avg("s").alias("v"), F.avg("n").alias("t")).alias("x")
-    ).scalar()
-    monthly = tx.groupBy(F.date_trunc("month", cols.date).alias("m")).agg(F.sum(cols.amount).alias("r"))
-    months = monthly.agg(
-        F.struct(F.min_by("r", "m").alias("a"), F.max_by("r", "m").alias("b"), F.count("m").alias("n")).alias("x")
-    ).scalar()
-    categories = value_counts(tx, cols.category).agg(
-        F.struct(
-            F.count(F.lit(1)).alias("n"),
-            F.min_by("value", F.struct(-F.col("count"), F.col("value"))).alias("top"),
-            F.max("count").alias("c"),
-        ).alias("x")
-    ).scalar()
-    growth = F.when(months["n"] > 1, ratio(months["b"] - months["a"], months["a"]) * 100).otherwise(F.lit(0.0))
-    return overall.select(
-        customers["c"].alias("total_customers"),
-        "total_transactions",
-        "total_revenue",
-        "avg_order_value",
-        customers["v"].alias("avg_customer_value"),
-        customers["t"].alias("avg_transactions_per_customer"),
-        growth.alias("growth_rate"),
-        "avg_rating",
-        "satisfaction_rate",
-        categories["n"].alias("total_categories"),
-        categories["top"].alias("top_category"),
-        (ratio(categories["c"], F.col("total_transactions")) * 100).alias("top_category_share"),
+    # every row falls into exactly one month group, so those rows also give the totals
+    customer = (F.col("gc") == 0) & F.col("c").isNotNull()
+    month = F.col("gm") == 0
+    dated = month & F.col("m").isNotNull()
+    category = (F.col("gk") == 0) & F.col("k").isNotNull()
+
+    def total(name: str) -> Column:
+        return F.sum(F.when(month, F.col(name)))
+
+    first = F.min_by("s", F.when(dated, F.col("m")))
+    last = F.max_by("s", F.when(dated, F.col("m")))
+    return sets.agg(
+        F.count_if(customer).alias("total_customers"),
+        total("n").alias("total_transactions"),
+        total("s").alias("total_revenue"),
+        ratio(total("s"), total("na")).alias("avg_order_value"),
+        F.avg(F.when(customer, F.col("s"))).alias("avg_customer_value"),
+        F.avg(F.when(customer, F.col("na"))).alias("avg_transactions_per_customer"),
+        F.when(F.count_if(dated) > 1, ratio(last - first, first) * 100).otherwise(F.lit(0.0)).alias("growth_rate"),
+        ratio(total("sr"), total("nr")).alias("avg_rating"),
+        (ratio(total("n4"), total("n")) * 100).alias("satisfaction_rate"),
+        F.count_if(category).alias("total_categories"),
+        F.min_by("k", F.when(category, F.struct(-F.col("n"), F.col("k")))).alias("top_category"),
+        (ratio(F.max(F.when(category, F.col("n"))), total("n")) * 100).alias("top_category_share"),
     )
 
 

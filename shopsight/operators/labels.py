@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shopsight.functions.scalars import clip, hash_uniform, lifespan_months
 from shopsight.operators.ordering import ROWS_PER_CELL, quantile_values
 from shopsight.operators.transform import trim_target
+from shopsight.schemas import few_values
 
 
 def _count_true(flags: list[Column]) -> Column:
@@ -92,6 +93,7 @@ def expected_clv(df: DataFrame, mean: str, count: str, rating: str, name: str =
 
 def class_weights(df: DataFrame, label: str = "label", name: str = "weight") -> DataFrame:
     """Balanced weight ``n / (classes * n_class)`` per row; classes are counted first (few rows)."""
+    few_values(df, label)
     counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
     total = sum(counts.values())
     expr = F.lit(1.0)

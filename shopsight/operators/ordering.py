@@ -77,12 +77,13 @@ def running_totals(
     order: Sequence[str],
     totals: dict[str, Column],
     rows_per_cell: int = ROWS_PER_CELL,
+    is_materialized: bool = False,
 ) -> DataFrame:
     """Inclusive running totals of ``totals`` (name -> expression) in ascending ``order``.
 
     ``totals={'pos': F.lit(1)}`` numbers the rows. ``order`` must identify a row.
     """
-    base = materialize(df)
+    base = df if is_materialized else materialize(df)
     if base.count() <= rows_per_cell:
         all_rows = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return base.withColumns({n: F.sum(e).over(all_rows) for n, e in totals.items()})
@@ -149,15 +150,15 @@ def value_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (
 def _ranked_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str], rows_per_cell: int) -> DataFrame:
     """Histogram rows with the 1-based rank range they cover: ``first_rank``, ``last_rank``, ``n``.
 
-    ``df`` must be materialised.
+    The rows are read once; what is kept and ordered are counted values.
     """
     group = [*by, "column"]
-    hist = value_histogram(df, columns, by)
-    if df.count() <= rows_per_cell:
+    hist = materialize(value_histogram(df, columns, by))
+    if hist.count() <= rows_per_cell:
         w = Window.partitionBy(*group)
         placed = hist.withColumns({"last_rank": F.sum("cnt").over(w.orderBy("value")), "n": F.sum("cnt").over(w)})
         return placed.withColumn("first_rank", F.col("last_rank") - F.col("cnt") + 1)
-    cum = materialize(running_totals(hist, [*group, "value"], {"_cum": F.col("cnt")}, rows_per_cell))
+    cum = materialize(running_totals(hist, [*group, "value"], {"_cum": F.col("cnt")}, rows_per_cell, True))
     sizes = cum.groupBy(*group).agg(
         F.sum("cnt").alias("n"), F.min(F.col("_cum") - F.col("cnt")).alias("_base")
     )
@@ -189,9 +190,6 @@ def quantiles(
     Works from counted values, so neither a group nor a column has to fit in
     one task. NULLs are ignored.
     """
-    df = materialize(df.select(*by, *[F.col(c).cast("double").alias(c) for c in dict.fromkeys(columns)]))
-    if df.count() <= rows_per_cell // 2:
-        return _quantiles_of_few(df, columns, probs, by)
     ranked = _ranked_histogram(df, columns, by, rows_per_cell)
     aggs = []
     for i, p in enumerate(probs):
@@ -209,22 +207,6 @@ def quantiles(
     return picked.select(*by, "column", "n", *out)
 
 
-def _quantiles_of_few(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
-    """The same table from the built-in exact percentile, for rows that fit in one task."""
-    points = F.array(*[F.lit(float(p)) for p in probs])
-    stats = df.groupBy(*by).agg(
-        *[F.struct(F.count(c).alias("n"), F.percentile(c, points).alias("q")).alias(f"_q{i}") for i, c in enumerate(columns)]
-    )
-    rows = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_q{i}").alias("s")) for i, c in enumerate(columns)])
-    )
-    return (
-        stats.select(*by, rows.alias("_r"))
-        .filter(F.col("_r.s.n") > 0)
-        .select(*by, "_r.column", "_r.s.n", *[F.col("_r.s.q")[i].alias(f"q{i}") for i in range(len(probs))])
-    )
-
-
 def quantile_values(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], rows_per_cell: int = ROWS_PER_CELL
 ) -> dict[str, list[float]]:
@@ -335,7 +317,6 @@ def _edge_keys(df: DataFrame, key: str, edges: dict, rows_per_cell: int) -> dict
 
 def average_ranks(df: DataFrame, columns: Sequence[str], rows_per_cell: int = ROWS_PER_CELL) -> DataFrame:
     """``(column, value, avg_rank, n)`` for every distinct value; ties share the mean rank."""
-    df = materialize(df.select(*columns))
     ranked = _ranked_histogram(df, columns, (), rows_per_cell)
     return ranked.select(
         "column", "value", ((F.col("first_rank") + F.col("last_rank")) / 2).alias("avg_rank"), "n"

@@ -16,7 +16,7 @@ from shopsight.schemas import DEFAULT_COLUMNS, ColumnMap
 from shopsight.session import materialize
 
 # items (or texts) whose square matrix a task may hold; larger catalogues take the join path
-MAX_DENSE_ITEMS = 4096
+MAX_DENSE_ITEMS = 2048
 
 
 def ratings(tx: DataFrame, cols: ColumnMap = DEFAULT_COLUMNS) -> DataFrame:
@@ -74,6 +74,16 @@ def _indexed(rated: DataFrame, items: list) -> DataFrame:
     return rated.join(F.broadcast(dim), "item")
 
 
+def _square(pairs: DataFrame, items: list, value: str) -> np.ndarray:
+    """Symmetric matrix of a pair table over a bounded item list (at most ``MAX_DENSE_ITEMS`` squared cells)."""
+    position = {v: i for i, v in enumerate(items)}
+    out = np.zeros((len(items), len(items)))
+    found = pairs.toPandas()
+    i, j = found["item_a"].map(position).to_numpy(int), found["item_b"].map(position).to_numpy(int)
+    out[i, j] = out[j, i] = found[value].to_numpy(float)
+    return out
+
+
 def _only(rated: DataFrame, targets: DataFrame | None) -> DataFrame:
     return rated if targets is None else rated.join(targets, "user", "left_semi")
 
@@ -183,14 +193,11 @@ def item_based(
     Up to ``max_dense`` items the similarities travel as one matrix and users
     are scored block by block; larger catalogues are joined and aggregated.
     """
-    sims = S.symmetric(item_similarity(rated))
+    pairs = item_similarity(rated).select("item_a", "item_b", "cosine")
     items = _item_list(rated, max_dense)
     if items is None:
-        return top_n(_item_scores_by_join(_only(rated, targets), sims), n)
-    position = {v: i for i, v in enumerate(items)}
-    weights = np.zeros((len(items), len(items)))
-    for r in sims.toLocalIterator():
-        weights[position[r["item"]], position[r["other"]]] = abs(r["cosine"])
+        return top_n(_item_scores_by_join(_only(rated, targets), S.symmetric(pairs)), n)
+    weights = np.abs(_square(pairs, items, "cosine"))
     names = np.asarray(items)
 
     def score(users, m):
@@ -239,13 +246,9 @@ def matrix_factorization(
     items = _item_list(rated, max_dense)
     if items is None:
         raise ValueError(f"more than {max_dense} items: use als_recommendations")
-    position = {v: i for i, v in enumerate(items)}
-    g = np.zeros((len(items), len(items)))
-    for r in S.gram(rated, "user", "item", "rating").toLocalIterator():
-        i, j = position[r["item_a"]], position[r["item_b"]]
-        g[i, j] = g[j, i] = r["dot"]
-    for r in rated.groupBy("item").agg(F.sum(F.col("rating") * F.col("rating")).alias("d")).toLocalIterator():
-        g[position[r["item"]], position[r["item"]]] = r["d"]
+    own = rated.groupBy(F.col("item").alias("item_a")).agg(F.sum(F.col("rating") * F.col("rating")).alias("dot"))
+    dots = S.gram(rated, "user", "item", "rating").select("item_a", "item_b", "dot")
+    g = _square(dots.unionByName(own.withColumn("item_b", F.col("item_a"))), items, "dot")
     k = min(components, len(items))
     _, vectors = np.linalg.eigh(g)
     basis = vectors[:, -k:]

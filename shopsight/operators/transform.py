@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shopsight.functions.scalars import EPSILON, ratio
 from shopsight.operators.ordering import ROWS_PER_CELL, quantile_values
-from shopsight.schemas import numeric_columns, string_columns
+from shopsight.schemas import few_values, numeric_columns, string_columns
 
 # distinct values a column may have to be one-hot encoded or label encoded by broadcast
 MAX_ONE_HOT = 200
@@ -188,6 +188,7 @@ def select_by_variance(df: DataFrame, features: Sequence[str], k: int = 20) -> D
 
 def anova_f(df: DataFrame, features: Sequence[str], label: str) -> dict[str, float | None]:
     """F = between-class over within-class mean square, from grouped n, sum and sum of squares."""
+    few_values(df, label)
     filled = df.select(label, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
     means = filled.agg(*[F.avg(c).alias(c) for c in features]).first().asDict()
     centred = filled.withColumns({c: F.col(c) - F.lit(means[c]) for c in features})
@@ -216,6 +217,7 @@ def select_by_mutual_information(
     df: DataFrame, features: Sequence[str], label: str, k: int = 20, bins: int = 10, rows_per_cell: int = ROWS_PER_CELL
 ) -> DataFrame:
     """Mutual information of quantile-binned features with the label (nats, deterministic)."""
+    few_values(df, label)
     edges = quantile_values(df, features, [i / bins for i in range(1, bins)], rows_per_cell)
     binned = df.select(
         F.col(label).alias("_y"),

@@ -450,9 +450,10 @@ def g13(spark, sf):
     return G.select_by_f_score(features(spark, sf), _FEATS, "label", 4).select("feature", rnd("score", 4), "rank")
 
 
-@query("g14_select_by_variance", _sql_ranked("var_samp(@)", 2).replace(sql_rnd("score", 6), sql_rnd("score", 2)))
+@query("g14_select_by_variance", _sql_ranked("var_samp(@)", 2).replace(sql_rnd("score", 6), sql_rnd("sqrt(score)", 4)))
 def g14(spark, sf):
-    return G.select_by_variance(features(spark, sf), _FEATS, 2).select("feature", rnd("score", 2), "rank")
+    out = G.select_by_variance(features(spark, sf), _FEATS, 2)
+    return out.select("feature", rnd(F.sqrt("score"), 4, "score"), "rank")
 
 
 @query(

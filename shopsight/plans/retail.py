@@ -27,7 +27,8 @@ _SEASON = (
 _ORDER_COLUMNS: dict[str, tuple[tuple[str, ...], str]] = {
     "customer_id": ((), "o_custkey"),
     "order_id": ((), "o_orderkey"),
-    "purchase_date": ((), "CAST(o_orderdate AS TIMESTAMP)"),
+    # kept in its stored type, so date filters reach the scan
+    "purchase_date": ((), "o_orderdate"),
     "payment_method": ((), "o_orderpriority"),
     "shipping_type": ((), "o_orderstatus"),
     "season": ((), _SEASON),

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -147,6 +149,28 @@ def datetime_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
 
 
+def columns_named(df: DataFrame, *parts: str) -> list[str]:
+    """Columns whose name contains one of the texts, in any case."""
+    return [c for c in df.columns if any(p.lower() in c.lower() for p in parts)]
+
+
+def few_values(df: DataFrame, column: str, limit: int = 1000) -> None:
+    """Refuse a label column with more than ``limit`` values before anything per label is gathered."""
+    if df.select(column).distinct().limit(limit + 1).count() > limit:
+        raise ValueError(f"{column} has more than {limit} distinct values")
+
+
+def literal_for(df: DataFrame, column: str, value: Any) -> Column:
+    """A bound as literal of the column's own time type.
+
+    Comparing different time types would cast the column and keep the filter
+    away from the files; other literals are compared as they are.
+    """
+    kind = df.schema[column].dataType
+    timed = isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType))
+    return F.lit(value).cast(kind) if timed else F.lit(value)
+
+
 def require(df: DataFrame, *names: str) -> None:
     """A missing column is an error; nothing is ever filled with random values."""
     missing = [n for n in names if n not in df.columns]

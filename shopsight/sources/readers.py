@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopsight.schemas import DEFAULT_COLUMNS, ColumnMap
+from shopsight.schemas import DEFAULT_COLUMNS, ColumnMap, literal_for
 
 FORMATS = {".csv": "csv", ".json": "json", ".jsonl": "json", ".parquet": "parquet"}
 
@@ -145,7 +145,7 @@ def transactions(
     if customer_id is not None:
         df = df.filter(F.col(cols.customer) == F.lit(customer_id))
     if start is not None:
-        df = df.filter(F.col(cols.date) >= F.lit(start))
+        df = df.filter(F.col(cols.date) >= literal_for(df, cols.date, start))
     if end is not None:
-        df = df.filter(F.col(cols.date) <= F.lit(end))
+        df = df.filter(F.col(cols.date) <= literal_for(df, cols.date, end))
     return df

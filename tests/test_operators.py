@@ -305,3 +305,18 @@ def test_formatting(spark):
 def test_clip_keeps_null(spark):
     df = spark.createDataFrame([(None,), (5.0,), (-5.0,)], "v DOUBLE")
     assert [r[0] for r in df.select(H.clip(F.col("v"), 0.0, 1.0)).collect()] == [None, 1.0, 0.0]
+
+
+def test_steps_by_name(tx):
+    from shopsight.plans.steps import apply_steps, step
+
+    out = apply_steps(tx, ["rfm_base", ("rfm_segments", {"ladder": "quintile6"}), "segment_impact"])
+    assert out.agg(F.sum("customers")).first()[0] == 3
+    with pytest.raises(ValueError):
+        step("nope")
+
+
+def test_too_many_labels_are_refused(spark):
+    df = spark.range(1500).select("id", F.col("id").alias("y"))
+    with pytest.raises(ValueError):
+        G.select_by_f_score(df, ["id"], "y")
