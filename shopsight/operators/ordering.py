@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from shopsight.session import materialize
 
 MAX_CELLS = 4096
-ROWS_PER_CELL = 1_000_000
+ROWS_PER_CELL = 2_000_000
 _SAMPLE_PER_CELL = 24
 
 
@@ -155,26 +155,22 @@ def _ranked_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str],
     group = [*by, "column"]
     hist = materialize(value_histogram(df, columns, by))
     if hist.count() <= rows_per_cell:
-        w = Window.partitionBy(*group)
-        placed = hist.withColumns({"last_rank": F.sum("cnt").over(w.orderBy("value")), "n": F.sum("cnt").over(w)})
-        return placed.withColumn("first_rank", F.col("last_rank") - F.col("cnt") + 1)
-    cum = materialize(running_totals(hist, [*group, "value"], {"_cum": F.col("cnt")}, rows_per_cell, True))
-    sizes = cum.groupBy(*group).agg(
-        F.sum("cnt").alias("n"), F.min(F.col("_cum") - F.col("cnt")).alias("_base")
-    )
+        w = Window.partitionBy(*group).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        placed = hist.withColumn("_last", F.sum("cnt").over(w))
+        sizes = hist.groupBy(*group).agg(F.sum("cnt").alias("n"))
+    else:
+        cum = materialize(running_totals(hist, [*group, "value"], {"_cum": F.col("cnt")}, rows_per_cell, True))
+        sizes = cum.groupBy(*group).agg(F.sum("cnt").alias("n"), F.min(F.col("_cum") - F.col("cnt")).alias("_base"))
+        placed = cum
     keys = {g: f"_g_{i}" for i, g in enumerate(group)}
     sizes = sizes.withColumnsRenamed(keys)
     match = None
     for left, right in keys.items():
         same = F.col(left).eqNullSafe(F.col(right))
         match = same if match is None else match & same
-    return cum.join(sizes, match).select(
-        *group,
-        "value",
-        "cnt",
-        "n",
-        (F.col("_cum") - F.col("_base")).alias("last_rank"),
-        (F.col("_cum") - F.col("_base") - F.col("cnt") + 1).alias("first_rank"),
+    last = F.col("_last") if "_last" in placed.columns else F.col("_cum") - F.col("_base")
+    return placed.join(sizes, match).select(
+        *group, "value", "cnt", "n", last.alias("last_rank"), (last - F.col("cnt") + 1).alias("first_rank")
     )
 
 

@@ -75,14 +75,14 @@ def bias_corrected_skewness(c: Column) -> Column:
     """Sample skewness G1; NULL below three values or without spread."""
     n = F.count(c).cast("double")
     g = F.skewness(c)
-    return F.when((n > 2) & (F.stddev_pop(c) > 0), g * F.sqrt(n * (n - 1)) / (n - 2))
+    return F.when((n > 2) & (F.max(c) > F.min(c)), g * F.sqrt(n * (n - 1)) / (n - 2))
 
 
 def bias_corrected_kurtosis(c: Column) -> Column:
     """Sample excess kurtosis G2; NULL below four values or without spread."""
     n = F.count(c).cast("double")
     g = F.kurtosis(c)
-    return F.when((n > 3) & (F.stddev_pop(c) > 0), (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g + 6))
+    return F.when((n > 3) & (F.max(c) > F.min(c)), (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g + 6))
 
 
 def quality_report(df: DataFrame) -> DataFrame:

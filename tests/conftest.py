@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
         "local[4]",
         "shopsight-tests",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.driver.memory": "4g",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
