@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shopsight.functions.ladders import segment_label
 from shopsight.functions.scalars import ratio, whole_days
 from shopsight.operators.ordering import ROWS_PER_CELL, first_rank_scores, quantile_buckets, quantile_values
-from shopsight.schemas import DEFAULT_COLUMNS, ColumnMap, require
+from shopsight.schemas import DEFAULT_COLUMNS, ColumnMap, literal_for, require
 
 
 def rfm_base(
@@ -32,7 +32,7 @@ def rfm_base(
     if reference_date is None:
         end = tx.agg(F.max(cols.date)).scalar() + F.expr("INTERVAL 1 DAY")
     else:
-        end = F.lit(reference_date)
+        end = literal_for(tx, cols.date, reference_date)
     return per_customer.select(
         "customer_id",
         whole_days(F.col("last_purchase"), end).alias("recency"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 from typing import Any
 
@@ -167,8 +168,12 @@ def literal_for(df: DataFrame, column: str, value: Any) -> Column:
     away from the files; other literals are compared as they are.
     """
     kind = df.schema[column].dataType
-    timed = isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType))
-    return F.lit(value).cast(kind) if timed else F.lit(value)
+    if not isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.lit(value)
+    # a date without zone means the clock time that the column shows, in any session zone
+    if isinstance(value, dt.date) and getattr(value, "tzinfo", None) is None:
+        value = value.isoformat()
+    return F.lit(value).cast(kind)
 
 
 def require(df: DataFrame, *names: str) -> None:

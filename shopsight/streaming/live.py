@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from shopsight.operators.models import score
 from shopsight.operators.sets import customer_partials, merge_partials
-from shopsight.schemas import DEFAULT_COLUMNS, ColumnMap
+from shopsight.schemas import DEFAULT_COLUMNS, ColumnMap, literal_for
 
 
 def read_stream(spark: SparkSession, folder: str, schema: T.StructType, format: str = "parquet", files_per_batch: int | None = None, **options) -> DataFrame:
@@ -69,7 +69,10 @@ def totals_to_rfm(totals: DataFrame, reference_date=None) -> DataFrame:
     """RFM base table from the merged totals."""
     from shopsight.functions.scalars import whole_days
 
-    end = F.lit(reference_date) if reference_date is not None else totals.agg(F.max("last_purchase")).scalar() + F.expr("INTERVAL 1 DAY")
+    if reference_date is not None:
+        end = literal_for(totals, "last_purchase", reference_date)
+    else:
+        end = totals.agg(F.max("last_purchase")).scalar() + F.expr("INTERVAL 1 DAY")
     return totals.select(
         "customer_id", whole_days(F.col("last_purchase"), end).alias("recency"), F.col("n").alias("frequency"),
         F.col("sum_amount").cast("double").alias("monetary"),
