@@ -188,7 +188,7 @@ def l06_lists(spark, sf):
     cf = materialize(L.item_based(r, 10))
     popularity = r.groupBy("item").agg(F.avg("rating").alias("score"))
     everything = materialize(L.item_based(r, 10_000))
-    other = everything.select("user", "item").join(F.broadcast(popularity), "item")
+    other = everything.select("user", "item").join(popularity, "item")
     return L.hybrid(cf, other, n=20, keep=10).select("user", "item", rnd("score", 5))
 
 
