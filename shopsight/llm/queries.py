@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shopsight.llm import mixing
+from shopsight.llm import bpe, mixing
 from shopsight.llm.registry import query
 from shopsight.llm.tables import read
 
@@ -46,3 +48,19 @@ FROM placed
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"), max_epochs=3)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): ids of whole texts and the bytes they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(docs.select("doc_id", "text"), path)
+    joined = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    counted = encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), "ids"
+    )
+    return bpe.decode(counted, path).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+
+
+@query("op2_byte_bpe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(read(spark, sf_dir, "documents"))
