@@ -7,10 +7,6 @@ neighbour and updates three leaves: the merged position, the unlinked one and th
 live left neighbour; each update walks one path to the root. A piece of n bytes thus
 takes O(n log n). Trees of many pieces advance together as rows of one array.
 
-Pieces recur, so each Python worker remembers the ids of up to ``CACHED_PIECES``
-of them; pieces beyond are encoded again in every chunk that has them. Pieces are
-told apart by a 64-bit hash of their bytes and length.
-
 Defined results: a null or empty text has no ids and decodes to empty bytes; repeated
 rows are encoded like any other; columns besides ``column`` pass through.
 """
@@ -22,15 +18,13 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from shopsight.llm.pretokens import piece_starts
-from shopsight.llm.words import chunks, span_hashes, texts_of
+from shopsight.llm.pieces import PieceEncoder
+from shopsight.llm.words import chunks
 
-CACHED_PIECES = 400_000
 #: Leaves of the trees that advance together.
 LEAVES = 1 << 19
 _NONE = np.int64(1) << np.int64(62)
@@ -79,10 +73,11 @@ class PairRanks:
         return out
 
 
-class Vocabulary:
+class Vocabulary(PieceEncoder):
     """Tokens by id from a rank file: lines of base64 token and rank."""
 
     def __init__(self, path: str) -> None:
+        super().__init__()
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.tokens = [b""] * (max(ranks.values()) + 1)
@@ -90,12 +85,6 @@ class Vocabulary:
             self.tokens[rank] = token
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.pairs = PairRanks(self.tokens)
-        # pieces met before: slot by hash, then the slot's ids in ``ids``
-        self.known: dict[int, int] = {}
-        self.begin = np.zeros(CACHED_PIECES, np.int64)
-        self.count = np.zeros(CACHED_PIECES, np.int64)
-        self.ids = np.zeros(1 << 16, np.int32)
-        self.used = 0
 
     def encode_pieces(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all byte ranges, one after another, and how many each has."""
@@ -152,42 +141,6 @@ class Vocabulary:
                 tree[rows, nodes] = np.minimum(tree[rows, 2 * nodes], tree[rows, 2 * nodes + 1])
         return token[alive].astype(np.int32), alive.sum(axis=1)
 
-    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts of a column, one after another, and the n + 1 offsets of the texts in them."""
-        texts = texts_of(column)
-        start = piece_starts(texts)
-        end = np.append(start[1:], len(texts.data))
-        code, distinct = pd.factorize(span_hashes(texts.data, start, end))
-        slot = np.fromiter((self.known.get(h, -1) for h in distinct.tolist()), np.int64, len(distinct))
-        new = np.flatnonzero(slot < 0)
-        flat, begin, count = self.ids[: self.used], self.begin[slot], self.count[slot]
-        if len(new):
-            first = np.zeros(len(distinct), np.int64)
-            first[code[::-1]] = np.arange(len(code))[::-1]
-            fresh, n = self.encode_pieces(texts.data, start[first[new]], end[first[new]])
-            stop = np.cumsum(n)
-            begin[new], count[new] = len(flat) + stop - n, n
-            flat = np.concatenate((flat, fresh))
-            self._remember(distinct[new], fresh, stop)
-        per_piece = count[code]
-        total = np.concatenate(([0], np.cumsum(per_piece)))
-        where = np.repeat(begin[code] - total[:-1], per_piece) + np.arange(total[-1])
-        return flat[where], total[np.searchsorted(start, texts.offsets)]
-
-    def _remember(self, hashes: np.ndarray, ids: np.ndarray, stops: np.ndarray) -> None:
-        room = min(CACHED_PIECES - len(self.known), len(hashes))
-        if room <= 0:
-            return
-        size = int(stops[room - 1])
-        if self.used + size > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros(max(len(self.ids), size), np.int32)))
-        self.ids[self.used : self.used + size] = ids[:size]
-        first = len(self.known)
-        self.known.update(zip(hashes[:room].tolist(), range(first, first + room), strict=True))
-        self.count[first : first + room] = np.diff(stops[:room], prepend=0)
-        self.begin[first : first + room] = self.used + stops[:room] - self.count[first : first + room]
-        self.used += size
-
     def decode(self, ids: list[int]) -> bytes:
         tokens = self.tokens
         return b"".join([tokens[i] for i in ids])

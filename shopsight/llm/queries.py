@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopsight.llm import bpe, mixing
+from shopsight.llm import bpe, mixing, tokenfiles
 from shopsight.llm.registry import query
 from shopsight.llm.tables import read
 
@@ -64,3 +64,12 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
 @query("op2_byte_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read(spark, sf_dir, "documents"))
+
+
+@query("op3_token_files")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    index = tokenfiles.write_token_files(read(spark, sf_dir, "documents"), path, end_id=2)
+    return tokenfiles.read_token_files(index).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
