@@ -26,7 +26,9 @@ from shopsight.llm.pieces import PieceEncoder
 from shopsight.llm.words import chunks
 
 #: Leaves of the trees that advance together.
-LEAVES = 1 << 19
+LEAVES = 1 << 18
+#: Ids that are decoded at a time; a longer row is decoded by itself.
+DECODED_IDS = 1 << 18
 _NONE = np.int64(1) << np.int64(62)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -73,18 +75,24 @@ class PairRanks:
         return out
 
 
-class Vocabulary(PieceEncoder):
+def read_tokens(path: str) -> list[bytes]:
     """Tokens by id from a rank file: lines of base64 token and rank."""
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
+class Merges(PieceEncoder):
+    """Encodes pieces by the ranks of a vocabulary."""
 
     def __init__(self, path: str) -> None:
         super().__init__()
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.tokens[rank] = token
-        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        self.pairs = PairRanks(self.tokens)
+        tokens = read_tokens(path)
+        self.byte_ids = np.array([tokens.index(bytes([b])) for b in range(256)], np.int64)
+        self.pairs = PairRanks(tokens)
 
     def encode_pieces(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all byte ranges, one after another, and how many each has."""
@@ -141,15 +149,33 @@ class Vocabulary(PieceEncoder):
                 tree[rows, nodes] = np.minimum(tree[rows, 2 * nodes], tree[rows, 2 * nodes + 1])
         return token[alive].astype(np.int32), alive.sum(axis=1)
 
-    def decode(self, ids: list[int]) -> bytes:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in ids])
+
+class Spellings:
+    """The bytes of every token, one after another."""
+
+    def __init__(self, path: str) -> None:
+        tokens = read_tokens(path)
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.length = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.start = np.cumsum(self.length) - self.length
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all rows of ids, one after another, and the n + 1 offsets of the rows in them."""
+        ends = np.concatenate(([0], np.cumsum(self.length[ids])))
+        where = np.repeat(self.start[ids] - ends[:-1], self.length[ids])
+        where += np.arange(len(where))
+        return self.bytes[where], ends[offsets]
+
+
+@cache
+def merges(path: str) -> Merges:
+    """One encoder per Python worker and file."""
+    return Merges(path)
 
 
 @cache
-def vocabulary(path: str) -> Vocabulary:
-    """One vocabulary per Python worker and file."""
-    return Vocabulary(path)
+def spellings(path: str) -> Spellings:
+    return Spellings(path)
 
 
 def _replaced(batch: pa.RecordBatch, column: str, name: str, values: pa.Array) -> pa.RecordBatch:
@@ -169,7 +195,7 @@ def encode(docs: DataFrame, path: str, column: str = "text", ids: str = "ids") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, column):
-                flat, offsets = vocabulary(path).encode(part.column(column))
+                flat, offsets = merges(path).encode(part.column(column))
                 yield _replaced(part, column, ids, pa.ListArray.from_arrays(offsets.astype(np.int32), flat))
 
     return docs.mapInArrow(run, _schema(docs, column, ids, T.ArrayType(T.IntegerType())))
@@ -180,8 +206,16 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", column: str = "decod
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = vocabulary(path)
-            texts = [words.decode(row or ()) for row in batch.column(ids).to_pylist()]
-            yield _replaced(batch, ids, column, pa.array(texts, pa.binary()))
+            rows = batch.column(ids).fill_null([])
+            offsets = rows.offsets.to_numpy().astype(np.int64)
+            first = 0
+            while first < batch.num_rows:
+                last = max(int(np.searchsorted(offsets, offsets[first] + DECODED_IDS, "right")) - 1, first + 1)
+                flat = rows.values.slice(offsets[first], offsets[last] - offsets[first]).to_numpy()
+                data, ends = spellings(path).decode(flat, offsets[first : last + 1] - offsets[first])
+                buffers = [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())]
+                texts = pa.Array.from_buffers(pa.binary(), last - first, buffers)
+                yield _replaced(batch.slice(first, last - first), ids, column, texts)
+                first = last
 
     return encoded.mapInArrow(run, _schema(encoded, ids, column, T.BinaryType()))

@@ -10,7 +10,7 @@ from shopsight.llm.pretokens import piece_starts
 from shopsight.llm.words import span_hashes, texts_of
 
 #: Pieces that a Python worker remembers; those beyond are encoded again in every chunk that has them.
-CACHED_PIECES = 400_000
+CACHED_PIECES = 250_000
 
 
 class PieceEncoder:
