@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopsight.llm import bpe, mixing, tokenfiles
+from shopsight.llm import bpe, impact_index, mixing, permutation_index, tokenfiles
 from shopsight.llm.registry import query
 from shopsight.llm.tables import read
 
@@ -73,3 +73,33 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_token_files(index).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+_PRODUCT_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS a, len(embedding) AS dim
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           list_sum(list_transform(range(1, q.dim + 1), lambda i: q.a[i] * c.a[i]))::BIGINT AS score
+    FROM v q JOIN v c ON q.dim = c.dim AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+WHERE rank <= 5
+"""
+
+
+@query("op1_impact_topk", _PRODUCT_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return impact_index.search(impact_index.build_index(vectors), vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
+@query("op6_permutation_knn")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index, pivots = permutation_index.build_index(vectors)
+    return permutation_index.search(index, pivots, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
