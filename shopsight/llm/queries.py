@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopsight.llm import bpe, impact_index, mixing, permutation_index, tokenfiles
+from shopsight.llm import bpe, impact_index, mixing, permutation_index, substring, tokenfiles
 from shopsight.llm.registry import query
 from shopsight.llm.tables import read
 
@@ -103,3 +103,32 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     index, pivots = permutation_index.build_index(vectors)
     return permutation_index.search(index, pivots, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
+_REPEATS_SQL = r"""
+WITH w AS (
+    SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents
+), win AS (
+    SELECT doc_id, i, ws[i:i + 12] AS g FROM w, unnest(range(1, len(ws) - 11)) AS t(i)
+), earliest AS (
+    SELECT g, min(doc_id) AS m FROM win GROUP BY g
+), gone AS (
+    SELECT DISTINCT doc_id, i + o AS p FROM win JOIN earliest USING (g), range(13) AS r(o) WHERE m < doc_id
+), placed AS (
+    SELECT doc_id, p, ws[p] AS word FROM w, unnest(range(1, len(ws) + 1)) AS t(p)
+), kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS words
+    FROM placed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(words, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op7_substring_dedup", _REPEATS_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = substring.remove_repeats(docs, width=13, join_words=True)
+    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+    return kept.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))

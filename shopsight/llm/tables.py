@@ -56,3 +56,17 @@ def drop(*saved: DataFrame) -> None:
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """Bytes of all texts; one scan of that column."""
     return docs.agg(F.sum(F.octet_length(column)).alias("b")).first()["b"] or 0
+
+
+def even_keys(spark: SparkSession, n: int) -> list[int]:
+    """``n`` ints that ``repartition(n, key)`` deals to ``n`` different partitions."""
+    slot = F.pmod(F.hash(F.col("id").cast("int")), F.lit(n))
+    rows = spark.range(n * (8 + 4 * n.bit_length())).groupBy(slot.alias("slot")).agg(F.min("id").alias("id")).collect()
+    return sorted(r["id"] for r in rows)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
