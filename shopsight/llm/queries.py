@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopsight.llm import bpe, impact_index, mixing, permutation_index, substring, tokenfiles
+from shopsight.llm import bpe, impact_index, mixing, neardup, permutation_index, substring, tokenfiles
 from shopsight.llm.registry import query
 from shopsight.llm.tables import read
 
@@ -132,3 +132,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring.remove_repeats(docs, width=13, join_words=True)
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
     return kept.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
+@query("op8_setsketch_neardup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"), width=2, similarity=(80, 100))
