@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 from shopsight.llm.pieces import PieceEncoder
 from shopsight.llm.words import chunks
 
+#: Pieces that a Python worker remembers.
+REMEMBERED = 250_000
 #: Leaves of the trees that advance together.
 LEAVES = 1 << 18
 #: Ids that are decoded at a time; a longer row is decoded by itself.
@@ -89,7 +91,7 @@ class Merges(PieceEncoder):
     """Encodes pieces by the ranks of a vocabulary."""
 
     def __init__(self, path: str) -> None:
-        super().__init__()
+        super().__init__(REMEMBERED)
         tokens = read_tokens(path)
         self.byte_ids = np.array([tokens.index(bytes([b])) for b in range(256)], np.int64)
         self.pairs = PairRanks(tokens)

@@ -9,17 +9,19 @@ import pyarrow as pa
 from shopsight.llm.pretokens import piece_starts
 from shopsight.llm.words import span_hashes, texts_of
 
-#: Pieces that a Python worker remembers; those beyond are encoded again in every chunk that has them.
-CACHED_PIECES = 250_000
-
 
 class PieceEncoder:
-    """Subclasses say how pieces are encoded. Pieces are told apart by a 64-bit hash of their bytes and length."""
+    """Subclasses say how pieces are encoded. Pieces are told apart by a 64-bit hash of their bytes and length.
+
+    ``remembered`` pieces are kept by each Python worker; those beyond are encoded again in
+    every chunk that has them.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, remembered: int) -> None:
+        self.remembered = remembered
         self.known: dict[int, int] = {}  # slot by hash; the slot's ids are a stretch of ``ids``
-        self.begin = np.zeros(CACHED_PIECES, np.int64)
-        self.count = np.zeros(CACHED_PIECES, np.int64)
+        self.begin = np.zeros(remembered, np.int64)
+        self.count = np.zeros(remembered, np.int64)
         self.ids = np.zeros(1 << 16, np.int32)
         self.used = 0
 
@@ -50,7 +52,7 @@ class PieceEncoder:
         return flat[where], total[np.searchsorted(start, texts.offsets)]
 
     def _remember(self, hashes: np.ndarray, ids: np.ndarray, stops: np.ndarray) -> None:
-        room = min(CACHED_PIECES - len(self.known), len(hashes))
+        room = min(self.remembered - len(self.known), len(hashes))
         if room <= 0:
             return
         size = int(stops[room - 1])

@@ -38,6 +38,8 @@ from shopsight.llm.words import chunks
 MAGIC = b"S8BIDS01"
 #: Bytes of text that a task writes to one file, about.
 FILE_BYTES = 32 << 20
+#: Pieces that a Python worker remembers.
+REMEMBERED = 600_000
 #: Ids that are packed or unpacked at a time; whole blocks.
 STRETCH = simple8b.BLOCK * 2048
 _SIZES = struct.Struct("<5q")
@@ -56,7 +58,7 @@ class LibraryPieces(PieceEncoder):
     """Pieces encoded by the tokenizers library; strings of special tokens in a text are ordinary text."""
 
     def __init__(self, path: str) -> None:
-        super().__init__()
+        super().__init__(REMEMBERED)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
 
@@ -209,4 +211,6 @@ def read_token_files(index: DataFrame, id_bytes: int = 4) -> DataFrame:
                     start += int(ends[-1])
 
     schema = "doc_id long, start long, n_tokens long, ids binary"
-    return based.repartition(F.col("number")).select("file", "base").mapInArrow(run, schema)
+    # rows are few but each stands for a file, so their number and not their size deals them out
+    files = max(1, index.count())
+    return based.repartition(files, "number").select("file", "base").mapInArrow(run, schema)
