@@ -3,10 +3,20 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopsight.llm import bpe, impact_index, mixing, neardup, permutation_index, substring, tokenfiles
+from shopsight.llm import (
+    bpe,
+    impact_index,
+    langid,
+    mixing,
+    neardup,
+    permutation_index,
+    substring,
+    tokenfiles,
+    toxicity,
+)
 from shopsight.llm.registry import query
 from shopsight.llm.tables import read
 
@@ -137,3 +147,30 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_setsketch_neardup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), width=2, similarity=(80, 100))
+
+
+def _fold(parts: int) -> Column:
+    """crc32 of doc_id as text modulo ``parts``; null for a null doc_id."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+@query("op9_toxicity_mil")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").filter(_fold(5) != 0)
+    weights = toxicity.train(toxicity.training_sample(docs, labels))
+    return toxicity.score(docs, weights).select(
+        "doc_id",
+        F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    net = langid.fit(langid.training_sample(docs.filter(_fold(3) != 1)))
+    return langid.identify(docs.select("doc_id", "text"), net).select(
+        "doc_id", F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
