@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopsight.llm.tables import fresh, save
 from shopsight.llm.words import Texts, chunks, texts_of
@@ -233,5 +234,5 @@ def identify(docs: DataFrame, net: Network | None, names: tuple[str, str] = ("la
                 yield pa.RecordBatch.from_arrays([*columns, *values], [*kept, *names])
 
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    schema = docs.schema.add(names[0], "string").add(names[1], "double")
+    schema = T.StructType([*docs.schema, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     return docs.withColumn(lettered, has_letter).mapInArrow(run, schema)

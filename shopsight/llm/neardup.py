@@ -368,5 +368,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: tuple[int, int]
     )
 
 
+def deduplicate(docs: DataFrame, width: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
+    """``docs`` without the documents that :func:`near_duplicates` does not keep; rows with one doc_id are one document."""
+    found = near_duplicates(docs, width, similarity)
+    dropped = found.groupBy("doc_id").agg(F.max("kept").alias("kept")).filter(~F.col("kept")).select("doc_id")
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()

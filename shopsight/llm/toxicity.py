@@ -181,5 +181,6 @@ def score(docs: DataFrame, weights: np.ndarray, names: tuple[str, str] = ("score
                 columns = [*(part.column(c) for c in kept), pa.array(whole), pa.array(offending, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(columns, [*kept, *names])
 
-    schema = docs.select(*kept).schema.add(names[0], "double").add(names[1], T.ArrayType(T.StringType()))
+    added = [T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.ArrayType(T.StringType()))]
+    schema = T.StructType([*(docs.schema[c] for c in kept), *added])
     return docs.mapInArrow(run, schema)
