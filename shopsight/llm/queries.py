@@ -16,6 +16,7 @@ from shopsight.llm import (
     substring,
     tokenfiles,
     toxicity,
+    warc,
 )
 from shopsight.llm.registry import query
 from shopsight.llm.tables import read
@@ -174,3 +175,28 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), net).select(
         "doc_id", F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score"
     )
+
+
+_WARC_SQL = """
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS sha FROM pages
+), r AS (
+    SELECT *, max(page_id) OVER (PARTITION BY sha) AS stored FROM p
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       -- four base32 digits are five hexadecimal ones
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(sha, (5 * (i // 4) + 1)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1, 1)), '')
+           AS payload_digest,
+       CASE WHEN page_id = stored THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> stored THEN stored END AS refers_to
+FROM r
+"""
+
+
+@query("op5_warc_archives", _WARC_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write(read(spark, sf_dir, "pages"), revisit_from=0)
+    return warc.read(index).select(
+        "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to"
+    )

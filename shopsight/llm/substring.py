@@ -27,9 +27,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopsight.llm.tables import drop, even_keys, fresh, save, text_bytes
-from shopsight.llm.words import Words, chunks, texts_of, window_hashes, windows, word_hashes, words_of
+from shopsight.llm.words import Words, chunks, scramble, texts_of, window_hashes, windows, word_hashes, words_of
 
 #: Bytes of text whose blocks one task compares, about.
 PART_BYTES = 16 << 20
@@ -37,7 +38,6 @@ PART_BYTES = 16 << 20
 BATCH = 1 << 20
 
 _PACKED = "part int, kind int, ids binary, sigs binary, n binary, pos binary, keys binary"
-_FOUND = "doc_id long, sig int, pos binary"
 #: Kinds of packed rows: to be compared, already found, blocks known to be hits.
 COMPARE, FOUND, KNOWN = 0, 1, 2
 
@@ -57,7 +57,7 @@ class Entries:
         return Entries(self.doc_id[rows], self.sig[rows], self.pos[rows], self.key[rows], more)
 
     def __len__(self) -> int:
-        return len(self.key)
+        return len(self.pos)
 
     @staticmethod
     def joined(parts: list[Entries]) -> Entries:
@@ -115,7 +115,7 @@ def _unpack(row: dict, key_bytes: int, pairs: bool) -> Entries:
     width = key_bytes + 8 * pairs
     raw = np.frombuffer(row["keys"], np.uint8).reshape(total, width)
     key = np.zeros((total, 8), np.uint8)
-    key[:, :key_bytes] = raw[:, :key_bytes]
+    key[:, :key_bytes] = raw[:, :key_bytes]  # rows already found have none
     more = np.ascontiguousarray(raw[:, key_bytes:]).view(np.uint64)[:, 0] if pairs else None
     doc_id = np.repeat(np.cumsum(np.frombuffer(row["ids"], np.int64)), n)
     return Entries(doc_id, np.repeat(np.frombuffer(row["sigs"], np.int32), n), pos, key.view(np.uint64)[:, 0], more)
@@ -136,23 +136,26 @@ def _dealt(some: Entries, keys: list[int], key_bytes: int) -> Iterator[dict]:
         yield _pack(keys[p], COMPARE, some[order[edges[p] : edges[p + 1]]], key_bytes)
 
 
-def _found_rows(some: Entries) -> pa.RecordBatch:
-    """(doc_id, sig, pos) with the positions of each document, ascending, as 32-bit numbers."""
-    order = np.lexsort((some.pos, some.sig, some.doc_id))
-    some = some[order]
+def _for_documents(some: Entries, keys: list[int]) -> list[dict]:
+    """Rows of found entries, dealt by a hash of doc_id, so all of a document's meet."""
+    some = Entries(some.doc_id, some.sig, some.pos, some.key)
+    bucket = (scramble(some.doc_id.view(np.uint64)) % np.uint64(len(keys))).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    edges = np.searchsorted(bucket[order], np.arange(len(keys) + 1))
+    used = np.flatnonzero(np.diff(edges)).tolist()
+    return [_pack(keys[b], FOUND, some[order[edges[b] : edges[b + 1]]], 0) for b in used]
+
+
+def _documents(some: Entries) -> pa.RecordBatch:
+    """(_id, _sig, _pos) with the positions of each document, ascending, as 32-bit numbers."""
+    some = some[np.lexsort((some.pos, some.sig, some.doc_id))]
     new = np.ones(len(some), bool)
     new[1:] = (some.doc_id[1:] != some.doc_id[:-1]) | (some.sig[1:] != some.sig[:-1])
     first = np.flatnonzero(new)
     offsets = pa.py_buffer((np.append(first, len(some)) * 4).astype(np.int32).tobytes())
     pos = pa.py_buffer(some.pos.astype(np.uint32).tobytes())
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(some.doc_id[first]),
-            pa.array(some.sig[first]),
-            pa.Array.from_buffers(pa.binary(), len(first), [None, offsets, pos]),
-        ],
-        ["doc_id", "sig", "pos"],
-    )
+    lists = pa.Array.from_buffers(pa.binary(), len(first), [None, offsets, pos])
+    return pa.RecordBatch.from_arrays([pa.array(some.doc_id[first]), pa.array(some.sig[first]), lists], ["_id", "_sig", "_pos"])
 
 
 def _entries(batch: pa.RecordBatch, words: Words, text: np.ndarray, first: np.ndarray, key, more=None) -> Entries:
@@ -198,67 +201,66 @@ def _settled_probes(some: Entries, block: int, keys: list[int]) -> pa.RecordBatc
     for p in np.unique(part).tolist():
         empty = {c: b"" for c in ("ids", "sigs", "n", "pos")}
         rows.append({"part": keys[p], "kind": KNOWN, **empty, "keys": (known[part == p] & mask).tobytes()})
-    if hit.any():
-        here = some[hit]
-        rows.append(_pack(keys[int(here.doc_id[0]) % len(keys)], FOUND, here, 5))
-    return _batch_of(rows)
+    return _batch_of(rows + _for_documents(some[hit], keys))
 
 
 def _settled_windows(some: Entries, keys: list[int]) -> pa.RecordBatch:
     """What a batch sends out for step 2."""
     later = _later(some)
-    rows = list(_dealt(some[~later], keys, 8))
-    if later.any():
-        here = some[later]
-        rows.append(_pack(keys[int(here.doc_id[0]) % len(keys)], FOUND, here, 8))
-    return _batch_of(rows)
-
-
-def _compared(packed: DataFrame, parts: int, block: int, pairs: bool) -> DataFrame:
-    """(doc_id, sig, pos) of the hits (step 1) or of the repeated windows (``pairs``, step 2)."""
+    return _batch_of(list(_dealt(some[~later], keys, 8)) + _for_documents(some[later], keys))
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The rows of each part, one part after another."""
+    here, rows = None, []
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+            if row["part"] != here and rows:
+                yield rows
+                rows = []
+            here = row["part"]
+            rows.append(row)
+    if rows:
+        yield rows
+
+
+def _compared(packed: DataFrame, keys: list[int], block: int, pairs: bool) -> DataFrame:
+    """Packed rows of the hits (step 1) or of the repeated windows (``pairs``, step 2), dealt by document."""
     key_bytes = 8 if pairs else 5
 
-    def settle(compare: list[Entries], known: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        if compare:
-            some = Entries.joined(compare)
-            noted = np.concatenate(known) if known else np.zeros(0, np.uint64)
-            chosen = _later(some) if pairs else _hits(some, block, noted)
-            if chosen.any():
-                yield _found_rows(some[chosen])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, compare, known = None, [], []
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-                if row["part"] != here:
-                    yield from settle(compare, known)
-                    here, compare, known = row["part"], [], []
-                if row["kind"] == KNOWN:
-                    known.append(np.frombuffer(row["keys"], np.uint64))
-                elif row["kind"] == FOUND:
-                    yield _found_rows(_unpack(row, key_bytes, pairs))
-                else:
-                    compare.append(_unpack(row, key_bytes, pairs))
-        yield from settle(compare, known)
-
-    return packed.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, _FOUND)
-
-
-def _by_document(found: DataFrame) -> DataFrame:
+        for rows in _groups(batches):
+            compare = [_unpack(row, key_bytes, pairs) for row in rows if row["kind"] == COMPARE]
+            known = [np.frombuffer(row["keys"], np.uint64) for row in rows if row["kind"] == KNOWN]
+            out = [row for row in rows if row["kind"] == FOUND]
+            if compare:
+                some = Entries.joined(compare)
+                noted = np.concatenate(known) if known else np.zeros(0, np.uint64)
+                chosen = _later(some) if pairs else _hits(some, block, noted)
+                out += _for_documents(some[chosen], keys)
+            if out:
+                yield _batch_of(out)
+
+    return packed.repartition(len(keys), "part").sortWithinPartitions("part").mapInArrow(run, _PACKED)
+
+
+def _by_document(found: DataFrame, keys: list[int]) -> DataFrame:
     """(_id, _sig, _pos): all positions of each document."""
-    grouped = found.groupBy("doc_id", "sig").agg(F.collect_list("pos").alias("_pos"))
-    return grouped.withColumnsRenamed({"doc_id": "_id", "sig": "_sig"})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            yield _documents(Entries.joined([_unpack(row, 0, False) for row in rows]))
+
+    dealt = found.repartition(len(keys), "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(run, "_id long, _sig int, _pos binary")
 
 
 def _positions(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Row and position of everything in a column of arrays of binaries; null is empty."""
-    rows, values = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for i, parts in enumerate(column.to_pylist()):
-        for part in parts or ():
-            values.append(np.frombuffer(part, np.uint32).astype(np.int64))
-            rows.append(np.full(len(values[-1]), i))
-    return np.concatenate(rows), np.concatenate(values)
+    """Row and position of everything in a column of binaries; null is empty."""
+    lists = [np.frombuffer(row or b"", np.uint32) for row in column.to_pylist()]
+    rows = np.repeat(np.arange(len(lists)), [len(row) for row in lists])
+    return rows, np.concatenate([np.zeros(0, np.uint32), *lists]).astype(np.int64)
 
 
 def _covered(n: int, starts: np.ndarray, lengths: int | np.ndarray) -> np.ndarray:
@@ -273,7 +275,7 @@ def repeated_windows(docs: DataFrame, width: int = 13) -> DataFrame:
     """(_id, _sig, _pos): for each document with any, the first words of its repeated windows.
 
     ``docs`` has (doc_id, text); ``_sig`` is the 32-bit hash of the text, which tells rows
-    with one doc_id apart. Positions come as arrays of binaries of 32-bit numbers.
+    with one doc_id apart. Positions come as a binary of 32-bit numbers.
     """
     block = (width + 1) // 2
     parts = max(1, -(-text_bytes(docs) // PART_BYTES))
@@ -320,13 +322,12 @@ def repeated_windows(docs: DataFrame, width: int = 13) -> DataFrame:
 
         yield from batched(entries(), lambda some: _settled_windows(some, keys))
 
-    hits = save(_compared(signed.mapInArrow(probes, _PACKED), parts, block, pairs=False), "substring-hits")
-    of_doc = _by_document(hits)
-    joined = signed.join(of_doc, (F.col("doc_id") == F.col("_id")) & (F.col("sig") == F.col("_sig")))
+    hits = save(_compared(signed.mapInArrow(probes, _PACKED), keys, block, pairs=False), "substring-hits")
+    joined = signed.join(_by_document(hits, keys), (F.col("doc_id") == F.col("_id")) & (F.col("sig") == F.col("_sig")))
     packed = joined.select("doc_id", "sig", "text", "_pos").mapInArrow(extended, _PACKED)
-    repeated = save(_compared(packed, parts, block, pairs=True), "substring-repeats")
+    repeated = save(_compared(packed, keys, block, pairs=True), "substring-repeats")
     drop(hits)
-    return _by_document(repeated)
+    return _by_document(repeated, keys)
 
 
 def _joined_words(words: Words, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -392,5 +393,5 @@ def remove_repeats(
                     [*columns, pa.array(words.counts, pa.int64()), pa.array(removed, pa.int64())], [*names, *counts]
                 )
 
-    schema = docs.schema.add(counts[0], "long").add(counts[1], "long")
+    schema = T.StructType([*docs.schema, *(T.StructField(name, T.LongType()) for name in counts)])
     return marked.select(*names, pos).mapInArrow(run, schema)
