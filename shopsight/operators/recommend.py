@@ -53,10 +53,11 @@ def _result_schema(rated: DataFrame, *extra: T.StructField) -> T.StructType:
     )
 
 
-def top_n(scored: DataFrame, n: int, by: str = "user", item: str = "item", score: str = "score") -> DataFrame:
-    """Best n items per user, ties by item; Spark prunes to n before the shuffle."""
+def top_n(scored: DataFrame, n: int | None, by: str = "user", item: str = "item", score: str = "score") -> DataFrame:
+    """Best n items per user (all of them for None), ties by item; Spark prunes to n before the shuffle."""
     w = Window.partitionBy(by).orderBy(F.round(score, 12).desc(), F.col(item))
-    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    ranked = scored.withColumn("rank", F.row_number().over(w))
+    return ranked if n is None else ranked.filter(F.col("rank") <= n)
 
 
 def _item_list(rated: DataFrame, limit: int = MAX_DENSE_ITEMS) -> list | None:
@@ -185,33 +186,18 @@ def item_similarity(rated: DataFrame, **kw: int) -> DataFrame:
     return S.column_cosine(rated, "user", "item", "rating", **kw)
 
 
-def item_based(
-    rated: DataFrame, n: int = 5, targets: DataFrame | None = None, max_dense: int = MAX_DENSE_ITEMS
-) -> DataFrame:
-    """Score of an unrated item: mean of the user's ratings weighted by |similarity|.
+def item_based(rated: DataFrame, n: int | None = 5, targets: DataFrame | None = None) -> DataFrame:
+    """Score of an unrated item: mean of the user's ratings weighted by |similarity|; all scored items for ``n=None``.
 
-    Up to ``max_dense`` items the similarities travel as one matrix and users
-    are scored block by block; larger catalogues are joined and aggregated.
+    A rating of 0 or below means unrated. Ratings are joined with the similarities
+    and summed per (user, item), whatever the size of the catalogue.
     """
+    rated = rated.filter(F.col("rating") > 0)
     pairs = item_similarity(rated).select("item_a", "item_b", "cosine")
-    items = _item_list(rated, max_dense)
-    if items is None:
-        return top_n(_item_scores_by_join(_only(rated, targets), S.symmetric(pairs)), n)
-    weights = np.abs(_square(pairs, items, "cosine"))
-    names = np.asarray(items)
-
-    def score(users, m):
-        num, den = m @ weights, (m > 0).astype(float) @ weights
-        with np.errstate(invalid="ignore", divide="ignore"):
-            s = np.where(den > 0, num / den, 0.0)
-        r, c, v, rank = S.top_per_row(s, (m == 0) & (den > 0), names, n)
-        return pd.DataFrame({"user": users[r], "item": names[c], "score": v, "rank": rank})
-
-    schema = _result_schema(rated, T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType()))
-    return S.map_row_blocks(_indexed(_only(rated, targets), items), "user", "idx", "rating", len(items), score, schema)
+    return top_n(_item_scores(_only(rated, targets), S.symmetric(pairs)), n)
 
 
-def _item_scores_by_join(rated: DataFrame, sims: DataFrame) -> DataFrame:
+def _item_scores(rated: DataFrame, sims: DataFrame) -> DataFrame:
     """All (user, unrated item) scores by joining ratings with similarities."""
     candidates = (
         rated.withColumnRenamed("item", "other")
@@ -271,10 +257,15 @@ def als_recommendations(
     from pyspark.ml.recommendation import ALS
 
     model = ALS(userCol=user, itemCol=item, ratingCol="rating", rank=rank, seed=seed, coldStartStrategy="drop").fit(rated)
-    most = rated.groupBy(user).count().agg(F.max("count")).first()[0]
-    recs = model.recommendForAllUsers(n + most).select(user, F.inline("recommendations"))
-    recs = recs.withColumnRenamed("rating", "score").join(rated.select(user, item), [user, item], "left_anti")
-    return top_n(recs, n, user, item)
+    # users are asked in groups of similar history, so only those who bought much carry long lists
+    bought = materialize(rated.groupBy(user).agg(F.ceil(F.log2(F.count(F.lit(1)))).cast("int").alias("size")))
+    sizes = sorted(r["size"] for r in bought.select("size").distinct().collect())  # powers of two, at most 64
+    recs = None
+    for size in sizes:
+        some = model.recommendForUserSubset(bought.filter(F.col("size") == size).select(user), n + 2**size)
+        recs = some if recs is None else recs.unionByName(some)
+    listed = recs.select(user, F.inline("recommendations")).withColumnRenamed("rating", "score")
+    return top_n(listed.join(rated.select(user, item), [user, item], "left_anti"), n, user, item)
 
 
 # --- content based ----------------------------------------------------------------
@@ -412,7 +403,8 @@ def segment_popularity(
 
 def holdout_split(rated: DataFrame, share: int = 20, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Train and held-out pairs by a hash of (user, item): about ``share`` percent are held out."""
-    held = F.pmod(F.xxhash64("user", "item", F.lit(seed)), F.lit(100)) < share
+    digits = F.substring(F.md5(F.concat_ws("|", F.col("user").cast("string"), F.col("item").cast("string"), F.lit(str(seed)))), 1, 8)
+    held = F.conv(digits, 16, 10).cast("bigint") % 100 < share
     return rated.filter(~held), rated.filter(held)
 
 

@@ -19,19 +19,23 @@ def drop_listed(df: DataFrame, listed: DataFrame, on: Sequence[str]) -> DataFram
     return df.join(listed, list(on), "left_anti")
 
 
-def unbought_items(tx: DataFrame, user: str, item: str, max_items: int = 10_000) -> DataFrame:
-    """Every (user, item) a user has not bought.
+def unbought_items(tx: DataFrame, user: str, item: str, items_per_shelf: int = 1000) -> DataFrame:
+    """Every (user, item) a user has not bought, for a catalogue of any size.
 
-    The catalogue must be small (it is counted); each user's bought set is
-    subtracted from it as an array, so no user x item table is built first.
+    The catalogue is dealt to shelves of about ``items_per_shelf`` items. A user's
+    purchases on a shelf are subtracted from it as an array, so the user x item
+    table is never built before it is reduced and no array holds more than a shelf.
     """
-    catalogue = sorted(r[0] for r in tx.select(item).filter(F.col(item).isNotNull()).distinct().limit(max_items + 1).collect())
-    if len(catalogue) > max_items:
-        raise ValueError(f"more than {max_items} items: restrict the catalogue first")
-    kind = tx.schema[item].dataType
-    everything = F.array(*[F.lit(v).cast(kind) for v in catalogue])
-    bought = tx.filter(F.col(user).isNotNull()).groupBy(user).agg(F.collect_set(item).alias("_bought"))
-    return bought.select(user, F.explode(F.array_except(everything, F.col("_bought"))).alias(item))
+    pairs = tx.select(F.col(user).alias("u"), F.col(item).alias("i")).filter(F.col("u").isNotNull()).distinct()
+    items = pairs.select("i").filter(F.col("i").isNotNull()).distinct()
+    shelves = max(1, -(-items.count() // items_per_shelf))
+    shelf = F.pmod(F.xxhash64("i"), F.lit(shelves)).cast("int").alias("shelf")
+    stock = items.select(shelf, "i").groupBy("shelf").agg(F.collect_set("i").alias("stock"))
+    bought = pairs.filter(F.col("i").isNotNull()).select("u", shelf, "i").groupBy("u", "shelf").agg(F.collect_set("i").alias("bought"))
+    visits = pairs.select("u").distinct().withColumn("shelf", F.explode(F.sequence(F.lit(0), F.lit(shelves - 1))))
+    left = visits.join(stock, "shelf").join(bought, ["u", "shelf"], "left")
+    rest = F.when(F.col("bought").isNull(), F.col("stock")).otherwise(F.array_except("stock", "bought"))
+    return left.select(F.col("u").alias(user), F.explode(rest).alias(item))
 
 
 def merge_scores(

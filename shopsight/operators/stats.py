@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopsight.operators.ordering import ROWS_PER_CELL, average_ranks, quantile_values
+from shopsight.operators.ordering import ROWS_PER_CELL, average_ranks, row_numbers
+from shopsight.session import materialize
 
 
 def _pairs_to_rows(wide: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -75,40 +77,83 @@ def spearman(df: DataFrame, columns: Sequence[str], rows_per_cell: int = ROWS_PE
     return _pairs_to_rows(ranked.agg(*exprs), [(columns[i], columns[j]) for i, j in pairs])
 
 
-MAX_KENDALL_LEVELS = 1000
+# rows that one task compares with each other, and blocks in either order
+KENDALL_ROWS, KENDALL_BLOCKS = 50_000, 1000
 
 
-def kendall(
-    df: DataFrame, a: str, b: str, max_levels: int = MAX_KENDALL_LEVELS, rows_per_cell: int = ROWS_PER_CELL
-) -> float | None:
-    """Tau-b from the contingency table of the two columns.
+def _inversions(values: np.ndarray, weights: np.ndarray) -> float:
+    """Weight of the pairs whose earlier value is the larger one."""
+    if len(values) <= 64:
+        later = np.triu(values[:, None] > values[None, :], 1)
+        return float(weights @ later @ weights)
+    half = len(values) // 2
+    order = np.argsort(values[:half], kind="stable")
+    below = np.concatenate(([0.0], np.cumsum(weights[:half][order])))
+    at = np.searchsorted(values[:half][order], values[half:], "right")
+    across = float(weights[half:] @ (below[-1] - below[at]))
+    return across + _inversions(values[:half], weights[:half]) + _inversions(values[half:], weights[half:])
+
+
+def _discordant(cells: DataFrame, rows: int, rows_per_cell: int) -> float:
+    """Discordant pairs of distinct cells ``(a, b, n)``, weighted by their counts.
 
-    Columns with more than ``max_levels`` distinct values are first cut into
-    that many quantile bins; below that the value is exact. Only the
-    contingency table (at most ``max_levels`` squared cells) is gathered.
+    With ``r`` the position of a cell in the order (a, b) and ``s`` that in the
+    order (b, a), a pair is discordant exactly if r and s disagree; ties in either column
+    never do. Both positions are cut into blocks of equal size. Pairs in one
+    block of r, and pairs in one block of s but different ones of r, are counted
+    inside the block; for all others the blocks themselves tell.
     """
+    ranked = row_numbers(materialize(row_numbers(cells, ["a", "b"], "r", rows_per_cell)), ["b", "a"], "s", rows_per_cell)
+    count = cells.count()
+    size = max(rows, -(-count // KENDALL_BLOCKS))
+    placed = materialize(
+        ranked.select(
+            "r", "s", F.col("n").cast("double").alias("n"),
+            F.floor((F.col("r") - 1) / size).alias("p"), F.floor((F.col("s") - 1) / size).alias("q"),
+        )
+    )
+
+    def counted(order: list[str]):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values(order)
+            return pd.DataFrame({"d": [_inversions(pdf["s"].to_numpy(), pdf["n"].to_numpy())]})
+
+        return run
+
+    same_p = placed.groupBy("p").applyInPandas(counted(["r"]), "d double")
+    same_q = placed.groupBy("q").applyInPandas(counted(["p", "s"]), "d double")
+    inside = same_p.unionByName(same_q).agg(F.coalesce(F.sum("d"), F.lit(0.0))).first()[0]
+    # at most KENDALL_BLOCKS squared rows
+    blocks = placed.groupBy("p", "q").agg(F.sum("n").alias("n")).toPandas()
+    grid = np.zeros((int(blocks["p"].max()) + 1, int(blocks["q"].max()) + 1))
+    grid[blocks["p"].astype(int), blocks["q"].astype(int)] = blocks["n"]
+    above = np.cumsum(grid[:, ::-1], axis=1)[:, ::-1]  # weight at this q or a larger one
+    before = np.cumsum(above, axis=0)
+    return inside + float((grid[1:, :-1] * before[:-1, 1:]).sum())
+
+
+def kendall(
+    df: DataFrame, a: str, b: str, rows_per_block: int = KENDALL_ROWS, rows_per_cell: int = ROWS_PER_CELL
+) -> float | None:
+    """Tau-b of two columns with any number of distinct values; exact up to the rounding of the sums."""
     pair = df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")).dropna()
-    for c in ("a", "b"):
-        if pair.select(c).distinct().limit(max_levels + 1).count() > max_levels:
-            edges = sorted(set(quantile_values(pair, [c], [i / max_levels for i in range(1, max_levels)], rows_per_cell)[c]))
-            points = F.array(*[F.lit(e) for e in edges])
-            pair = pair.withColumn(c, F.size(F.filter(points, lambda e: e < F.col(c))).cast("double"))  # noqa: B023
-    table = pair.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).toPandas()
-    if table.empty:
+    cells = materialize(pair.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")))
+
+    def ties(*columns: str) -> float:
+        x = F.col("x").cast("double")
+        per = cells.groupBy(*columns).agg(F.sum("n").alias("x"))
+        return per.agg(F.coalesce(F.sum(x * (x - 1) / 2), F.lit(0.0))).first()[0]
+
+    total = cells.agg(F.sum("n")).first()[0]
+    if total is None:
         return None
-    m = table.pivot(index="a", columns="b", values="n").sort_index().sort_index(axis=1).fillna(0).to_numpy(dtype=float)
-    total = m.sum()
-    below = np.zeros_like(m)
-    below[1:, 1:] = m.cumsum(0).cumsum(1)[:-1, :-1]
-    flipped = m[:, ::-1]
-    against = np.zeros_like(m)
-    against[1:, 1:] = flipped.cumsum(0).cumsum(1)[:-1, :-1]
-    concordant, discordant = (m * below).sum(), (flipped * against).sum()
-    pairs = total * (total - 1) / 2
-    ties_a = (m.sum(1) * (m.sum(1) - 1) / 2).sum()
-    ties_b = (m.sum(0) * (m.sum(0) - 1) / 2).sum()
+    pairs, ties_a, ties_b = total * (total - 1) / 2, ties("a"), ties("b")
     denom = math.sqrt((pairs - ties_a) * (pairs - ties_b))
-    return float((concordant - discordant) / denom) if denom else None
+    if not denom:
+        return None
+    discordant = _discordant(cells, rows_per_block, rows_per_cell)
+    concordant = pairs - ties_a - ties_b + ties("a", "b") - discordant
+    return (concordant - discordant) / denom
 
 
 def kendall_matrix(df: DataFrame, columns: Sequence[str], **kw: int) -> DataFrame:

@@ -10,35 +10,34 @@ from pyspark.sql import functions as F
 
 from shopsight.functions.scalars import EPSILON, ratio
 from shopsight.operators.ordering import ROWS_PER_CELL, quantile_values
-from shopsight.schemas import few_values, numeric_columns, string_columns
+from shopsight.schemas import few_values, numeric_columns, string_columns, unused_name
 
-# distinct values a column may have to be one-hot encoded or label encoded by broadcast
+# columns that a one-hot encoding may add for one source column; label codes have no bound
 MAX_ONE_HOT = 200
-MAX_BROADCAST_LABELS = 100_000
 
 
-def _labels(df: DataFrame, column: str) -> DataFrame:
+def _labels(df: DataFrame, column: str, value: str, code: str) -> DataFrame:
     """``(value, code)``: the distinct values numbered in lexicographic order."""
     from shopsight.operators.ordering import row_numbers
 
-    values = df.select(F.col(column).alias("value")).filter(F.col("value").isNotNull()).distinct()
-    return row_numbers(values, ["value"], "_n").select("value", (F.col("_n") - 1).cast("int").alias("code"))
+    values = df.select(F.col(column).alias("v")).filter(F.col("v").isNotNull()).distinct()
+    return row_numbers(values, ["v"], "n").select(F.col("v").alias(value), (F.col("n") - 1).cast("int").alias(code))
 
 
 def label_encode(df: DataFrame, columns: Iterable[str] | None = None, null_as: str | None = None) -> DataFrame:
     """Add ``<column>_encoded``: 0..k-1 in lexicographic order of the values.
 
-    ``null_as`` treats NULL as that value; otherwise NULL stays NULL. The label
-    table is broadcast only after its size has been counted.
+    ``null_as`` treats NULL as that value; otherwise NULL stays NULL. An existing
+    column of the result's name is replaced. Spark chooses how to join the labels.
     """
     out = df
     for c in list(string_columns(df) if columns is None else columns):
         if null_as is not None:
             out = out.withColumn(c, F.coalesce(F.col(c), F.lit(null_as)))
-        labels = _labels(out, c)
-        if labels.count() <= MAX_BROADCAST_LABELS:
-            labels = F.broadcast(labels)
-        out = out.join(labels, F.col(c) == F.col("value"), "left").withColumnRenamed("code", f"{c}_encoded").drop("value")
+        name, key = f"{c}_encoded", unused_name(out, f"{c}_label")
+        labels = _labels(out, c, key, name)
+        out = out.drop(name)
+        out = out.join(labels, out[c] == labels[key], "left").drop(key)
     return out
 
 

@@ -13,6 +13,7 @@ from shopsight.operators import sampling as P
 from shopsight.operators import sets as E
 from shopsight.plans.catalogue import query, rnd, sql_rnd
 from shopsight.plans.retail import SQL_ORD, SQL_TX, lines_view, orders_view, table
+from shopsight.schemas import in_years, literal_for
 
 # The given tables hold no NULL, so some are made the same way on both sides.
 SQL_HOLED = f"""{SQL_TX}, holed AS (SELECT customer_id, order_id, amount, nullif(quantity, 13) AS quantity,
@@ -111,17 +112,23 @@ def b04(spark, sf):
 
 @query(
     "b05_columns_by_type",
-    """SELECT * FROM (VALUES ('customer_id', 'numeric'), ('order_id', 'numeric'), ('purchase_date', 'datetime'),
-    ('payment_method', 'text'), ('amount', 'numeric')) v("column", kind)
-    WHERE (SELECT count(*) FROM orders) > 0""",
+    """SELECT 'customer_id' AS "column", 'numeric' AS kind, count(o_custkey) AS present, count(DISTINCT o_custkey) AS distinct_values FROM orders
+    UNION ALL SELECT 'order_id', 'numeric', count(o_orderkey), count(DISTINCT o_orderkey) FROM orders
+    UNION ALL SELECT 'purchase_date', 'datetime', count(o_orderdate), count(DISTINCT o_orderdate) FROM orders
+    UNION ALL SELECT 'payment_method', 'text', count(o_orderpriority), count(DISTINCT o_orderpriority) FROM orders
+    UNION ALL SELECT 'amount', 'numeric', count(o_totalprice), count(DISTINCT o_totalprice) FROM orders""",
 )
 def b05(spark, sf):
     from shopsight.schemas import datetime_columns, numeric_columns, string_columns
 
     df = orders_view(spark, sf, "customer_id", "order_id", "purchase_date", "payment_method", "amount")
     kinds = [(c, k) for k, fn in (("numeric", numeric_columns), ("text", string_columns), ("datetime", datetime_columns)) for c in fn(df)]
-    names = spark.createDataFrame(kinds, "column STRING, kind STRING")
-    return names.filter(df.agg(F.count(F.lit(1))).scalar() > 0)
+    # what the columns chosen by type hold
+    held = [
+        F.struct(F.lit(c).alias("column"), F.lit(k).alias("kind"), F.count(c).alias("present"), F.count_distinct(c).alias("distinct_values"))
+        for c, k in kinds
+    ]
+    return df.agg(F.array(*held).alias("held")).select(F.inline("held"))
 
 
 @query(
@@ -238,17 +245,26 @@ def b14(spark, sf):
 
 @query(
     "b15_schema_validation",
-    """SELECT * FROM (VALUES ('amount', 'missing'), ('o_custkey', 'ok'), ('o_orderdate', 'extra'), ('o_orderkey', 'ok'),
-    ('o_orderpriority', 'extra'), ('o_orderstatus', 'type_mismatch'), ('o_totalprice', 'ok')) v("column", status)
-    WHERE (SELECT count(*) FROM orders) > 0""",
+    """SELECT 'amount' AS "column", 'missing' AS status, 0::BIGINT AS usable
+    UNION ALL SELECT 'o_custkey', 'ok', count(o_custkey) FROM orders UNION ALL SELECT 'o_orderkey', 'ok', count(o_orderkey) FROM orders
+    UNION ALL SELECT 'o_orderdate', 'extra', 0 UNION ALL SELECT 'o_orderpriority', 'type_mismatch', count(TRY_CAST(o_orderpriority AS INT)) FROM orders
+    UNION ALL SELECT 'o_orderstatus', 'type_mismatch', count(TRY_CAST(o_orderstatus AS INT)) FROM orders UNION ALL SELECT 'o_totalprice', 'ok', count(o_totalprice) FROM orders""",
 )
 def b15(spark, sf):
     df = table(spark, sf, "orders")
-    found = C.validate_schema(
-        df,
-        {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double", "o_orderstatus": "int", "amount": "double"},
-    )
-    return found.filter(df.agg(F.count(F.lit(1))).scalar() > 0)
+    expected = {
+        "o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double", "o_orderstatus": "int",
+        "o_orderpriority": "int", "amount": "double",
+    }
+    found = C.validate_schema(df, expected)
+    # how many values of each column can be read as the expected type
+    counts = [
+        F.struct(F.lit(c).alias("column"), F.count(F.col(c).try_cast(t)).alias("usable"))
+        for c, t in expected.items()
+        if c in df.columns
+    ]
+    usable = df.agg(F.array(*counts).alias("c")).select(F.inline("c"))
+    return found.join(usable, "column", "left").withColumn("usable", F.coalesce("usable", F.lit(0).cast("bigint")))
 
 
 @query(
@@ -358,8 +374,9 @@ def c02(spark, sf):
 def c03(spark, sf):
     orders = orders_view(spark, sf, "location", "amount", "purchase_date", "payment_method")
     agg = [F.sum("amount").alias("revenue"), F.count(F.lit(1)).alias("orders")]
-    cur = orders.filter((F.year("purchase_date") == 1999) & (F.col("payment_method") != "1-URGENT")).groupBy("location").agg(*agg)
-    prev = orders.filter(F.year("purchase_date") == 1998).groupBy("location").agg(*agg)
+    later = in_years(orders, "purchase_date", 1999, 1999) & (F.col("payment_method") != "1-URGENT")
+    cur = orders.filter(later).groupBy("location").agg(*agg)
+    prev = orders.filter(in_years(orders, "purchase_date", 1998, 1998)).groupBy("location").agg(*agg)
     out = X.compare_tables(cur, prev, "location")
     return out.select(
         "location", "orders_current", "orders_previous", "orders_change", rnd("orders_change_pct", 4),
@@ -513,8 +530,9 @@ def f10(spark, sf):
 )
 def f11(spark, sf):
     orders = orders_view(spark, sf)
-    old = E.customer_partials(orders.filter(F.year("purchase_date") <= 1998))
-    new = E.customer_partials(orders.filter(F.year("purchase_date") > 1998))
+    cut = literal_for(orders, "purchase_date", dt.date(1999, 1, 1))
+    old = E.customer_partials(orders.filter(F.col("purchase_date") < cut))
+    new = E.customer_partials(orders.filter(F.col("purchase_date") >= cut))
     merged = E.finish_partials(E.merge_partials(old, new))
     return merged.select(
         "customer_id", "n", "total", F.date_format("last_purchase", "yyyy-MM-dd").alias("last_day"), rnd("std", 4)

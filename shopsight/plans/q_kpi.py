@@ -212,14 +212,16 @@ def d22(spark, sf):
 
 @query(
     "d23_segment_profiles",
-    f"""{sql_segments('rules6', 5)}, p AS (SELECT segment, avg(monetary) / 1000 AS m, avg(frequency) AS f, avg(2.5 + r_score / 2) AS r FROM seg GROUP BY 1)
+    f"""{sql_segments('rules6', 5)}, p AS (SELECT segment, CAST(sum(CAST(monetary AS DECIMAL(18,2))) AS DOUBLE) / count(*) / 1000 AS m, sum(frequency) / count(*) AS f, 2.5 + sum(r_score) / count(*) / 2 AS r FROM seg GROUP BY 1)
     SELECT segment, CASE WHEN m > 1000 THEN 'High' WHEN m > 500 THEN 'Medium' ELSE 'Low' END AS spending_level,
     CASE WHEN f > 10 THEN 'High' WHEN f > 5 THEN 'Medium' ELSE 'Low' END AS frequency_level,
     CASE WHEN r > 4.0 THEN 'High' WHEN r > 3.5 THEN 'Medium' ELSE 'Low' END AS satisfaction_level FROM p""",
 )
 def d23(spark, sf):
     per = segments(spark, sf, "rules6").groupBy("segment").agg(
-        (F.avg("monetary") / 1000).alias("m"), F.avg("frequency").alias("f"), F.avg(2.5 + F.col("r_score") / 2).alias("r")
+        (F.sum(F.col("monetary").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1)) / 1000).alias("m"),
+        (F.sum("frequency") / F.count(F.lit(1))).alias("f"),
+        (2.5 + F.sum("r_score") / F.count(F.lit(1)) / 2).alias("r"),
     )
     return K.segment_profiles(per, "m", "f", "r").drop("m", "f", "r")
 

@@ -12,6 +12,7 @@ from shopsight.operators import transform as G
 from shopsight.plans.catalogue import query, rnd, sql_rnd
 from shopsight.plans.q_rfm import SQL_CHURN, base
 from shopsight.plans.retail import SQL_ORD, SQL_RFM_BASE, SQL_TX, lines_view, orders_view, table
+from shopsight.schemas import in_years
 
 SQL_BASKET = f"""{SQL_TX}, b AS (SELECT DISTINCT customer_id, item FROM tx), n AS (SELECT count(DISTINCT customer_id) AS n FROM b),
 sup AS (SELECT item, count(*) AS c FROM b GROUP BY 1)"""
@@ -161,8 +162,8 @@ def d34_active(spark, sf):
 
 
 def _year_rfm(spark, sf, year):
-    orders = orders_view(spark, sf).filter(F.year("purchase_date") == year)
-    return R.rfm_base(orders)
+    orders = orders_view(spark, sf)
+    return R.rfm_base(orders.filter(in_years(orders, "purchase_date", year, year)))
 
 
 def _sql_year(year: int) -> str:
@@ -193,9 +194,8 @@ def _metric_tables(spark, sf):
     def totals(df):
         return df.groupBy(F.col("payment_method").alias("metric")).agg(F.sum("amount").alias("value"))
 
-    return totals(orders.filter("year(purchase_date) = 1999")), totals(
-        orders.filter("year(purchase_date) = 1998 AND payment_method <> '5-LOW'")
-    )
+    before = orders.filter(in_years(orders, "purchase_date", 1998, 1998) & (F.col("payment_method") != "5-LOW"))
+    return totals(orders.filter(in_years(orders, "purchase_date", 1999, 1999))), totals(before)
 
 
 @query(

@@ -403,11 +403,11 @@ z AS (SELECT (SELECT sum(tp) / sum(s) FROM f) AS accuracy, (SELECT sum(f1 * s) /
 
 @query(
     "k27_evaluation_advice",
-    f"""{SQL_PREDICTED}, a AS (SELECT 'churn' AS model, 'Consider collecting more training data or feature engineering' AS advice FROM z WHERE accuracy < 0.7
-    UNION ALL SELECT 'churn', 'Model shows poor F1 score - check class imbalance' FROM z WHERE f1 < 0.6
-    UNION ALL SELECT 'clv', 'Low R2 score - consider more complex model or additional features' FROM z WHERE r2 < 0.5
-    UNION ALL SELECT 'clv', 'High prediction error - review feature selection and data quality' FROM z WHERE mape > 20)
-    SELECT * FROM a UNION ALL SELECT m, 'Model performance appears satisfactory - consider deployment' FROM (VALUES ('churn'), ('clv')) v(m) WHERE m NOT IN (SELECT model FROM a)""",
+    f"""{SQL_PREDICTED}, a AS (SELECT 'churn' AS model, 'low_accuracy' AS advice FROM z WHERE accuracy < 0.7
+    UNION ALL SELECT 'churn', 'low_f1' FROM z WHERE f1 < 0.6
+    UNION ALL SELECT 'clv', 'low_r2' FROM z WHERE r2 < 0.5
+    UNION ALL SELECT 'clv', 'high_mape' FROM z WHERE mape > 20)
+    SELECT * FROM a UNION ALL SELECT m, 'satisfactory' FROM (VALUES ('churn'), ('clv')) v(m) WHERE m NOT IN (SELECT model FROM a)""",
 )
 def k27(spark, sf):
     return M.advice(materialize(metric_tables(spark, sf)))

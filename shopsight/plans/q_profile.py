@@ -9,7 +9,7 @@ from shopsight.operators import stats as S
 from shopsight.plans.catalogue import query, rnd, sql_rnd
 from shopsight.plans.q_clean import SQL_HOLED, holed
 from shopsight.plans.q_rfm import base
-from shopsight.plans.retail import SQL_ORD, SQL_RFM_BASE, SQL_TX, lines_view
+from shopsight.plans.retail import SQL_ORD, SQL_RFM_BASE, SQL_TX, lines_view, table
 from shopsight.session import materialize
 
 _COLUMNS = {"customer_id": "n", "order_id": "n", "amount": "n", "quantity": "n", "category": "t", "season": "t"}
@@ -240,12 +240,27 @@ def i11(spark, sf):
     + " AS correlation FROM p, k, ta, tb",
 )
 def i12(spark, sf):
-    from shopsight.plans.retail import table
-
     out = S.kendall_matrix(table(spark, sf, "lineitem"), ["l_quantity", "l_tax"])
     return out.select("column_a", "column_b", rnd("correlation", 8))
 
 
+@query(
+    "i12_kendall_continuous",
+    """WITH c AS (SELECT o_custkey, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS a, max(o_totalprice) AS b FROM orders GROUP BY 1),
+    p AS (SELECT count(*) FILTER ((x.a - y.a) * (x.b - y.b) > 0)::DOUBLE AS c, count(*) FILTER ((x.a - y.a) * (x.b - y.b) < 0)::DOUBLE AS d,
+      count(*) FILTER (x.a <> y.a)::DOUBLE AS na, count(*) FILTER (x.b <> y.b)::DOUBLE AS nb FROM c x, c y)
+    SELECT 'spent' AS column_a, 'largest' AS column_b, """
+    + sql_rnd("(c - d) / sqrt(na * nb)", 8)
+    + " AS correlation FROM p",
+)
+def i12_continuous(spark, sf):
+    """Two columns whose values hardly ever repeat."""
+    orders = table(spark, sf, "orders")
+    spent = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("spent")
+    per = orders.groupBy("o_custkey").agg(spent, F.max("o_totalprice").alias("largest"))
+    return S.kendall_matrix(per, ["spent", "largest"]).select("column_a", "column_b", rnd("correlation", 8))
+
+
 @query(
     "i13_strong_pairs",
     f"WITH {SQL_CORR}, c AS ("
@@ -256,27 +271,47 @@ def i13(spark, sf):
     return S.strong_pairs(S.pearson(corr_input(spark, sf), _CORR)).select("column_a", "column_b", rnd("correlation", 8))
 
 
+def sql_t_p(t: str, dof: str) -> str:
+    """Two-sided p-value of Student's t: Simpson's rule over the density from 0 to |t|."""
+    density = f"exp(lgamma(({dof} + 1) / 2) - lgamma({dof} / 2)) / sqrt({dof} * pi()) * (1 + x * x / {dof}) ** (-({dof} + 1) / 2)"
+    weight = "CASE WHEN k IN (0, 4000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END"
+    return (
+        f"greatest(0, 1 - 2 * (SELECT sum({weight} * {density}) * abs({t}) / 12000 "
+        f"FROM (SELECT k, k * abs({t}) / 4000.0::DOUBLE AS x FROM range(4001) r(k))))"
+    )
+
+
 @query(
     "i14_two_sample_t_test",
     f"""WITH {SQL_TX}, g AS (SELECT count(amount) FILTER (gender = 'Male') AS n1, avg(amount) FILTER (gender = 'Male') AS m1, var_samp(amount) FILTER (gender = 'Male') AS v1,
     count(amount) FILTER (gender = 'Female') AS n2, avg(amount) FILTER (gender = 'Female') AS m2, var_samp(amount) FILTER (gender = 'Female') AS v2 FROM tx)
+    , t AS (SELECT *, (m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1 / n1 + 1 / n2)) AS t, (n1 + n2 - 2)::DOUBLE AS dof FROM g),
+    p AS (SELECT *, {sql_t_p('t.t', 't.dof')} AS p FROM t)
     SELECT 'Male' AS group_a, 'Female' AS group_b, {sql_rnd('m1', 4)} AS mean_a, {sql_rnd('m2', 4)} AS mean_b,
-    {sql_rnd('(m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1 / n1 + 1 / n2))', 6)} AS t_statistic FROM g""",
+    {sql_rnd('t', 6)} AS t_statistic, {sql_rnd('p', 6)} AS p_value, p < 0.05 AS significant FROM p""",
 )
 def i14(spark, sf):
     out = S.two_sample_t(lines_view(spark, sf, "amount", "gender"), "amount", "gender", "Male", "Female")
-    return out.select("group_a", "group_b", rnd("mean_a", 4), rnd("mean_b", 4), rnd("t_statistic", 6))
+    return out.select(
+        "group_a", "group_b", rnd("mean_a", 4), rnd("mean_b", 4), rnd("t_statistic", 6), rnd("p_value", 6), "significant"
+    )
 
 
 @query(
     "i15_pearson_test",
-    f"""WITH {SQL_TX}, c AS (SELECT count(*) AS n, corr(age::DOUBLE, amount) AS r FROM tx), d AS (SELECT corr(quantity, price) AS r FROM tx)
-    SELECT c.n, {sql_rnd('c.r', 8)} AS age_amount, {sql_rnd('d.r', 8)} AS quantity_price,
-    CASE WHEN d.r > 0.3 THEN 'strong positive' WHEN d.r > 0.1 THEN 'weak positive' ELSE 'none' END AS quantity_price_verdict FROM c, d""",
+    f"""WITH {SQL_TX}, c AS (SELECT count(*) AS n, corr(age::DOUBLE, amount) AS r FROM tx), d AS (SELECT corr(quantity, price) AS r FROM tx),
+    t AS (SELECT c.n, c.r, c.r * sqrt((c.n - 2) / (1 - c.r * c.r)) AS t, (c.n - 2)::DOUBLE AS dof FROM c), p AS (SELECT *, {sql_t_p('t.t', 't.dof')} AS p FROM t)
+    SELECT p.n, {sql_rnd('p.r', 8)} AS age_amount, {sql_rnd('p.p', 6)} AS age_amount_p,
+    CASE WHEN p.p < 0.05 AND abs(p.r) > 0.3 THEN 'strong' WHEN p.p < 0.05 AND abs(p.r) > 0.1 THEN 'weak' ELSE 'none' END AS age_amount_verdict,
+    {sql_rnd('d.r', 8)} AS quantity_price,
+    CASE WHEN d.r > 0.3 THEN 'strong positive' WHEN d.r > 0.1 THEN 'weak positive' ELSE 'none' END AS quantity_price_verdict FROM p, d""",
 )
 def i15(spark, sf):
     tx = lines_view(spark, sf, "age", "amount", "quantity", "price")
-    a = S.pearson_test(tx, "age", "amount").select("n", rnd("correlation", 8, "age_amount"))
+    strength = F.regexp_extract("verdict", "^\\w+", 0).alias("age_amount_verdict")
+    a = S.pearson_test(tx, "age", "amount").select(
+        "n", rnd("correlation", 8, "age_amount"), rnd("p_value", 6, "age_amount_p"), strength
+    )
     b = S.pearson_test(tx, "quantity", "price").select(
         "n", rnd("correlation", 8, "quantity_price"), F.col("verdict").alias("quantity_price_verdict")
     )

@@ -176,6 +176,20 @@ def literal_for(df: DataFrame, column: str, value: Any) -> Column:
     return F.lit(value).cast(kind)
 
 
+def in_years(df: DataFrame, column: str, first: int, last: int) -> Column:
+    """Dates of whole years as a range on the stored type, which reaches the files (``year(column)`` would not)."""
+    begin, end = dt.date(first, 1, 1), dt.date(last + 1, 1, 1)
+    return (F.col(column) >= literal_for(df, column, begin)) & (F.col(column) < literal_for(df, column, end))
+
+
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def require(df: DataFrame, *names: str) -> None:
     """A missing column is an error; nothing is ever filled with random values."""
     missing = [n for n in names if n not in df.columns]

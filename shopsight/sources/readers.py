@@ -57,7 +57,8 @@ def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
 
 
 def read_parquet(spark: SparkSession, path: str, **options: Any) -> DataFrame:
-    return spark.read.options(**options).parquet(path)
+    """Parquet; NaN becomes NULL as in the other readers, and filters on other columns still reach the files."""
+    return nan_to_null(spark.read.options(**options).parquet(path))
 
 
 def detect_format(path: str) -> str:
@@ -101,20 +102,24 @@ def read_database(
     if query is not None:
         if split is not None:
             raise ValueError("a partitioned read needs a table (use a view or subquery as table)")
-        return reader.option("query", query).load()
+        return nan_to_null(reader.option("query", query).load())
     reader = reader.option("dbtable", table)
     if split is not None:
         reader = reader.options(
             partitionColumn=split.column, lowerBound=split.lower, upperBound=split.upper, numPartitions=split.partitions
         )
-    return reader.load()
+    return nan_to_null(reader.load())
 
 
 def ingest(spark: SparkSession, source: str, **options: Any) -> tuple[DataFrame, DataFrame]:
-    """Source by name (``*.csv``, ``*.json``, ``*.parquet`` or ``jdbc:…`` / ``sql://…``) and its description."""
+    """Source by name (``*.csv``, ``*.json``, ``*.parquet`` or ``jdbc:…``) and its description.
+
+    ``sql://…`` names no driver, so ``url`` has to give the JDBC URL that it stands for.
+    """
     if source.startswith(("jdbc:", "sql://")):
-        url = source.replace("sql://", "jdbc:", 1) if source.startswith("sql://") else source
-        df = read_database(spark, url, **options)
+        if source.startswith("sql://") and "url" not in options:
+            raise ValueError(f"{source} needs url='jdbc:...'")
+        df = read_database(spark, options.pop("url", source), **options)
     else:
         df = read_file(spark, source, **options)
     return df, describe_source(df)

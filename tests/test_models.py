@@ -173,10 +173,13 @@ def test_targets_restrict_the_work(spark, ratings):
     assert near.filter("user = other").count() == 0 and near.count() == 4
 
 
-@pytest.mark.parametrize("dense", [4096, 2])
-def test_item_based_matches_brute_force(ratings, dense):
+@pytest.mark.parametrize("zeros", [False, True])
+def test_item_based_matches_brute_force(spark, ratings, zeros):
     df, m = ratings
-    got = {(r["user"], r["item"]): r["score"] for r in RC.item_based(df, 99, max_dense=dense).collect()}
+    if zeros:  # a rating of 0 means unrated
+        first = df.select("user").distinct().withColumn("item", F.lit(sorted(m)[0])).withColumn("rating", F.lit(0.0))
+        df = df.unionByName(first.join(df, ["user", "item"], "left_anti").select(*df.columns))
+    got = {(r["user"], r["item"]): r["score"] for r in RC.item_based(df, None).collect()}
     sim = {(a, b): abs(cosine(m[a].to_numpy(), m[b].to_numpy())) for a in m for b in m}
     want = {}
     for u in m.index:

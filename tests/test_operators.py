@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from shopsight import schemas
 from shopsight.functions import scalars as H
 from shopsight.functions.ladders import LADDERS, segment_label
 from shopsight.operators import clean as C
@@ -21,6 +22,7 @@ from shopsight.operators import sampling as SA
 from shopsight.operators import sets as E
 from shopsight.operators import stats as S
 from shopsight.operators import transform as G
+from shopsight.plans import catalogue
 
 
 def day(n):
@@ -275,6 +277,52 @@ def test_kendall_and_spearman_match_brute_force(spark):
         assert math.isclose(S.spearman(df, ["a", "b"], per_cell).first()["correlation"], want, rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("levels", [5, 40, 10**9])
+def test_kendall_in_blocks(spark, levels):
+    rng = np.random.default_rng(levels % 97)
+    a, b = rng.integers(0, levels, 400), rng.integers(0, levels, 400)
+    df = spark.createDataFrame(pd.DataFrame({"a": a.astype(float), "b": (a // 2 + b).astype(float)}))
+    x, y = np.sign(a[:, None] - a[None, :]), np.sign((a // 2 + b)[:, None] - (a // 2 + b)[None, :])
+    want = (x * y).sum() / math.sqrt((x != 0).sum() * (y != 0).sum())
+    for rows in (7, 64, 10_000):
+        assert math.isclose(S.kendall(df, "a", "b", rows, 50), want, rel_tol=1e-9)
+
+
+def test_risk_of_an_edge_does_not_depend_on_partitions(spark, sf):
+    catalogue.load_all()
+    query = catalogue.QUERIES["h13_risk_bands"]
+    answers = set()
+    for n in (1, 2, 8):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        answers.add(tuple(sorted(map(tuple, query(spark, sf).collect()))))
+    spark.conf.set("spark.sql.shuffle.partitions", 2)
+    assert len(answers) == 1
+
+
+def test_label_encoding_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([("x", 1, "q"), ("a", 2, None), ("x", 3, "r")], "value STRING, code INT, c STRING")
+    out = G.label_encode(df, ["value", "c"])
+    assert out.columns == ["value", "code", "c", "value_encoded", "c_encoded"]
+    assert sorted(map(tuple, out.collect()), key=lambda r: r[1]) == [("x", 1, "q", 1, 0), ("a", 2, None, 0, None), ("x", 3, "r", 1, 1)]
+    again = G.label_encode(out, ["value"])
+    assert sorted(again.columns) == sorted(out.columns)
+
+
+def test_years_reach_the_scan(spark, sf):
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    plan = orders.filter(schemas.in_years(orders, "o_orderdate", 1997, 1997))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+
+
+def test_unbought_items_on_many_shelves(spark):
+    rows = [(u, f"i{(u * k) % 50}") for u in range(1, 8) for k in range(9)] + [(9, None), (None, "i99")]
+    df = spark.createDataFrame(rows, "u LONG, i STRING")
+    items = {i for _, i in rows if i and _ is not None}
+    want = {(u, i) for u in {u for u, _ in rows if u is not None} for i in items if (u, i) not in rows}
+    for shelf in (3, 1000):
+        assert {tuple(r) for r in E.unbought_items(df, "u", "i", shelf).collect()} == want
+
+
 def test_p_values():
     # known points of Student's t
     assert math.isclose(S.t_test_p(2.228138852, 10), 0.05, abs_tol=1e-7)
