@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from shopsight.operators import labels as Y
@@ -14,7 +16,7 @@ from shopsight.plans.catalogue import query, rnd, sql_rnd
 from shopsight.plans.q_lifecycle import SQL_PRED, predictions, sql_quartile
 from shopsight.plans.q_rfm import base, segments, sql_segments
 from shopsight.plans.retail import SQL_ORD, SQL_RFM_BASE, SQL_TX, lines_view, orders_view
-from shopsight.session import materialize
+from shopsight.session import ensure_checkpoint_dir, materialize
 
 _RFM = ["recency", "frequency", "monetary"]
 
@@ -135,6 +137,19 @@ def j08(spark, sf):
     return result.tables["customers"].select("customer_id", "rfm_score", "segment", "total_spent", "category_diversity", "cluster")
 
 
+@query(
+    "m06_data_run_to_bundle",
+    f"""WITH {SQL_TX} SELECT customer_id, true AS has_cluster, true AS has_segment FROM tx GROUP BY 1""",
+)
+def m06_run(spark, sf):
+    """From a file to a saved bundle and back: the customers that the run wrote."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shopsight-run-{uuid.uuid4().hex}"
+    full_tx(spark, sf).write.parquet(f"{folder}/tx.parquet")
+    data_run.run(spark, f"{folder}/tx.parquet", f"{folder}/bundle", max_clusters=3)
+    out = spark.read.parquet(f"{folder}/bundle/tables/customers")
+    return out.select("customer_id", F.col("cluster").isNotNull().alias("has_cluster"), F.col("segment").isNotNull().alias("has_segment"))
+
+
 @query("i02_data_run_validation")
 def i02_run(spark, sf):
     return data_run.run_on(full_tx(spark, sf), max_clusters=3).tables["validation"]

@@ -20,7 +20,8 @@ from shopsight.plans.q_lifecycle import SQL_PRED
 from shopsight.plans.q_models import binary
 from shopsight.plans.q_rfm import base
 from shopsight.plans.retail import SQL_ORD, SQL_RFM_BASE, orders_view, table
-from shopsight.session import ensure_checkpoint_dir
+from shopsight.schemas import TABLES
+from shopsight.session import ensure_checkpoint_dir, materialize
 from shopsight.sources import readers, tables, writers
 from shopsight.streaming import live
 
@@ -142,6 +143,37 @@ def a14(spark, sf):
     return out.select("c_custkey", "c_mktsegment", "c_acctbal")
 
 
+@query(
+    "a15_declared_tables",
+    """SELECT 'customers' AS "table", 7 AS columns, count(*) AS rows FROM customer UNION ALL SELECT 'transactions', 9, count(*) FROM orders
+    UNION ALL SELECT 'customer_segments', 7, 0 UNION ALL SELECT 'model_predictions', 8, 0""",
+)
+def a15(spark, sf):
+    """The four declared tables, two of them filled, as the session's catalogue describes them."""
+    database = f"shopsight_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database}")
+    created = tables.create_tables(spark, database, scratch(spark, "tables"))
+    people = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("customer_id"))
+    bought = table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("transaction_id"),
+        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.col("o_totalprice").alias("purchase_amount"),
+    )
+    for name, rows in (("customers", people), ("transactions", bought)):
+        full = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in TABLES[name]]
+        writers.append_table(rows.select(*full), f"{database}.{name}")
+    out = None
+    for name in created:
+        declared = spark.table(name)
+        row = declared.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name.rpartition(".")[2]).alias("table"), F.lit(len(declared.columns)).alias("columns"), "rows"
+        )
+        out = row if out is None else out.unionByName(row)
+    out = materialize(out)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return out
+
+
 @query(
     "a16_table_info",
     """SELECT * FROM (VALUES ('n_nationkey', 'int'), ('n_name', 'string'), ('n_regionkey', 'int')) v("column", data_type), (SELECT count(*) AS rows FROM nation)""",

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +40,25 @@ def build_session(master: str | None = None, app: str = "shopsight", **conf: str
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let the session's Python workers import this package, wherever the driver was started.
+
+    Not needed where the package is installed on all machines. The driver serves a zip
+    of the sources to the executors, once for each context.
+    """
+    root = Path(__file__).resolve().parent
+    context = spark.sparkContext
+    known = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if str(root.parent) in known or getattr(context, "_shopsight_shipped", False):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="shopsight-package-")) / "shopsight.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._shopsight_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session.
 
