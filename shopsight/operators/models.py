@@ -34,13 +34,13 @@ from shopsight.operators.clean import impute
 from shopsight.operators.sampling import hash_split
 from shopsight.operators.similarity import empty_frame
 from shopsight.schemas import numeric_columns
-from shopsight.session import materialize
+from shopsight.session import materialize, together
 
 CLASSIFIERS = {
     "random_forest": lambda seed: RandomForestClassifier(numTrees=100, maxDepth=10, seed=seed),
     "logistic_regression": lambda seed: LogisticRegression(maxIter=100),
-    "gradient_boosting": lambda seed: GBTClassifier(maxIter=20, maxDepth=3, seed=seed),
-    "xgboost": lambda seed: GBTClassifier(maxIter=20, maxDepth=6, subsamplingRate=0.8, seed=seed),
+    "gradient_boosting": lambda seed: GBTClassifier(maxIter=100, maxDepth=3, seed=seed),
+    "xgboost": lambda seed: GBTClassifier(maxIter=100, maxDepth=6, subsamplingRate=0.8, seed=seed),
     "decision_tree": lambda seed: DecisionTreeClassifier(maxDepth=10, seed=seed),
     "svm": lambda seed: LinearSVC(maxIter=50),
     "naive_bayes": lambda seed: NaiveBayes(modelType="gaussian"),
@@ -48,8 +48,8 @@ CLASSIFIERS = {
 REGRESSORS = {
     "random_forest": lambda seed: RandomForestRegressor(numTrees=100, maxDepth=10, seed=seed),
     "linear_regression": lambda seed: LinearRegression(maxIter=100),
-    "gradient_boosting": lambda seed: GBTRegressor(maxIter=20, maxDepth=3, seed=seed),
-    "xgboost": lambda seed: GBTRegressor(maxIter=20, maxDepth=6, subsamplingRate=0.8, seed=seed),
+    "gradient_boosting": lambda seed: GBTRegressor(maxIter=100, maxDepth=3, seed=seed),
+    "xgboost": lambda seed: GBTRegressor(maxIter=100, maxDepth=6, subsamplingRate=0.8, seed=seed),
     "decision_tree": lambda seed: DecisionTreeRegressor(maxDepth=10, seed=seed),
 }
 
@@ -262,15 +262,19 @@ def learning_curve(
     data = with_folds(df, key, folds, seed)
     share = F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(10_000)) / 10_000
     evaluator = _cv_evaluator(task, scoring)
+
+    def scores(run: tuple[float, int]) -> tuple[float, float]:
+        size, fold = run
+        part = data.filter((F.col("fold") != fold) & (share < size))
+        fitted = build_pipeline(features, model, task, seed).fit(part)
+        rest = data.filter(F.col("fold") == fold)
+        return evaluator.evaluate(fitted.transform(part)), evaluator.evaluate(fitted.transform(rest))
+
+    runs = [(size, fold) for size in sizes for fold in range(folds)]
+    found = together(scores, runs)
     rows = []
-    for size in sizes:
-        train_scores, test_scores = [], []
-        for fold in range(folds):
-            part = data.filter((F.col("fold") != fold) & (share < size))
-            fitted = build_pipeline(features, model, task, seed).fit(part)
-            train_scores.append(evaluator.evaluate(fitted.transform(part)))
-            test_scores.append(evaluator.evaluate(fitted.transform(data.filter(F.col("fold") == fold))))
-        a, b = float(np.mean(train_scores)), float(np.mean(test_scores))
+    for i, size in enumerate(sizes):
+        a, b = (float(x) for x in np.mean(found[i * folds : (i + 1) * folds], axis=0))
         rows.append((float(size), a, b, a - b, a - b > 0.1))
     return df.sparkSession.createDataFrame(
         rows, "size DOUBLE, train_score DOUBLE, test_score DOUBLE, gap DOUBLE, is_overfitting BOOLEAN"

@@ -91,13 +91,13 @@ def g07(spark, sf):
 @query("j01_kmeans_segments")
 def j01(spark, sf):
     points = J.capped_input(base(spark, sf), _RFM)
-    labelled, _ = J.kmeans(points, 4, n_init=3)
+    labelled, _ = J.kmeans(points, 4)
     return labelled.select("customer_id", "cluster")
 
 
 @query("j02_cluster_sweep")
 def j02(spark, sf):
-    return J.sweep(J.capped_input(base(spark, sf), _RFM), 6)
+    return J.sweep(J.capped_input(base(spark, sf), _RFM))
 
 
 @query("j05_hierarchical_segments")
@@ -108,7 +108,7 @@ def j05(spark, sf):
 
 @query("j06_best_cluster_count")
 def j06(spark, sf):
-    k, table = J.choose_k(J.capped_input(base(spark, sf), _RFM), 5)
+    k, table = J.choose_k(J.capped_input(base(spark, sf), _RFM))
     return table.withColumn("is_chosen", F.col("k") == k)
 
 
@@ -118,7 +118,7 @@ def j07(spark, sf):
     points = J.capped_input(seg, _RFM)
     labels = {
         "rfm": seg.select("customer_id", F.col("segment").alias("cluster")),
-        "kmeans": J.kmeans(points, 3, n_init=1)[0],
+        "kmeans": J.kmeans(points, 3)[0],
         "hierarchical": J.hierarchical(points, 3)[0],
     }
     return J.compare_methods(points, labels)
@@ -133,7 +133,7 @@ def full_tx(spark, sf):
 
 @query("j08_segmented_customers")
 def j08(spark, sf):
-    result = data_run.run_on(full_tx(spark, sf), max_clusters=4)
+    result = data_run.run_on(full_tx(spark, sf))
     return result.tables["customers"].select("customer_id", "rfm_score", "segment", "total_spent", "category_diversity", "cluster")
 
 
@@ -145,14 +145,14 @@ def m06_run(spark, sf):
     """From a file to a saved bundle and back: the customers that the run wrote."""
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shopsight-run-{uuid.uuid4().hex}"
     full_tx(spark, sf).write.parquet(f"{folder}/tx.parquet")
-    data_run.run(spark, f"{folder}/tx.parquet", f"{folder}/bundle", max_clusters=3)
+    data_run.run(spark, f"{folder}/tx.parquet", f"{folder}/bundle")
     out = spark.read.parquet(f"{folder}/bundle/tables/customers")
     return out.select("customer_id", F.col("cluster").isNotNull().alias("has_cluster"), F.col("segment").isNotNull().alias("has_segment"))
 
 
 @query("i02_data_run_validation")
 def i02_run(spark, sf):
-    return data_run.run_on(full_tx(spark, sf), max_clusters=3).tables["validation"]
+    return data_run.run_on(full_tx(spark, sf)).tables["validation"]
 
 
 # --- labels ---------------------------------------------------------------------------
@@ -543,9 +543,15 @@ def k17(spark, sf):
 
 @query("k18_train_all_tasks")
 def k18(spark, sf):
-    names = ["decision_tree"]
+    """Every task compares its models; the best ones are tuned, trees over a part of their grid."""
     cust = materialize(customers(spark, sf))
-    return training_run.train_all(cust, names=names, tune=False)[1]
+    grids = {
+        "random_forest": {"numTrees": [50, 100], "maxDepth": [10]},
+        "xgboost": {"maxDepth": [3, 6], "stepSize": [0.1]},
+        "gradient_boosting": {"maxDepth": [3, 6], "stepSize": [0.1]},
+        "linear_regression": {"regParam": [0.0, 0.1]},
+    }
+    return training_run.train_all(cust, grids=grids)[1]
 
 
 @query("k19_feature_importance")
@@ -561,7 +567,7 @@ def k25(spark, sf):
 
 @query("k26_learning_curve")
 def k26(spark, sf):
-    return ML.learning_curve(churn_data(spark, sf), "customer_id", _FEATURES, "logistic_regression", "classification", sizes=(0.2, 0.6, 1.0))
+    return ML.learning_curve(churn_data(spark, sf), "customer_id", _FEATURES, "logistic_regression", "classification")
 
 
 @query("k29_ensemble")

@@ -242,7 +242,7 @@ def l09(spark, sf):
 @query("l11_method_evaluation")
 def l11(spark, sf):
     tx = lines_view(spark, sf, "customer_id", "rating", *_CONTENT)
-    return L.train_and_compare(tx, components=(5, 15))
+    return L.train_and_compare(tx)
 
 
 @query("l12_multi_method_recommendations")

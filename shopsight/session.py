@@ -9,10 +9,17 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterable
+from multiprocessing.pool import ThreadPool
 from pathlib import Path
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+R = TypeVar("R")
+
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -79,6 +86,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def together(run: Callable[[T], R], items: Iterable[T], parallelism: int = 5) -> list[R]:
+    """``run`` for every item, a few at a time, so that small jobs share the cluster; results in order."""
+    with ThreadPool(parallelism) as pool:
+        return pool.map(inheritable_thread_target(run), items, chunksize=1)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
 
