@@ -174,6 +174,74 @@ def _ranked_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str],
     )
 
 
+# half the width of the bracket around a quantile, as a part of the rows, and the accuracy it is found with
+_BRACKET, _ACCURACY = 0.001, 20_000
+
+
+def _brackets(n: int, probs: Sequence[float], edges: Sequence[float]) -> list[tuple[float | None, float | None]]:
+    """Disjoint closed value ranges that hold the rows around each quantile; None is open.
+
+    ``edges`` are approximate quantiles at ``p - _BRACKET`` and ``p + _BRACKET``. They are off by
+    at most ``n / _ACCURACY`` rows, so a bracket holds its rank unless there are few
+    rows, which are then all taken.
+    """
+    if n * _BRACKET < 10:
+        return [(None, None)]
+    found: list[tuple[float | None, float | None]] = []
+    for i, p in enumerate(sorted(probs)):
+        low = None if p <= _BRACKET else edges[2 * i]
+        high = None if p >= 1 - _BRACKET else edges[2 * i + 1]
+        if found and (low is None or found[-1][1] is None or low <= found[-1][1]):
+            found[-1] = (found[-1][0], high)
+        else:
+            found.append((low, high))
+    return found
+
+
+def _bracketed_histogram(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame | None:
+    """What :func:`_ranked_histogram` gives for whole columns, of the values near the quantiles only.
+
+    One pass finds approximate brackets, a second one counts what lies below each and keeps
+    the values inside, so no column is shuffled as a whole. None if no column has values.
+    """
+    wide = df.select(*[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(columns)])
+    at = [F.lit(min(max(p + side, 0.0), 1.0)) for p in sorted(probs) for side in (-_BRACKET, _BRACKET)]
+    first = wide.agg(
+        *[F.count(c).alias(f"_n{c}") for c in wide.columns],
+        *[F.percentile_approx(c, F.array(*at), F.lit(_ACCURACY)).alias(f"_e{c}") for c in wide.columns],
+    ).first()
+    sizes, parts = {}, []
+    for name, c in zip(columns, wide.columns, strict=True):
+        n, v = first[f"_n{c}"], F.col(c)
+        if not n:
+            continue
+        sizes[name] = n
+        for k, (low, high) in enumerate(_brackets(n, probs, first[f"_e{c}"])):
+            inside = v.isNotNull()
+            if low is not None:
+                inside = inside & (v >= F.lit(low))
+            if high is not None:
+                inside = inside & (v <= F.lit(high))
+            key = (F.lit(name).alias("column"), F.lit(k).alias("bracket"))
+            part = F.when(inside, F.struct(*key, v.alias("value")))
+            if low is not None:
+                part = part.when(v < F.lit(low), F.struct(*key, F.lit(None).cast("double").alias("value")))
+            parts.append(part)
+    if not parts:
+        return None
+    counted = wide.select(F.explode(F.filter(F.array(*parts), lambda e: e.isNotNull())).alias("p"))
+    counted = counted.groupBy("p.column", "p.bracket", "p.value").agg(F.count(F.lit(1)).alias("cnt"))
+    # the rows below come first as one NULL value
+    upto = Window.partitionBy("column", "bracket").orderBy(F.col("value").asc_nulls_first())
+    last = F.sum("cnt").over(upto.rowsBetween(Window.unboundedPreceding, 0))
+    rows = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])
+    placed = counted.withColumn("last_rank", last).filter(F.col("value").isNotNull())
+    return placed.select(
+        "column", "value", "cnt", rows[F.col("column")].alias("n"), "last_rank",
+        (F.col("last_rank") - F.col("cnt") + 1).alias("first_rank"),
+    )
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -183,10 +251,12 @@ def quantiles(
 ) -> DataFrame:
     """Exact linearly interpolated quantiles: ``(*by, column, n, q0, q1, ...)``.
 
-    Works from counted values, so neither a group nor a column has to fit in
-    one task. NULLs are ignored.
+    Groups work from counted values, whole columns from the values near each quantile,
+    so neither a group nor a column has to fit in one task. NULLs are ignored.
     """
-    ranked = _ranked_histogram(df, columns, by, rows_per_cell)
+    ranked = None if by else _bracketed_histogram(df, columns, probs)
+    if ranked is None:
+        ranked = _ranked_histogram(df, columns, by, rows_per_cell)
     aggs = []
     for i, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("n") - 1)

@@ -116,3 +116,24 @@ def test_cells_are_balanced_under_a_hot_value(spark):
     sizes = [r["count"] for r in O.with_cells(O.materialize(df), ["v", "id"], 100).groupBy("_cell").count().collect()]
     assert len(sizes) >= 15 and max(sizes) <= 2000 / 20 * 3
     assert math.isclose(sum(sizes), 2000)
+
+
+def test_quantiles_from_brackets(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    frame = pd.DataFrame(
+        {
+            "normal": rng.normal(0, 1, 30_000),
+            "ties": rng.integers(0, 7, 30_000).astype(float),
+            "hot": np.where(rng.random(30_000) < 0.4, 3.0, rng.random(30_000) * 10),
+            "holes": np.where(rng.random(30_000) < 0.3, np.nan, rng.exponential(5, 30_000)),
+        }
+    )
+    df = spark.createDataFrame(frame).replace(float("nan"), None).repartition(5).withColumn("none", F.lit(None).cast("double"))
+    probs = [0.0, 0.01, 0.25, 0.2505, 0.5, 0.9, 0.9995, 1.0]
+    for few in (False, True):
+        if few:  # every row is inside the one open bracket
+            monkeypatch.setattr(O, "_BRACKET", 1e-9)
+        got = O.quantile_values(df, [*frame.columns, "none"], probs)
+        for c in frame.columns:
+            assert np.allclose(got[c], frame[c].quantile(probs).to_numpy(), rtol=1e-12)
+        assert got["none"] == [None] * len(probs)
