@@ -306,9 +306,12 @@ def content_based(
     customer: str = "customer_id",
     min_token_len: int = 2,
     targets: DataFrame | None = None,
-    max_texts: int = 20_000,
 ) -> DataFrame:
-    """Cosine of a user's mean purchase vector with texts of categories never bought; best text per category."""
+    """Cosine of a user's mean purchase vector with texts of categories never bought; best text per category.
+
+    Users and texts meet in blocks, so neither texts nor tokens have to fit anywhere
+    as a whole. A user none of whose texts has a word gets no list.
+    """
     usable = [f for f in features if f in tx.columns]
     if not usable:
         raise ValueError("no content columns available")
@@ -322,41 +325,36 @@ def content_based(
         .agg(F.count(F.lit(1)).cast("double").alias("rating"))
     )
     texts = materialize(bought.groupBy("content").agg(F.max("category").alias("category")))
-    rows = texts.orderBy("content").limit(max_texts + 1).collect()
-    if len(rows) > max_texts:
-        raise ValueError(f"more than {max_texts} distinct texts")
-    contents = [r["content"] for r in rows]
-    at = {c: i for i, c in enumerate(contents)}
-    categories = sorted({r["category"] for r in rows})
-    cat_of = np.array([categories.index(r["category"]) for r in rows])
-    weights = tfidf(texts, min_token_len=min_token_len).collect()
-    tokens = {t: i for i, t in enumerate(sorted({r["token"] for r in weights}))}
-    x = np.zeros((len(contents), max(1, len(tokens))))
-    for r in weights:
-        x[at[r["content"]], tokens[r["token"]]] = r["weight"]
-    members = np.zeros((len(contents), len(categories)))
-    members[np.arange(len(contents)), cat_of] = 1.0
-    names = np.asarray(categories)
-    counts = bought.groupBy("user", F.col("content").alias("item")).agg(F.sum("rating").alias("rating"))
+    weights = materialize(tfidf(texts, min_token_len=min_token_len))
+    counts = _only(bought.groupBy("user", "content").agg(F.sum("rating").alias("rating")), targets)
+    # the mean of a user's texts; its length does not matter for the cosine
+    profiles = counts.join(weights, "content").groupBy(F.col("user").alias("row"), F.col("token").alias("col")).agg(
+        F.sum(F.col("rating") * F.col("weight")).alias("val")
+    )
+    rows = weights.join(texts, "content").select(
+        F.col("content").alias("row"), F.col("token").alias("col"), F.col("weight").alias("val"), F.col("category").alias("tag")
+    )
 
-    def score(users, m):
-        profile = (m @ x) / m.sum(1, keepdims=True)
-        length = np.linalg.norm(profile, axis=1, keepdims=True)
-        sims = np.where(length > 0, profile / np.maximum(length, 1e-300), 0.0) @ x.T
-        bought = (m > 0).astype(float) @ members > 0
-        best = np.stack([sims[:, cat_of == c].max(axis=1) for c in range(len(names))], axis=1)
-        r, c, v, rank = S.top_per_row(best, ~bought, names, n)
-        return pd.DataFrame({"user": users[r], "item": names[c], "score": v, "rank": rank})
+    def best(q_names, q, _names, u, _cols, tags):
+        kinds, names = pd.factorize(tags, sort=True)
+        out = []
+        for part, sims in S.cosine_slices(q, u):
+            top = np.stack([sims[:, kinds == k].max(axis=1) for k in range(len(names))], axis=1)
+            user, item = np.indices(top.shape)
+            out.append(pd.DataFrame({"user": q_names[part][user.ravel()], "item": names[item.ravel()], "score": top.ravel()}))
+        return pd.concat(out)
 
     schema = T.StructType(
         [
             T.StructField("user", tx.schema[customer].dataType),
             T.StructField("item", tx.schema[category].dataType),
             T.StructField("score", T.DoubleType()),
-            T.StructField("rank", T.IntegerType()),
         ]
     )
-    return S.map_row_blocks(_indexed(_only(counts, targets), contents), "user", "idx", "rating", len(contents), score, schema)
+    parts = S.between_blocks(materialize(profiles), materialize(rows), best, schema, tag=True)
+    scored = parts.groupBy("user", "item").agg(F.max("score").alias("score"))
+    had = bought.select("user", F.col("category").alias("item")).distinct()
+    return top_n(scored.join(had, ["user", "item"], "left_anti"), n)
 
 
 def hybrid(

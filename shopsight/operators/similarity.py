@@ -60,9 +60,10 @@ def gram(
     )
     n_row, n_col = _blocks(src, "row", row_block), _blocks(src, "col", col_block)
     placed = src.withColumns({"rb": _hash_block("row", n_row), "cb": _hash_block("col", n_col)})
-    # an entry serves every pair of column blocks its own block belongs to
-    other = F.explode(F.sequence(F.lit(0), F.lit(n_col - 1)))
-    spread = placed.withColumn("ob", other).select(
+    # an entry meets the column blocks that occur in its own row, however many there are in all
+    met = placed.groupBy("row").agg(F.collect_set("cb").alias("met"))
+    spread = placed.withColumn("ob", F.lit(0)) if n_col == 1 else placed.join(met, "row").withColumn("ob", F.explode("met"))
+    spread = spread.select(
         "row", "col", "val", "rb", "cb", F.least("cb", "ob").alias("pa"), F.greatest("cb", "ob").alias("pb")
     )
     key_type = entries.schema[col].dataType
@@ -160,37 +161,52 @@ def row_row_blocks(
     src = materialize(
         entries.select(F.col(row).alias("row"), F.col(col).alias("col"), F.col(val).cast("double").alias("val"))
     )
-    n_cols = src.agg(F.approx_count_distinct("col")).first()[0]
-    size = block or _row_block_size(n_cols)
     wanted = src if targets is None else src.join(targets.select(F.col(targets.columns[0]).alias("row")), "row", "left_semi")
-    n_u = _blocks(src, "row", size)
-    n_q = n_u if targets is None else _blocks(wanted, "row", size)
-    queries = wanted.select(
-        "row", "col", "val", F.lit(True).alias("is_query"), _hash_block("row", n_q).alias("qb"),
+    return between_blocks(wanted, src, handler, schema, block)
+
+
+def between_blocks(
+    queries: DataFrame, others: DataFrame, handler, schema: T.StructType, block: int | None = None, tag: bool = False
+) -> DataFrame:
+    """``handler`` on every block pair of two matrices given as ``(row, col, val)`` entries over the same columns.
+
+    With ``tag`` the entries of ``others`` have a column ``tag`` too, one value for each
+    row, and the handler gets those of its rows as last argument.
+    """
+    n_cols = others.agg(F.approx_count_distinct("col")).first()[0]
+    size = block or _row_block_size(n_cols)
+    n_u, n_q = _blocks(others, "row", size), _blocks(queries, "row", size)
+    asked = queries.select(
+        "row", "col", "val", _hash_block("row", n_q).alias("qb"),
         F.explode(F.sequence(F.lit(0), F.lit(n_u - 1))).alias("ub"),
     )
-    others = src.select(
-        "row", "col", "val", F.lit(False).alias("is_query"),
+    # new names for the columns, because both sides may come from one frame
+    held = others.select(
+        *[F.col(c).alias(c) for c in ("row", "col", "val", *(["tag"] if tag else []))],
         F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("qb"), _hash_block("row", n_u).alias("ub"),
     )
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        cols, col_names = pd.factorize(pdf["col"], sort=True)
-        is_q = pdf["is_query"].to_numpy()
-
-        def side(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            rows, names = pd.factorize(pdf["row"][mask], sort=True)
-            m = np.zeros((len(names), len(col_names)))
-            m[rows, cols[mask]] = pdf["val"][mask].to_numpy()
-            return np.asarray(names), m
-
-        q_names, q = side(is_q)
-        u_names, u = side(~is_q)
-        if not len(q_names) or not len(u_names):
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
             return empty_frame(schema)
-        return handler(q_names, q, u_names, u, np.asarray(col_names))
+        cols, col_names = pd.factorize(pd.concat([left["col"], right["col"]]), sort=True)
 
-    return queries.unionByName(others).groupBy("qb", "ub").applyInPandas(run, schema)
+        def side(pdf: pd.DataFrame, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            rows, names = pd.factorize(pdf["row"], sort=True)
+            m = np.zeros((len(names), len(col_names)))
+            m[rows, codes] = pdf["val"].to_numpy()
+            return np.asarray(names), m, rows
+
+        q_names, q, _ = side(left, cols[: len(left)])
+        u_names, u, rows = side(right, cols[len(left) :])
+        more = ()
+        if tag:
+            tags = np.empty(len(u_names), object)
+            tags[rows] = right["tag"].to_numpy()
+            more = (tags,)
+        return handler(q_names, q, u_names, u, np.asarray(col_names), *more)
+
+    return asked.groupBy("qb", "ub").cogroup(held.groupBy("qb", "ub")).applyInPandas(run, schema)
 
 
 def cosine_slices(q: np.ndarray, u: np.ndarray, rows: int = 512) -> Iterator[tuple[slice, np.ndarray]]:

@@ -253,17 +253,16 @@ def _events_stream(spark, sf):
     return live.read_stream(spark, folder, schema)
 
 
-def _run_to_end(stream, name: str, spark, mode: str):
-    q = (
-        stream.writeStream.outputMode(mode)
-        .format("memory")
-        .queryName(name)
-        .option("checkpointLocation", scratch(spark, "stream"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return spark.table(name)
+def _run_to_end(stream, spark, mode: str):
+    """Everything available now, written to files: whole results are replaced, new rows are appended."""
+    folder = scratch(spark, "sink")
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", scratch(spark, "stream"))
+    if mode == "append":
+        writer = writer.format("parquet").option("path", folder)
+    else:
+        writer = writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(folder))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(folder)
 
 
 @query(
@@ -274,7 +273,7 @@ def _run_to_end(stream, name: str, spark, mode: str):
 def n01(spark, sf):
     events = _events_stream(spark, sf).filter("event_type = 'purchase'")
     figures = live.live_key_figures(events, "ts", "value")
-    out = _run_to_end(figures, f"live_{uuid.uuid4().hex}", spark, "complete")
+    out = _run_to_end(figures, spark, "complete")
     return out.select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"), rnd("revenue", 2), "orders", rnd("avg_order_value", 4)
     )
@@ -299,4 +298,4 @@ def n03(spark, sf):
     folder = scratch(spark, "features")
     data.write.parquet(folder)
     stream = live.read_stream(spark, folder, data.schema)
-    return _run_to_end(live.score_stream(stream, model, "customer_id"), f"scores_{uuid.uuid4().hex}", spark, "append")
+    return _run_to_end(live.score_stream(stream, model, "customer_id"), spark, "append")
