@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopsight.llm.tables import map_batches
+
 BLOCK_ROWS = 4096
 QUERY_ROWS = 512
 
@@ -111,7 +113,7 @@ def search_blocks(
         if waiting:
             yield from answers()
 
-    found = stream.mapInArrow(run, f"query_id long, vec_id long, score {score_type}")
+    found = map_batches(stream, run, f"query_id long, vec_id long, score {score_type}")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))

@@ -23,10 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from shopsight.llm.pieces import PieceEncoder
+from shopsight.llm.tables import map_batches
 from shopsight.llm.words import chunks
 
 #: Pieces that a Python worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 #: Leaves of the trees that advance together.
 LEAVES = 1 << 18
 #: Ids that are decoded at a time; a longer row is decoded by itself.
@@ -180,6 +181,11 @@ def spellings(path: str) -> Spellings:
     return Spellings(path)
 
 
+def _binaries(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    buffers = [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())]
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, buffers)
+
+
 def _replaced(batch: pa.RecordBatch, column: str, name: str, values: pa.Array) -> pa.RecordBatch:
     kept = [c for c in batch.schema.names if c != column]
     return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), values], [*kept, name])
@@ -200,7 +206,27 @@ def encode(docs: DataFrame, path: str, column: str = "text", ids: str = "ids") -
                 flat, offsets = merges(path).encode(part.column(column))
                 yield _replaced(part, column, ids, pa.ListArray.from_arrays(offsets.astype(np.int32), flat))
 
-    return docs.mapInArrow(run, _schema(docs, column, ids, T.ArrayType(T.IntegerType())))
+    return map_batches(docs, run, _schema(docs, column, ids, T.ArrayType(T.IntegerType())))
+
+
+def round_trip(docs: DataFrame, path: str, column: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``docs`` with the ids of ``column`` and the bytes that these ids decode to in its place.
+
+    The same as :func:`encode` and :func:`decode`, in one pass of the data through Python.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, column):
+                flat, offsets = merges(path).encode(part.column(column))
+                data, ends = spellings(path).decode(flat, offsets)
+                lists = pa.ListArray.from_arrays(offsets.astype(np.int32), flat)
+                yield _replaced(_replaced(part, column, ids, lists), "", decoded, _binaries(data, ends))
+
+    schema = T.StructType([*_schema(docs, column, ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.BinaryType())])
+    if decoded in docs.columns:
+        raise ValueError(f"the input already has a column {decoded}")
+    return map_batches(docs, run, schema)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", column: str = "decoded") -> DataFrame:
@@ -215,9 +241,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", column: str = "decod
                 last = max(int(np.searchsorted(offsets, offsets[first] + DECODED_IDS, "right")) - 1, first + 1)
                 flat = rows.values.slice(offsets[first], offsets[last] - offsets[first]).to_numpy()
                 data, ends = spellings(path).decode(flat, offsets[first : last + 1] - offsets[first])
-                buffers = [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())]
-                texts = pa.Array.from_buffers(pa.binary(), last - first, buffers)
-                yield _replaced(batch.slice(first, last - first), ids, column, texts)
+                yield _replaced(batch.slice(first, last - first), ids, column, _binaries(data, ends))
                 first = last
 
-    return encoded.mapInArrow(run, _schema(encoded, ids, column, T.BinaryType()))
+    return map_batches(encoded, run, _schema(encoded, ids, column, T.BinaryType()))

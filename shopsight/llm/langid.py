@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopsight.llm.tables import fresh, save
+from shopsight.llm.tables import fresh, map_batches, save
 from shopsight.llm.words import Texts, chunks, texts_of
 
 WINDOW, WIDTHS, EMBEDDED, FILTERS = 256, (2, 3, 4), 8, 16
@@ -202,7 +202,7 @@ def fit(sample: DataFrame) -> Network | None:
             )
 
     ordered = sample.repartition(1).sortWithinPartitions("order", "text", "lang")
-    rows = ordered.mapInArrow(run, "languages array<string>, arrays array<binary>").collect()
+    rows = map_batches(ordered, run, "languages array<string>, arrays array<binary>").collect()
     if not rows:
         return None
     languages, packed = rows[0]["languages"], [np.frombuffer(a, "<f8") for a in rows[0]["arrays"]]
@@ -235,4 +235,4 @@ def identify(docs: DataFrame, net: Network | None, names: tuple[str, str] = ("la
 
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     schema = T.StructType([*docs.schema, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
-    return docs.withColumn(lettered, has_letter).mapInArrow(run, schema)
+    return map_batches(docs.withColumn(lettered, has_letter), run, schema)

@@ -14,9 +14,11 @@ Two registers agree with a probability near the similarity J.
    set sizes by maximum likelihood. The pair of the best estimate of each node is confirmed on
    the sets; confirmed links make first components.
 3. In buckets that still hold several components, all pairs across components
-   are estimated, block by block, and those near the limit or above are confirmed too. Pairs inside a
-   component need no link of their own, so a bucket of very many copies stays cheap
-   without leaving out any pair that could matter.
+   are estimated, block by block. Components with a pair near the limit or above form a cluster.
+   In each cluster every document outside its commonest component is compared exactly with
+   all others, again block by block, each set being sent once for each block it meets. Pairs inside a component
+   need no link of their own, so a group of very many copies stays cheap without leaving
+   out any pair that could matter.
 
 The estimate may drop a pair only if it is ``MARGIN`` below the limit, five standard errors.
 
@@ -33,11 +35,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopsight.llm.graph import components
-from shopsight.llm.tables import drop, save
+from shopsight.llm.tables import drop, map_batches, save
 from shopsight.llm.words import chunks, scramble, texts_of, window_hashes, windows, word_hashes, words_of
 
 #: Fixed values of 2-byte SetSketch registers.
@@ -45,8 +47,8 @@ BASE, RATE, LAST = 1.001, 20.0, 2**16 - 1
 ROWS, BANDS = 6, 45
 REGISTERS = ROWS * BANDS
 MARGIN = 0.12
-#: Members of a bucket that are held at a time.
-BLOCK = 2048
+#: Members of a bucket, and sets of a cluster, that are held at a time.
+BLOCK, SETS = 2048, 512
 
 _SKETCH = "doc_id long, sig int, n long, node binary, registers binary"
 
@@ -134,7 +136,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                     ["doc_id", "sig", "n", "node", "registers"],
                 )
 
-    return docs.select("doc_id", F.hash("text").alias("sig"), "text").mapInArrow(run, _SKETCH)
+    return map_batches(docs.select("doc_id", F.hash("text").alias("sig"), "text"), run, _SKETCH)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -158,7 +160,7 @@ def _band_rows(nodes: DataFrame) -> DataFrame:
                     ["key", "node", "n"],
                 )
 
-    return nodes.select("node", "n", "registers").mapInArrow(run, "key long, node binary, n long")
+    return map_batches(nodes.select("node", "n", "registers"), run, "key long, node binary, n long")
 
 
 def estimate(larger: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -204,7 +206,7 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, limit: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["a", "b", "j"])
 
     ordered = joined.select("a", "b", "n_a", "n_b", "r_a", "r_b")
-    return ordered.mapInArrow(run, "a binary, b binary, j double")
+    return map_batches(ordered, run, "a binary, b binary, j double")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -219,7 +221,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -> D
                 values, offsets = shingle_sets(part.column("text"), width)
                 yield pa.RecordBatch.from_arrays([part.column("node"), _column(values, offsets, 8)], ["node", "values"])
 
-    return chosen.select("node", "text").mapInArrow(run, "node binary, values binary").dropDuplicates(["node"])
+    return map_batches(chosen.select("node", "text"), run, "node binary, values binary").dropDuplicates(["node"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -240,65 +242,154 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -
                     keep.append(i)
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in "ab"], ["a", "b"])
 
-    return both.select("a", "b", "v_a", "v_b").mapInArrow(run, "a binary, b binary")
+    return map_batches(both.select("a", "b", "v_a", "v_b"), run, "a binary, b binary")
+
+
+class _Merged:
+    """Labels of one group as they are joined."""
+
+    def __init__(self, n: int) -> None:
+        self.parent = list(range(n))
+
+    def find(self, x: int) -> int:
+        while self.parent[x] != x:
+            self.parent[x] = self.parent[self.parent[x]]
+            x = self.parent[x]
+        return x
+
+    def spanning(self, i: int, others: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+        """Of the pairs (i, other) those that join labels which are still apart."""
+        out = []
+        _, first = np.unique(label[others], return_index=True)
+        for other in others[first].tolist():
+            a, b = self.find(int(label[i])), self.find(int(label[other]))
+            if a != b:
+                self.parent[b] = a
+                out.append((i, other))
+        return out
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """The rows of each group of ``keys``, which follow one another, as one batch."""
+    here, rows = None, []
+    for batch in batches:
+        codes = [batch.column(k).to_pylist() for k in keys]
+        names = list(zip(*codes, strict=True))
+        edges = [i for i in range(1, len(names)) if names[i] != names[i - 1]]
+        for first, last in zip([0, *edges], [*edges, len(names)], strict=True):
+            if first == last:
+                continue
+            if names[first] != here and rows:
+                yield pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+                rows = []
+            here = names[first]
+            rows.append(batch.slice(first, last - first))
+    if rows:
+        yield pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+
+
+def _pairs_of(node: pa.Array, pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    at = np.array(pairs, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([node.take(pa.array(at[:, 0])), node.take(pa.array(at[:, 1]))], ["a", "b"])
+
+
+def _codes(label: pa.Array) -> np.ndarray:
+    return np.unique(label.to_numpy(zero_copy_only=False), return_inverse=True)[1]
 
 
 def _across(mixed: DataFrame, limit: float, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) of one bucket and different labels whose estimate reaches ``limit``.
+    """Pairs (a, b) that join the labels of a bucket wherever any pair across them reaches ``limit``.
 
     ``mixed`` has (key, low, high, block, node, n, label, registers); a group of (key, low,
     high) holds the members of one or two blocks of the bucket.
     """
     num, den = similarity
-
-    def pairs(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
-        registers, n = _matrix(table.column("registers")), table.column("n").to_numpy()
-        label = np.unique(table.column("label").to_numpy(zero_copy_only=False), return_inverse=True)[1]
-        block = table.column("block").to_numpy()
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        left = np.flatnonzero(block == low)
-        right = np.flatnonzero(block == high)
-        # the members of the commonest label are compared with the others only
-        common = np.bincount(label[left]).argmax()
-        firsts, seconds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i in (left if low != high else left[label[left] != common]).tolist():
-            fits = (label[right] != label[i]) & (den * np.minimum(n[right], n[i]) >= num * np.maximum(n[right], n[i]))
-            if low == high:
-                fits &= (right > i) | (label[right] == common)
-            others = right[fits]
-            if len(others):
-                a, b = registers[i], registers[others]
-                j = estimate((a > b).sum(axis=1), (a < b).sum(axis=1), np.full(len(others), n[i]), n[others])
-                others = others[j >= limit]
-                firsts.append(np.full(len(others), i))
-                seconds.append(others)
-        node = table.column("node")
-        a, b = node.take(pa.array(np.concatenate(firsts))), node.take(pa.array(np.concatenate(seconds)))
-        return pa.RecordBatch.from_arrays([a, b], ["a", "b"])
+    keys = ("key", "low", "high")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, rows = None, []
-        for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy() for c in ("key", "low", "high")])
-            edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            for first, last in zip([0, *edges], [*edges, batch.num_rows], strict=True):
-                if first == last:
-                    continue
-                now = tuple(keys[:, first].tolist())
-                if now != here and rows:
-                    yield pairs(rows)
-                    rows = []
-                here = now
-                rows.append(batch.slice(first, last - first))
-        if rows:
-            yield pairs(rows)
-
-    group = ("key", "low", "high")
-    found = mixed.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, "a binary, b binary")
+        for group in _grouped(batches, keys):
+            registers, n = _matrix(group.column("registers")), group.column("n").to_numpy()
+            label, block = _codes(group.column("label")), group.column("block").to_numpy()
+            low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
+            left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+            # members of the commonest label need not be compared with one another
+            common = np.bincount(label[left]).argmax()
+            merged, pairs = _Merged(int(label.max()) + 1), []
+            for i in (left if low != high else left[label[left] != common]).tolist():
+                fits = (label[right] != label[i]) & (den * np.minimum(n[right], n[i]) >= num * np.maximum(n[right], n[i]))
+                others = right[fits]
+                if len(others):
+                    a, b = registers[i], registers[others]
+                    j = estimate((a > b).sum(axis=1), (a < b).sum(axis=1), np.full(len(others), n[i]), n[others])
+                    pairs += merged.spanning(i, others[j >= limit], label)
+            yield _pairs_of(group.column("node"), pairs)
+
+    found = map_batches(mixed.repartition(*keys).sortWithinPartitions(*keys), run, "a binary, b binary")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _clusters(labels: DataFrame, across: DataFrame) -> DataFrame:
+    """(cluster, node, label) of all nodes whose component was joined with another by ``across``."""
+    linked = labels.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(across)
+    roots = components(linked)
+    every = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    touched = every.join(_ends(across), "node", "left_semi").select("root").distinct()
+    inside = every.join(touched, "root", "left_semi").withColumnRenamed("root", "cluster")
+    named = inside.join(labels.withColumnRenamed("root", "label"), "node", "left")
+    return named.select("cluster", "node", F.coalesce("label", "node").alias("label"))
+
+
+def _cluster_links(clusters: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Links (a, b) that join the labels of each cluster, from exact comparisons of all pairs that could join any."""
+    num, den = similarity
+    sizes = clusters.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("cluster").agg(
+        F.max_by("label", F.struct("n", "label")).alias("common"), F.max("n").alias("most"), F.sum("n").alias("all")
+    )
+    sizes = sizes.select(
+        "cluster",
+        "common",
+        F.ceil((F.col("all") - F.col("most")) / SETS).alias("rests"),
+        F.ceil(F.col("all") / SETS).alias("alls"),
+    )
+    place = F.xxhash64("node")
+    rows = clusters.join(sizes, "cluster").join(sets, "node")
+
+    def numbers(column: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(column) - 1))
+
+    rest = rows.filter("label <> common").withColumns({"low": F.pmod(place, F.col("rests")), "high": numbers("alls")})
+    whole = rows.withColumns({"low": numbers("rests"), "high": F.pmod(place, F.col("alls"))})
+    keys = ("cluster", "low", "high")
+    columns = [*keys, "side", "node", "label", "values"]
+    dealt = rest.withColumn("side", F.lit(0)).select(*columns).unionByName(whole.withColumn("side", F.lit(1)).select(*columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches, keys):
+            side, label = group.column("side").to_numpy(), _codes(group.column("label"))
+            parts = [np.frombuffer(v.as_buffer(), np.uint64) for v in group.column("values")]
+            n = np.array([len(p) for p in parts])
+            code = np.unique(np.concatenate(parts), return_inverse=True)[1]
+            start = np.cumsum(n) - n
+            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            if not len(left) or not len(right):
+                continue
+            against = np.concatenate([code[start[j] : start[j] + n[j]] for j in right])
+            begins = np.cumsum(n[right]) - n[right]
+            has = np.zeros(int(code.max()) + 1, np.int64)
+            merged, pairs = _Merged(int(label.max()) + 1), []
+            for i in left.tolist():
+                mine = code[start[i] : start[i] + n[i]]
+                has[mine] = 1
+                both = np.add.reduceat(has[against], begins)
+                has[mine] = 0
+                linked = (den * both >= num * (n[i] + n[right] - both)) & (label[right] != label[i])
+                pairs += merged.spanning(i, right[linked], label)
+            yield _pairs_of(group.column("node"), pairs)
+
+    return map_batches(dealt.repartition(*keys).sortWithinPartitions(*keys), run, "a binary, b binary").distinct()
+
+
 def _mixed_buckets(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
     """Members of buckets that hold several components, dealt to pairs of blocks."""
     named = members.join(labels, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
@@ -346,13 +437,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: tuple[int, int]
     labels = components(first)
 
     mixed = _mixed_buckets(members.select("key", "node", "n"), labels, nodes)
-    tried = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    across = save(_across(mixed, limit, similarity).join(tried, ["a", "b"], "left_anti"), "across")
-    more_sets = save(_sets(docs, nodes, _ends(across).join(sets, "node", "left_anti"), width), "sets")
-    second = _confirmed(across, sets.unionByName(more_sets), similarity)
+    across = save(_across(mixed, limit, similarity), "across")
+    clusters = save(_clusters(labels, across), "clusters")
+    more_sets = save(_sets(docs, nodes, clusters.join(sets, "node", "left_anti"), width), "sets")
+    second = _cluster_links(clusters, sets.unionByName(more_sets), similarity)
     links = labels.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(second)
     roots = components(links)
-    drop(members, likely, best, sets, first, across, more_sets)
+    drop(members, likely, best, sets, first, across, clusters, more_sets)
 
     named = nodes.select("node", F.col("rep.doc_id").alias("least")).join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))

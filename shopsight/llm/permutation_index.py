@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopsight.llm.blocks import best_of, distinct_queries, search_blocks, usable, with_blocks
+from shopsight.llm.tables import map_batches
 
 #: Sampled vectors of one dimension; with the mirror images there are twice as many pivots.
 PIVOTS = 256
@@ -90,7 +91,7 @@ def _with_nearest(rows: DataFrame, pivots: Pivots, part: float, extended: bool)
                 yield pa.RecordBatch.from_arrays([*some.columns, lists], [*some.schema.names, "near"])
 
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema), "near array<int>"])
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)
 
 
 class InvertedFiles:

@@ -33,7 +33,7 @@ class PieceEncoder:
         """Ids of all texts of a column, one after another, and the n + 1 offsets of the texts in them."""
         texts = texts_of(column)
         start = piece_starts(texts)
-        end = np.append(start[1:], len(texts.data))
+        end = np.append(start[1:], len(texts.data))[: len(start)]
         code, distinct = pd.factorize(span_hashes(texts.data, start, end))
         slot = np.fromiter((self.known.get(h, -1) for h in distinct.tolist()), np.int64, len(distinct))
         new = np.flatnonzero(slot < 0)

@@ -64,12 +64,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): ids of whole texts and the bytes they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs.select("doc_id", "text"), path)
+    coded = bpe.round_trip(docs.select("doc_id", "text"), path)
     joined = F.concat_ws(" ", F.col("ids").cast("array<string>"))
-    counted = encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), "ids"
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(joined, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    return bpe.decode(counted, path).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
 @query("op2_byte_bpe")

@@ -29,13 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopsight.llm.tables import drop, even_keys, fresh, save, text_bytes
+from shopsight.llm.tables import drop, even_keys, fresh, map_batches, save, text_bytes
 from shopsight.llm.words import Words, chunks, scramble, texts_of, window_hashes, windows, word_hashes, words_of
 
 #: Bytes of text whose blocks one task compares, about.
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 #: Blocks or windows that a batch settles among its own.
-BATCH = 1 << 20
+BATCH = 1 << 19
 
 _PACKED = "part int, kind int, ids binary, sigs binary, n binary, pos binary, keys binary"
 #: Kinds of packed rows: to be compared, already found, blocks known to be hits.
@@ -242,7 +242,7 @@ def _compared(packed: DataFrame, keys: list[int], block: int, pairs: bool) -> Da
             if out:
                 yield _batch_of(out)
 
-    return packed.repartition(len(keys), "part").sortWithinPartitions("part").mapInArrow(run, _PACKED)
+    return map_batches(packed.repartition(len(keys), "part").sortWithinPartitions("part"), run, _PACKED)
 
 
 def _by_document(found: DataFrame, keys: list[int]) -> DataFrame:
@@ -253,7 +253,7 @@ def _by_document(found: DataFrame, keys: list[int]) -> DataFrame:
             yield _documents(Entries.joined([_unpack(row, 0, False) for row in rows]))
 
     dealt = found.repartition(len(keys), "part").sortWithinPartitions("part")
-    return dealt.mapInArrow(run, "_id long, _sig int, _pos binary")
+    return map_batches(dealt, run, "_id long, _sig int, _pos binary")
 
 
 def _positions(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -322,9 +322,9 @@ def repeated_windows(docs: DataFrame, width: int = 13) -> DataFrame:
 
         yield from batched(entries(), lambda some: _settled_windows(some, keys))
 
-    hits = save(_compared(signed.mapInArrow(probes, _PACKED), keys, block, pairs=False), "substring-hits")
+    hits = save(_compared(map_batches(signed, probes, _PACKED), keys, block, pairs=False), "substring-hits")
     joined = signed.join(_by_document(hits, keys), (F.col("doc_id") == F.col("_id")) & (F.col("sig") == F.col("_sig")))
-    packed = joined.select("doc_id", "sig", "text", "_pos").mapInArrow(extended, _PACKED)
+    packed = map_batches(joined.select("doc_id", "sig", "text", "_pos"), extended, _PACKED)
     repeated = save(_compared(packed, keys, block, pairs=True), "substring-repeats")
     drop(hits)
     return _by_document(repeated, keys)
@@ -394,4 +394,4 @@ def remove_repeats(
                 )
 
     schema = T.StructType([*docs.schema, *(T.StructField(name, T.LongType()) for name in counts)])
-    return marked.select(*names, pos).mapInArrow(run, schema)
+    return map_batches(marked.select(*names, pos), run, schema)

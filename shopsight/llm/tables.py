@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shopsight.session import ensure_checkpoint_dir
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of the Arrow batches that tasks hand to Python, about; Spark's own default is 64 MB.
+BATCH_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,6 +38,17 @@ def _shuffles_end_with_the_job(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_CLEANUP, before)
 
 
+def map_batches(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` in batches of about ``BATCH_BYTES``, so that a task holds little on either side.
+
+    Spark reads the bound when the plan runs, so it is set for the session; a smaller one stays.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get(_BATCH).rstrip("b")) > BATCH_BYTES:
+        conf.set(_BATCH, f"{BATCH_BYTES}b")
+    return df.mapInArrow(run, schema)
+
+
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back; cuts the lineage."""
     spark = df.sparkSession

@@ -32,14 +32,16 @@ from tokenizers import Tokenizer
 from shopsight.llm import simple8b
 from shopsight.llm.files import filesystem, write_once
 from shopsight.llm.pieces import PieceEncoder
-from shopsight.llm.tables import save, shared_path, text_bytes
+from shopsight.llm.tables import map_batches, save, shared_path, text_bytes
 from shopsight.llm.words import chunks
 
 MAGIC = b"S8BIDS01"
 #: Bytes of text that a task writes to one file, about.
 FILE_BYTES = 32 << 20
+#: Bytes of text that are encoded at a time: in larger stretches fewer pieces are new.
+TEXT_BYTES = 2 << 20
 #: Pieces that a Python worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 500_000
 #: Ids that are packed or unpacked at a time; whole blocks.
 STRETCH = simple8b.BLOCK * 2048
 _SIZES = struct.Struct("<5q")
@@ -132,7 +134,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int | None = None, fol
         number = TaskContext.get().partitionId()
         writer = _Writer()
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", TEXT_BYTES):
                 ids, counts = encode_texts(part, path, end_id)
                 writer.add(part.column("doc_id"), ids, counts)
         pieces, n_docs, n_ids = writer.finish()
@@ -144,7 +146,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int | None = None, fol
 
     files = max(1, -(-text_bytes(docs) // FILE_BYTES))
     ordered = docs.select("doc_id", "text", F.xxhash64("text").alias("hash")).repartitionByRange(files, "doc_id", "hash")
-    written = ordered.sortWithinPartitions("doc_id", "hash").select("doc_id", "text").mapInArrow(run, INDEX)
+    written = map_batches(ordered.sortWithinPartitions("doc_id", "hash").select("doc_id", "text"), run, INDEX)
     return save(written, "token-index")
 
 
@@ -213,4 +215,4 @@ def read_token_files(index: DataFrame, id_bytes: int = 4) -> DataFrame:
     schema = "doc_id long, start long, n_tokens long, ids binary"
     # rows are few but each stands for a file, so their number and not their size deals them out
     files = max(1, index.count())
-    return based.repartition(files, "number").select("file", "base").mapInArrow(run, schema)
+    return map_batches(based.repartition(files, "number").select("file", "base"), run, schema)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopsight.llm.files import filesystem, write_once
-from shopsight.llm.tables import save, shared_path
+from shopsight.llm.tables import map_batches, save, shared_path
 
 #: Ranges with a gap of at most ``GAP`` bytes are read at once, up to ``READ`` bytes.
 GAP, READ = 1 << 16, 8 << 20
@@ -153,7 +153,7 @@ def write(pages: DataFrame, revisit_from: int = 0, folder: str | None = None, da
             yield pa.RecordBatch.from_pydict(index, schema)
 
     ordered = _with_referred(pages, revisit_from).sortWithinPartitions("page_id", "url", "html")
-    return save(ordered.mapInArrow(run, INDEX), "warc-index")
+    return save(map_batches(ordered, run, INDEX), "warc-index")
 
 
 def _chain(first: bytes, rest: Iterator[bytes]) -> Iterator[bytes]:
@@ -199,4 +199,4 @@ def read(index: DataFrame) -> DataFrame:
 
     located = index.select("file", "offset", "length", F.floor(F.col("offset") / STRETCH).alias("stretch"))
     ordered = located.repartition("file", "stretch").sortWithinPartitions("file", "offset")
-    return ordered.select("file", "offset", "length").mapInArrow(run, RECORD)
+    return map_batches(ordered.select("file", "offset", "length"), run, RECORD)

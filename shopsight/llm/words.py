@@ -13,8 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text that are worked on at a time; a longer text is a chunk by itself.
-CHUNK_BYTES = 1 << 20
+#: Bytes and rows of text that are worked on at a time; a longer text is a chunk by itself.
+CHUNK_BYTES, CHUNK_ROWS = 1 << 19, 2048
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -70,12 +70,13 @@ def texts_of(column: pa.Array) -> Texts:
 
 
 def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of ``batch`` with at most ``limit`` bytes of text, or one row."""
+    """Slices of ``batch`` with at most ``limit`` bytes of text and ``CHUNK_ROWS`` rows, or one row."""
     ends = texts_of(batch.column(column)).offsets[1:]
     first = 0
     while first < batch.num_rows:
         base = ends[first - 1] if first else 0
         last = max(int(np.searchsorted(ends, base + limit, "right")), first + 1)
+        last = min(last, first + CHUNK_ROWS)
         yield batch.slice(first, last - first)
         first = last
 
