@@ -21,7 +21,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopsight.llm.tables import save
+from shopsight.llm.tables import fresh, save
 
 #: A word is a run of characters other than space and the controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -135,24 +135,23 @@ def repeat(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     spaces. Rows that are equal in id and text are matched once each.
     """
     columns = docs.columns
-    one = Window.partitionBy("_id", "_hash").orderBy(F.lit(0))
+    text, row, id_, hash_, nth, whole, part = (fresh(docs, f"_mix_{c}") for c in ("text", "row", "id", "hash", "nth", "whole", "part"))
     taken = mixed.filter(F.col("taken") > 0).select(
-        F.col("doc_id").alias("_id"),
-        F.col("_text_hash").alias("_hash"),
-        F.floor(F.col("taken") / F.col("size")).cast("int").alias("_whole"),
-        (F.col("taken") % F.col("size")).alias("_part"),
+        F.col("doc_id").alias(id_),
+        F.col("_text_hash").alias(hash_),
+        F.floor(F.col("taken") / F.col("size")).cast("int").alias(whole),
+        (F.col("taken") % F.col("size")).cast("int").alias(part),
     )
-    taken = taken.withColumn("_nth", F.row_number().over(one))
-    same = Window.partitionBy("doc_id", "_text").orderBy(F.lit(0))
-    numbered = docs.withColumn("_text", F.xxhash64("text")).withColumn("_row", F.row_number().over(same))
+    taken = taken.withColumn(nth, F.row_number().over(Window.partitionBy(id_, hash_).orderBy(F.lit(0))))
+    same = Window.partitionBy("doc_id", text).orderBy(F.lit(0))
+    numbered = docs.withColumn(text, F.xxhash64("text")).withColumn(row, F.row_number().over(same))
     joined = numbered.join(
-        taken,
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")) & (F.col("_row") == F.col("_nth")),
+        taken, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(text) == F.col(hash_)) & (F.col(row) == F.col(nth))
     )
     words = F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0))
-    part = F.array_join(F.slice(words, F.lit(1), F.col("_part").cast("int")), " ")
-    copies = F.array_repeat(F.col("text"), F.col("_whole"))
-    texts = F.when(F.col("_part") > 0, F.concat(copies, F.array(part))).otherwise(copies)
-    return joined.withColumn("_copy", F.explode(texts)).select(
-        *[F.col("_copy").alias(c) if c == "text" else F.col(c) for c in columns]
+    first = F.array_join(F.slice(words, F.lit(1), F.col(part)), " ")
+    copies = F.array_repeat(F.col("text"), F.col(whole))
+    texts = F.when(F.col(part) > 0, F.concat(copies, F.array(first))).otherwise(copies)
+    return joined.withColumn(text, F.explode(texts)).select(
+        *[F.col(text).alias(c) if c == "text" else F.col(c) for c in columns]
     )
