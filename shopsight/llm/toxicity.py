@@ -23,14 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopsight.llm.tables import fresh, save
+from shopsight.llm.tables import fresh, map_batches, save
 from shopsight.llm.words import Texts, chunks, span_hashes, texts_of
 
 BUCKETS = 1 << 18
 PREFIXES = (4, 5)
 #: Bounds of the training sample: documents of each label, and bytes of one of them.
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 2500, 5000, 1 << 16
-EPOCHS, DOCS_PER_STEP, RATE, DECAY = 10, 128, 0.3, 1e-2
+STEPS, DOCS_PER_STEP, RATE, DECAY = 600, 128, 0.3, 1e-2
 #: Log odds of a sentence that nothing is known about.
 PRIOR = -8.0
 
@@ -104,7 +104,8 @@ def fit(texts: list[Sentences], labels: np.ndarray) -> np.ndarray:
     rng = np.random.default_rng(0)
     # both labels weigh the same in total
     weight_of = np.where(labels == 1, 0.5 / max(labels.mean(), 1e-9), 0.5 / max(1 - labels.mean(), 1e-9))
-    for _ in range(EPOCHS):
+    steps_a_round = -(-len(texts) // DOCS_PER_STEP)
+    for _ in range(-(-STEPS // steps_a_round)):
         order = rng.permutation(len(texts))
         for first in range(0, len(order), DOCS_PER_STEP):
             some = order[first : first + DOCS_PER_STEP]
@@ -155,7 +156,7 @@ def train(sample: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], ["weights"])
 
     ordered = sample.repartition(1).sortWithinPartitions("order", "text")
-    rows = ordered.mapInArrow(run, "weights binary").collect()
+    rows = map_batches(ordered, run, "weights binary").collect()
     return np.frombuffer(rows[0]["weights"], np.float32) if rows else np.zeros(BUCKETS, np.float32)
 
 
@@ -183,4 +184,4 @@ def score(docs: DataFrame, weights: np.ndarray, names: tuple[str, str] = ("score
 
     added = [T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.ArrayType(T.StringType()))]
     schema = T.StructType([*(docs.schema[c] for c in kept), *added])
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)

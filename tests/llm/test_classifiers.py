@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shopsight.llm import langid, toxicity
+from shopsight.llm import langid, queries, toxicity  # noqa: F401
 from shopsight.llm.registry import QUERIES
 
 TABLES = "/root/testdata/sf0.01"

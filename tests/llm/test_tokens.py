@@ -39,7 +39,7 @@ TEXTS = st.lists(
 def test_pieces_are_the_matches_of_the_pattern(texts):
     whole = texts_of(pa.array(texts, pa.string()))
     start = pretokens.piece_starts(whole)
-    end = np.append(start[1:], len(whole.data))
+    end = np.append(start[1:], len(whole.data))[: len(start)]
     got = [bytes(whole.data[a:b]) for a, b in zip(start, end, strict=True)]
     assert got == [m.encode() for t in texts if t for m in SPLIT.findall(t)]
 
@@ -66,7 +66,9 @@ def test_encode_and_decode_whole_tables(docs, no_docs, rows, reference):
     assert sorted([(r[0], bytes(r[1])) for r in back], key=key) == sorted([(i, (t or "").encode()) for i, t in rows], key=key)
     ids = encoded.filter("doc_id = 12").first()["ids"]
     assert ids == reference.encode_ordinary(next(t for i, t in rows if i == 12))
-    assert bpe.decode(bpe.encode(no_docs, RANKS), RANKS).count() == 0
+    both = {(r["doc_id"], bytes(r["decoded"])): r["ids"] for r in bpe.round_trip(docs, RANKS).collect()}
+    assert both[(12, next(t for i, t in rows if i == 12).encode())] == ids and len(both) == len(set(rows))
+    assert bpe.decode(bpe.encode(no_docs, RANKS), RANKS).count() == 0 == bpe.round_trip(no_docs, RANKS).count()
     with pytest.raises(ValueError):
         bpe.encode(docs, RANKS, ids="size")
 
