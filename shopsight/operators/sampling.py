@@ -12,7 +12,9 @@ from shopsight.session import materialize
 
 
 def _hash(key: Sequence[str], seed: int) -> Column:
-    return F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
+    """60 bits of the MD5 of key and seed, which other engines can compute too."""
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
 def sample_rows(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> DataFrame:

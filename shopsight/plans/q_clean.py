@@ -456,12 +456,22 @@ def f03(spark, sf):
     return E.top_per_group(orders, ["customer_id"], "amount", ["order_id"], 3).select("customer_id", "order_id", "rank")
 
 
-@query("f04_fixed_size_sample")
+_SQL_HASH = "('0x' || substr(md5(concat_ws('|', o_orderkey, '42')), 1, 15))::BIGINT"
+
+
+@query(
+    "f04_fixed_size_sample",
+    f"""SELECT o_custkey AS customer_id, o_orderkey AS order_id, o_orderdate AS purchase_date, o_totalprice AS amount FROM orders
+    ORDER BY {_SQL_HASH}, o_orderkey LIMIT 100""",
+)
 def f04(spark, sf):
     return P.sample_rows(orders_view(spark, sf), ["order_id"], 100, seed=42)
 
 
-@query("f06_hash_split")
+@query(
+    "f06_hash_split",
+    f"SELECT CASE WHEN {_SQL_HASH} % 1000 < 200 THEN 'test' ELSE 'train' END AS part, count(*) AS rows FROM orders GROUP BY 1",
+)
 def f06(spark, sf):
     train, test = P.hash_split(orders_view(spark, sf), ["order_id"], 20, seed=42)
     sizes = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
