@@ -9,6 +9,7 @@ and the best of those are the result.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from typing import Protocol
 
 import numpy as np
@@ -35,12 +36,34 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & finite, F.lit(False))
 
 
-def with_blocks(vectors: DataFrame) -> DataFrame:
-    """Add ``dim`` and ``block`` to (vec_id, vector, ...): blocks of about ``BLOCK_ROWS`` rows of one dimension."""
+@dataclass
+class Index:
+    """Rows (dim, block, vec_id, vector, ...) and how many blocks each dimension has."""
+
+    rows: DataFrame
+    blocks: dict[int, int]
+
+    def blocks_of(self, dim: str) -> Column:
+        return _lookup(self.blocks, dim)
+
+
+def _lookup(blocks: dict[int, int], dim: str) -> Column:
+    if not blocks:
+        return F.lit(None).cast("int")
+    return F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair])[F.col(dim)]
+
+
+def in_blocks(vectors: DataFrame) -> Index:
+    """(vec_id, vector, ...) dealt to blocks of about ``BLOCK_ROWS`` rows of one dimension.
+
+    The block counts reach the driver, a row for each dimension, so neither vectors
+    nor queries are ever shuffled by dimension.
+    """
     sized = vectors.withColumn("dim", F.size("vector"))
-    many = sized.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("_blocks"))
-    block = F.pmod(F.xxhash64("vec_id"), F.col("_blocks")).cast("int")
-    return sized.join(many, "dim").withColumn("block", block).drop("_blocks")
+    many = sized.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks")).collect()
+    blocks = {r["dim"]: r["blocks"] for r in many}
+    block = F.pmod(F.xxhash64("vec_id"), _lookup(blocks, "dim")).cast("int")
+    return Index(sized.withColumn("block", block), blocks)
 
 
 def distinct_queries(vectors: DataFrame) -> DataFrame:
@@ -53,7 +76,7 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def search_blocks(
-    index: DataFrame,
+    index: Index,
     queries: DataFrame,
     make_block: Callable[[np.ndarray, np.ndarray, np.ndarray | None], Block],
     k: int,
@@ -62,13 +85,13 @@ def search_blocks(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` rows of ``index`` with the highest score, ties to the smaller vec_id.
 
-    ``index`` has (dim, block, vec_id, vector) and ``queries`` (dim, vec_id, vector); both may
-    have an array column ``extra`` that is handed to the block.
+    ``queries`` has (dim, vec_id, vector); both sides may have an array column ``extra``
+    that is handed to the block.
     """
     columns = ["vec_id", "vector", *([extra] if extra else [])]
-    blocks = index.select("dim", "block").distinct()
-    held = index.select("dim", "block", F.lit(0).alias("kind"), *columns)
-    asked = queries.join(blocks, "dim").select("dim", "block", F.lit(1).alias("kind"), *columns)
+    held = index.rows.select("dim", "block", F.lit(0).alias("kind"), *columns)
+    every = F.explode(F.sequence(F.lit(0), index.blocks_of("dim") - 1))
+    asked = queries.withColumn("block", every).select("dim", "block", F.lit(1).alias("kind"), *columns)
     stream = held.unionByName(asked).repartition("dim", "block").sortWithinPartitions("dim", "block", "kind", "vec_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,6 +8,22 @@ from pyspark.sql import functions as F
 from shopsight.llm.tables import drop, save
 
 
+def forest_roots(parents: DataFrame) -> DataFrame:
+    """(node, root) for (node, parent), one row a node, where a parent is smaller than its node.
+
+    Pointers are doubled until none can move, so a chain of n takes log2(n) joins.
+    """
+    now = save(parents.select("node", F.col("parent").alias("root")), "roots")
+    while True:
+        above = now.select(F.col("node").alias("root"), F.col("root").alias("above"))
+        moved = now.join(above, "root", "left")
+        after = save(moved.select("node", F.coalesce("above", "root").alias("root"), F.col("above").isNotNull().alias("moved")), "roots")
+        drop(now)
+        now = after.select("node", "root")
+        if after.filter("moved").isEmpty():
+            return now
+
+
 def _both_ways(links: DataFrame) -> DataFrame:
     return links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
 

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopsight.llm.blocks import best_of, distinct_queries, search_blocks, usable, with_blocks
+from shopsight.llm.blocks import Index, best_of, distinct_queries, in_blocks, search_blocks, usable
 
 LEVELS = 24
 #: Bounds are compared when the largest unread norm is below this part of the largest norm.
@@ -97,13 +97,13 @@ def impacts(vector: Column, scale: int) -> Column:
     return F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("long"))
 
 
-def build_index(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """(dim, block, vec_id, vector): the impacts of all usable rows of (vec_id, embedding), dealt to blocks."""
+def build_index(vectors: DataFrame, scale: int = 256) -> Index:
+    """The impacts of all usable rows of (vec_id, embedding), dealt to blocks."""
     whole = vectors.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
-    return with_blocks(whole.select("vec_id", impacts(F.col("embedding"), scale).alias("vector")))
+    return in_blocks(whole.select("vec_id", impacts(F.col("embedding"), scale).alias("vector")))
 
 
-def search(index: DataFrame, queries: DataFrame, k: int, scale: int = 256) -> DataFrame:
+def search(index: Index, queries: DataFrame, k: int, scale: int = 256) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` largest integer inner products for each row of (vec_id, embedding)."""
     asked = queries.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
     asked = distinct_queries(asked.select("vec_id", impacts(F.col("embedding"), scale).alias("vector")))

@@ -174,7 +174,11 @@ def training_sample(docs: DataFrame) -> DataFrame:
     )
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
     ordered = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("order"))
-    chosen = ordered.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_TEXTS)
+    # the first texts have the smallest hashes: of a common language only that end of the range is ranked
+    counts = ordered.groupBy("lang").agg(F.count(F.lit(1)).alias("texts"))
+    part = F.least(F.lit(1.0), F.lit(2.0 * SAMPLE_TEXTS) / F.col("texts"))
+    early = ordered.join(F.broadcast(counts), "lang").filter(F.col("order") <= (part - 0.5) * 2.0**64)  # a row for each output of the network
+    chosen = early.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_TEXTS)
     ids = save(chosen.select("doc_id", "order").distinct(), "language-sample")
     return usable.select("doc_id", "text", "lang").join(ids, "doc_id").select("order", "text", "lang")
 

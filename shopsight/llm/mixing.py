@@ -26,7 +26,7 @@ from shopsight.llm.tables import fresh, save
 #: A word is a run of characters other than space and the controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents that one task orders at a time.
-ROWS_PER_CELL = 20_000
+ROWS_PER_CELL = 1000
 
 
 def word_count(text: str | Column) -> Column:

@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopsight.llm.graph import components
+from shopsight.llm.graph import components, forest_roots
 from shopsight.llm.tables import drop, map_batches, save
 from shopsight.llm.words import chunks, scramble, texts_of, window_hashes, windows, word_hashes, words_of
 
@@ -221,7 +221,9 @@ def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -> D
                 values, offsets = shingle_sets(part.column("text"), width)
                 yield pa.RecordBatch.from_arrays([part.column("node"), _column(values, offsets, 8)], ["node", "values"])
 
-    return map_batches(chosen.select("node", "text"), run, "node binary, values binary").dropDuplicates(["node"])
+    # rows equal in id and text are next to each other after the join
+    once = chosen.dropDuplicates(["doc_id", "sig"])
+    return map_batches(once.select("node", "text"), run, "node binary, values binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -330,13 +332,25 @@ def _across(mixed: DataFrame, limit: float, similarity: tuple[int, int]) -> Data
 
 def _clusters(labels: DataFrame, across: DataFrame) -> DataFrame:
     """(cluster, node, label) of all nodes whose component was joined with another by ``across``."""
-    linked = labels.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(across)
-    roots = components(linked)
-    every = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
-    touched = every.join(_ends(across), "node", "left_semi").select("root").distinct()
-    inside = every.join(touched, "root", "left_semi").withColumnRenamed("root", "cluster")
-    named = inside.join(labels.withColumnRenamed("root", "label"), "node", "left")
-    return named.select("cluster", "node", F.coalesce("label", "node").alias("label"))
+    roots = _with_roots(components(_between(labels, across)))
+    members = labels.select("node", F.col("root").alias("label")).unionByName(
+        roots.select("node", F.col("node").alias("label"))  # a component's smallest node has no label of its own
+    )
+    inside = members.join(roots.select(F.col("node").alias("label"), F.col("root").alias("cluster")), "label")
+    return inside.select("cluster", "node", "label")
+
+
+def _between(labels: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes as pairs of their components."""
+    for side in "ab":
+        named = labels.select(F.col("node").alias(side), F.col("root").alias("label"))
+        pairs = pairs.join(named, side, "left").withColumn(side, F.coalesce("label", side)).drop("label")
+    return pairs.select("a", "b").distinct()
+
+
+def _with_roots(roots: DataFrame) -> DataFrame:
+    """(node, root) with the roots themselves."""
+    return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
 def _cluster_links(clusters: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -434,19 +448,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: tuple[int, int]
     best = save(likely.groupBy("b").agg(F.max_by("a", F.struct("j", "a")).alias("a")), "best")
     sets = save(_sets(docs, nodes, _ends(best), width), "sets")
     first = save(_confirmed(best, sets, similarity), "links")
-    labels = components(first)
+    # a node's one link goes to a smaller node, so the links are a forest
+    labels = forest_roots(first.select(F.col("b").alias("node"), F.col("a").alias("parent")))
 
     mixed = _mixed_buckets(members.select("key", "node", "n"), labels, nodes)
     across = save(_across(mixed, limit, similarity), "across")
     clusters = save(_clusters(labels, across), "clusters")
     more_sets = save(_sets(docs, nodes, clusters.join(sets, "node", "left_anti"), width), "sets")
     second = _cluster_links(clusters, sets.unionByName(more_sets), similarity)
-    links = labels.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(second)
-    roots = components(links)
+    joined = components(_between(labels, second))
     drop(members, likely, best, sets, first, across, clusters, more_sets)
 
-    named = nodes.select("node", F.col("rep.doc_id").alias("least")).join(roots, "node", "left")
-    named = named.withColumn("root", F.coalesce("root", "node"))
+    named = nodes.select("node", F.col("rep.doc_id").alias("least")).join(labels, "node", "left")
+    named = named.withColumn("label", F.coalesce("root", "node")).drop("root")
+    named = named.join(joined.select(F.col("node").alias("label"), "root"), "label", "left")
+    named = named.withColumn("root", F.coalesce("root", "label"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     of_node = named.join(least, "root").select(F.col("node").alias("_node"), "component_id")
     out = rows.join(of_node, F.col("node") == F.col("_node"), "left")

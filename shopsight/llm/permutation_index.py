@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopsight.llm.blocks import best_of, distinct_queries, search_blocks, usable, with_blocks
+from shopsight.llm.blocks import Index, best_of, distinct_queries, in_blocks, search_blocks, usable
 from shopsight.llm.tables import map_batches
 
 #: Sampled vectors of one dimension; with the mirror images there are twice as many pivots.
@@ -138,14 +138,15 @@ def _doubles(vectors: DataFrame) -> DataFrame:
     return whole.select("vec_id", vector.alias("vector")).filter(F.exists("vector", lambda x: x != 0))
 
 
-def build_index(vectors: DataFrame) -> tuple[DataFrame, Pivots]:
-    """(dim, block, vec_id, vector, near) for all usable rows of (vec_id, embedding), and the pivots."""
+def build_index(vectors: DataFrame) -> tuple[Index, Pivots]:
+    """All usable rows of (vec_id, embedding) with their nearest pivots, dealt to blocks, and the pivots."""
     whole = _doubles(vectors)
     pivots = sample_pivots(whole)
-    return _with_nearest(with_blocks(whole), pivots, ROW_PART, extended=True), pivots
+    dealt = in_blocks(whole)
+    return Index(_with_nearest(dealt.rows, pivots, ROW_PART, extended=True), dealt.blocks), pivots
 
 
-def search(index: DataFrame, pivots: Pivots, queries: DataFrame, k: int) -> DataFrame:
+def search(index: Index, pivots: Pivots, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score) of the nearest ``k`` found for each row of (vec_id, embedding)."""
     asked = distinct_queries(_doubles(queries)).withColumn("dim", F.size("vector"))
     asked = asked.filter(F.col("dim").isin(list(pivots.by_dim)))

@@ -133,3 +133,11 @@ def test_kept_digest(spark):
     got = substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 13, join_words=True).collect()
     digest = {r["doc_id"]: hashlib.sha256((r["text"] or "").encode()).hexdigest() for r in got}
     assert digest[1] == hashlib.sha256(b"a b c").hexdigest() and digest[2] == hashlib.sha256(b"").hexdigest()
+
+
+def test_roots_of_a_forest(spark):
+    parents = [(f"{i:04d}", f"{i - 1:04d}") for i in range(1, 200)] + [("b", "a"), ("c", "a"), ("d", "c")]
+    got = dict(graph.forest_roots(spark.createDataFrame(parents, "node string, parent string").repartition(3)).collect())
+    assert len(got) == len(parents) and {got[f"{i:04d}"] for i in range(1, 200)} == {"0000"}
+    assert got["b"] == got["c"] == got["d"] == "a"
+    assert graph.forest_roots(spark.createDataFrame([], "node string, parent string")).count() == 0
