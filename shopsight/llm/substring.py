@@ -85,9 +85,13 @@ def _small(values: np.ndarray) -> bytes:
 
 
 def _pack(part: int, kind: int, some: Entries, key_bytes: int) -> dict:
-    """One row: documents by difference, positions by difference within a document, keys cut to ``key_bytes``."""
+    """One row: documents by difference, positions by difference within a document, keys cut to ``key_bytes``.
+
+    Repeated rows follow each other as one document whose positions start again; each makes a stretch of its own.
+    """
     new = np.ones(len(some), bool)
     new[1:] = (some.doc_id[1:] != some.doc_id[:-1]) | (some.sig[1:] != some.sig[:-1])
+    new[1:] |= some.pos[1:] <= some.pos[:-1]
     first = np.flatnonzero(new)
     gaps = np.diff(some.pos, prepend=0)
     gaps[first] = some.pos[first]

@@ -32,6 +32,18 @@ def test_repeats_with_random_overlaps(spark):
     assert sorted(((True, r[0]), r["n_words"], r["n_removed"], r["text"]) for r in got) == _kept(rows, 13)
 
 
+@pytest.mark.parametrize("width", [13, 25])
+@pytest.mark.parametrize("n_words", [30, 70_000])
+def test_repeated_rows_match_brute_force(spark, width, n_words):
+    """Rows that repeat doc_id and text: positions start again within one document, in one task and in several."""
+    passage = " ".join(f"p{i}" for i in range(n_words))
+    rows = [(1, passage), (2, passage), (2, passage), (3, "q " + passage), (3, "q " + passage), (4, "r " * 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 3):
+        got = substring.remove_repeats(df.repartition(parts), width, join_words=True).collect()
+        assert sorted(((True, r[0]), r["n_words"], r["n_removed"], r["text"]) for r in got) == _kept(rows, width)
+
+
 def test_batches_settle_alike(spark, docs, rows, monkeypatch):
     plain = docs.select("doc_id", "text")
     keys = [0, 1, 2]
