@@ -7,7 +7,7 @@ import pandas as pd
 import pyarrow as pa
 
 from shopsight.llm.pretokens import piece_starts
-from shopsight.llm.words import span_hashes, texts_of
+from shopsight.llm.words import Texts, span_hashes, texts_of
 
 
 class PieceEncoder:
@@ -29,10 +29,14 @@ class PieceEncoder:
         """Ids of all byte ranges, one after another, and how many each has."""
         raise NotImplementedError
 
+    def starts(self, texts: Texts) -> np.ndarray:
+        """Byte positions at which pieces begin, ascending."""
+        return piece_starts(texts)
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a column, one after another, and the n + 1 offsets of the texts in them."""
         texts = texts_of(column)
-        start = piece_starts(texts)
+        start = self.starts(texts)
         end = np.append(start[1:], len(texts.data))[: len(start)]
         code, distinct = pd.factorize(span_hashes(texts.data, start, end))
         slot = np.fromiter((self.known.get(h, -1) for h in distinct.tolist()), np.int64, len(distinct))

@@ -82,7 +82,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_token_files")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    index = tokenfiles.write_token_files(read(spark, sf_dir, "documents"), path, end_id=2)
+    index = tokenfiles.write_token_files(read(spark, sf_dir, "documents"), path, end_id=2, added_tokens=True)
     return tokenfiles.read_token_files(index).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )

@@ -13,10 +13,13 @@ doc_id). Readers fetch the end first; blocks can be read by byte range.
 Files are written under a passing name and renamed: a task that is run again or twice
 leaves the same file. Defined results: a null or empty text has only the end id (none
 without one); repeated rows are documents of their own; an empty table has no files.
+Strings of the JSON's added tokens are ordinary text, or with ``added_tokens`` those
+tokens, as in the library's own ``encode``.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterator
 from functools import cache
@@ -32,8 +35,9 @@ from tokenizers import Tokenizer
 from shopsight.llm import simple8b
 from shopsight.llm.files import filesystem, write_once
 from shopsight.llm.pieces import PieceEncoder
+from shopsight.llm.pretokens import piece_starts
 from shopsight.llm.tables import map_batches, save, shared_path, text_bytes
-from shopsight.llm.words import chunks
+from shopsight.llm.words import Texts, chunks
 
 MAGIC = b"S8BIDS01"
 #: Bytes of text that a task writes to one file, about.
@@ -57,12 +61,33 @@ INDEX = T.StructType(
 
 
 class LibraryPieces(PieceEncoder):
-    """Pieces encoded by the tokenizers library; strings of special tokens in a text are ordinary text."""
+    """Pieces encoded by the tokenizers library.
 
-    def __init__(self, path: str) -> None:
+    Strings of special tokens in a text are ordinary text; with ``added_tokens`` texts are
+    cut at the added tokens, each of which is a piece of its own.
+    """
+
+    def __init__(self, path: str, added_tokens: bool) -> None:
         super().__init__(REMEMBERED)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
+        added = list(self.tokenizer.get_added_tokens_decoder().values()) if added_tokens else []
+        if any(t.lstrip or t.rstrip or t.single_word for t in added):
+            raise ValueError(f"added tokens that depend on what is around them: {path}")
+        self.added = [t.content.encode() for t in added]
+        # leftmost, then longest, as the library matches
+        self.pattern = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True))))
+
+    def starts(self, texts: Texts) -> np.ndarray:
+        whole = texts.data.tobytes()
+        if not any(a in whole for a in self.added):
+            return piece_starts(texts)
+        edges = texts.offsets.tolist()
+        spans = [m.span() for a, b in zip(edges, edges[1:]) for m in self.pattern.finditer(whole, a, b)]
+        low, high = np.array(spans, np.int64).reshape(-1, 2).T
+        start = piece_starts(Texts(texts.data, np.sort(np.concatenate((texts.offsets, low, high)))))
+        inside = np.searchsorted(low, start, "left") > np.searchsorted(high, start, "right")
+        return start[~inside]
 
     def encode_pieces(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         whole = data.tobytes()
@@ -73,13 +98,13 @@ class LibraryPieces(PieceEncoder):
 
 
 @cache
-def library(path: str) -> LibraryPieces:
-    return LibraryPieces(path)
+def library(path: str, added_tokens: bool) -> LibraryPieces:
+    return LibraryPieces(path, added_tokens)
 
 
-def encode_texts(batch: pa.RecordBatch, path: str, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(batch: pa.RecordBatch, path: str, end_id: int | None, added_tokens: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts of a batch, each with the end id appended, and ids per text."""
-    ids, offsets = library(path).encode(batch.column("text"))
+    ids, offsets = library(path, added_tokens).encode(batch.column("text"))
     counts = np.diff(offsets)
     if end_id is None:
         return ids, counts
@@ -123,10 +148,13 @@ class _Writer:
         return [MAGIC, *(a.tobytes() for a in arrays), sizes], docs, ids
 
 
-def write_token_files(docs: DataFrame, path: str, end_id: int | None = None, folder: str | None = None) -> DataFrame:
+def write_token_files(
+    docs: DataFrame, path: str, end_id: int | None = None, folder: str | None = None, added_tokens: bool = False
+) -> DataFrame:
     """Write the ids of ``docs`` (doc_id, text) to files and return their index, a row for each file.
 
     ``path`` is a tokenizers JSON file; ``folder`` defaults to a new one in the shared folder.
+    ``added_tokens`` gives strings of the JSON's added tokens the ids of those tokens.
     """
     folder = folder or shared_path(docs.sparkSession, "token-ids")
 
@@ -135,7 +163,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int | None = None, fol
         writer = _Writer()
         for batch in batches:
             for part in chunks(batch, "text", TEXT_BYTES):
-                ids, counts = encode_texts(part, path, end_id)
+                ids, counts = encode_texts(part, path, end_id, added_tokens)
                 writer.add(part.column("doc_id"), ids, counts)
         pieces, n_docs, n_ids = writer.finish()
         if n_docs:

@@ -13,7 +13,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from shopsight.llm import bpe, pretokens, simple8b, tokenfiles
+from shopsight.llm import bpe, pretokens, queries, simple8b, tokenfiles  # noqa: F401
+from shopsight.llm.registry import QUERIES
 from shopsight.llm.words import texts_of
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -114,6 +115,32 @@ def test_token_files(docs, no_docs, rows):
     assert tokenfiles.read_token_files(tokenfiles.write_token_files(no_docs, JSON, end_id=2)).count() == 0
 
 
+MARKED = st.lists(
+    st.none() | st.lists(st.sampled_from(["<|endoftext|>", "<|endo", "ftext|>", " ", "  ", "\n", "'s", "mark", "é", "12", "|>"])).map("".join),
+    max_size=6,
+)
+
+
+@settings(max_examples=200, deadline=None)
+@given(MARKED)
+def test_added_tokens_equal_the_unmodified_library(texts):
+    plain = Tokenizer.from_file(JSON)
+    batch = pa.record_batch([pa.array(texts, pa.string())], ["text"])
+    ids, counts = tokenfiles.encode_texts(batch, JSON, None, added_tokens=True)
+    got = [row.tolist() for row in np.split(ids, np.cumsum(counts)[:-1])] if texts else []
+    assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_query_gives_the_ids_of_the_unmodified_library(spark, rows, tmp_path):
+    plain = Tokenizer.from_file(JSON)
+    marked = [(20, "mark <|endoftext|> end"), (21, "<|endoftext|><|endoftext|>"), (22, "two  <|endoftext|>\n's"), (23, "after")]
+    texts = [(i, t) for i, t in rows if i is not None] + marked
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in QUERIES["op3_token_files"](spark, str(tmp_path)).collect())
+    ids = [(i, plain.encode(t or "", add_special_tokens=False).ids + [2]) for i, t in texts]
+    assert got == sorted((i, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in ids)
+
+
 def test_token_files_in_small_stretches(docs, monkeypatch):
     index = tokenfiles.write_token_files(docs, JSON)
     whole = {(r["start"], r["n_tokens"], bytes(r["ids"])) for r in tokenfiles.read_token_files(index).collect()}
