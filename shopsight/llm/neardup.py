@@ -37,9 +37,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopsight.llm.graph import components, forest_roots
-from shopsight.llm.tables import drop, map_batches, save
+from shopsight.llm.tables import drop, fresh, map_batches, save
 from shopsight.llm.words import chunks, scramble, texts_of, window_hashes, windows, word_hashes, words_of
 
 #: Fixed values of 2-byte SetSketch registers.
@@ -476,10 +477,29 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: tuple[int, int]
 
 
 def deduplicate(docs: DataFrame, width: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
-    """``docs`` without the documents that :func:`near_duplicates` does not keep; rows with one doc_id are one document."""
+    """``docs`` without the documents that :func:`near_duplicates` does not keep; rows with one doc_id are one document.
+
+    Of rows with one doc_id, or none, and the same text one stays, that with the smallest hash of its columns.
+    """
     found = near_duplicates(docs, width, similarity)
     dropped = found.groupBy("doc_id").agg(F.max("kept").alias("kept")).filter(~F.col("kept")).select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return _without_copies(docs.join(dropped, "doc_id", "left_anti").select(*docs.columns))
+
+
+def _without_copies(docs: DataFrame) -> DataFrame:
+    """One row for each doc_id, null included, and text; texts without words stay, as they are linked with nothing."""
+    text, order = fresh(docs, "_text"), fresh(docs, "_order")
+    plain = [f.name for f in docs.schema if not isinstance(f.dataType, T.MapType)]
+    marked = docs.withColumns({text: F.md5("text"), order: F.xxhash64(*plain)})
+    worded = marked.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    copies = worded.groupBy("doc_id", text).agg(F.min(order).alias("least"), F.count(F.lit(1)).alias("rows"))
+    copies = copies.filter("rows > 1").select(F.col("doc_id").alias("id"), F.col(text).alias("copied"), "least")
+    copies = save(copies.withColumnsRenamed({c: fresh(docs, f"_{c}") for c in ("id", "copied", "least")}), "copies")
+    id_, copied, least = (F.col(c) for c in copies.columns)
+    same = F.col("doc_id").eqNullSafe(id_) & (F.col(text) == copied)
+    single = marked.join(copies, same, "left_anti")
+    first = marked.join(copies, same & (F.col(order) == least), "left_semi").dropDuplicates(["doc_id", text])
+    return single.unionByName(first).select(*docs.columns)
 
 
 def _ends(pairs: DataFrame) -> DataFrame:

@@ -80,6 +80,19 @@ def _check_near(got, rows, width):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got if r["doc_id"] is not None)
 
 
+def test_one_row_of_exact_copies_stays(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    once = [(1, a, "s"), (1, b, "s"), (None, a, "s"), (None, c, "s"), (4, "short", "s")]
+    rows = [*once, (1, a, "s"), (1, a, "s"), (2, a, "s"), (None, a, "s"), (4, "short", "s")]
+    rows += [(5, c, "s"), (5, c, "t"), (3, "", "s"), (3, "", "s"), (None, None, "s"), (None, None, "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for parts in (1, 5):
+        got = [tuple(r) for r in neardup.deduplicate(df.repartition(parts)).collect()]
+        assert [r[:2] for r in got].count((5, c)) == 1
+        wanted = [*once, (3, "", "s"), (3, "", "s"), (None, None, "s"), (None, None, "s")]
+        assert sorted((r for r in got if r[0] != 5), key=str) == sorted(wanted, key=str)
+
+
 @pytest.mark.parametrize("width", [2, 5])
 def test_components_match_brute_force(docs, rows, width):
     _check_near(neardup.near_duplicates(docs, width).collect(), rows, width)
