@@ -10,9 +10,11 @@ from shopsight.llm import (
     bpe,
     impact_index,
     langid,
+    licenses,
     mixing,
     neardup,
     permutation_index,
+    runs,
     substring,
     tokenfiles,
     toxicity,
@@ -202,3 +204,125 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(index).select(
         "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to"
     )
+
+
+def _license_sql() -> str:
+    """Every place of every template by joining all words with all template words."""
+    templates = licenses.PHRASES + licenses.NOTICES
+    rows = ",\n        ".join(
+        f"({n}, '{t.label}', {t.exact}, {i}, '{w}', {i in t.required_places})"
+        for n, t in enumerate(templates)
+        for i, w in enumerate(t.words)
+    )
+    return rf"""
+WITH w AS MATERIALIZED (
+    SELECT row_number() OVER () AS id, doc_id,
+           coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws
+    FROM documents
+), t(template, label, exact, pos, word, required) AS (VALUES
+        {rows}
+), placed AS (
+    SELECT id, i - 1 AS p, ws[i] AS word FROM w, unnest(range(1, len(ws) + 1)) AS u(i)
+    WHERE ws[i] IN (SELECT word FROM t)
+), seen AS (
+    SELECT word, count(DISTINCT id) AS n FROM placed GROUP BY word
+), weighed AS (
+    SELECT t.*, ln(1 + (SELECT count(*) FROM documents) / (coalesce(n, 0) + 0.5)) AS idf FROM t LEFT JOIN seen USING (word)
+), needs AS (
+    SELECT template, sum(required::INT) AS needed, min(CASE WHEN required THEN pos END) AS first, sum(idf) AS total
+    FROM weighed GROUP BY template
+), places AS (
+    SELECT id, template, label, exact, p - pos AS start, sum(required::INT) AS found, sum(idf) AS weight
+    FROM placed JOIN weighed USING (word) GROUP BY ALL
+), matches AS (
+    SELECT id, label, exact, start + first AS first_word,
+           CASE WHEN exact THEN 1.0 ELSE round(weight / total, 6) END AS share
+    FROM places JOIN needs USING (template)
+    WHERE found = needed AND (exact OR round(weight / total, 6) >= {licenses.MIN_SHARE})
+), digests AS (
+    SELECT id, count(*) FILTER (exact) AS n_base, min(first_word) FILTER (exact) AS first_word,
+           max(first_word) FILTER (exact) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact) AS base_labels,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+    FROM matches GROUP BY id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0)::DOUBLE AS score
+FROM w LEFT JOIN digests USING (id)
+"""
+
+
+@query("op11_license_scan", _license_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(read(spark, sf_dir, "documents")))
+
+
+#: crc32 of the decimal doc_id or conv_id in SQL, bit by bit.
+_CRC_SQL = """xor(4294967295, list_reduce(
+    [4294967295::BIGINT] || list_transform(string_split({0}::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                                  lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+_RUNS_SQL = rf"""
+WITH plain AS MATERIALIZED (
+    SELECT row_number() OVER () AS id, doc_id, {_CRC_SQL.format("doc_id")} AS h,
+           coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws
+    FROM documents
+), shape AS (
+    SELECT *, len(ws) AS n, (h // 10) % len(ws) AS a,
+           1 + (len(ws) - (h // 10) % len(ws)) // (3 + (h // 10) % 8) AS p
+    FROM plain
+), w AS MATERIALIZED (
+    SELECT id, doc_id, CASE WHEN h % 10 = 0 AND n > 0 THEN
+           list_transform(range(n), lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE ws END AS ws
+    FROM shape
+), grams AS (
+    -- a run repeats at least five words at its distance
+    SELECT id, i, ws[i:i + 4] AS g FROM w, unnest(range(1, len(ws) - 3)) AS t(i)
+), again AS (
+    SELECT a.id, a.i, a.i - b.i AS lag FROM grams a JOIN grams b ON a.id = b.id AND a.g = b.g AND b.i < a.i
+), islands AS (
+    SELECT *, i - row_number() OVER (PARTITION BY id, lag ORDER BY i) AS island FROM again
+), stretches AS (
+    SELECT id, lag, min(i) - lag - 1 AS start, max(i) + 5 - min(i) + lag AS length FROM islands GROUP BY id, lag, island
+), runs AS (
+    SELECT id, start, length, min(lag) AS period FROM stretches WHERE length >= greatest(6, 4 * lag) GROUP BY ALL
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY length::DOUBLE / period DESC, start, period) AS rank FROM runs
+), listed AS (
+    SELECT id, count(*) AS n_runs, min(start) FILTER (rank = 1) AS start, min(length) FILTER (rank = 1) AS length,
+           min(period) FILTER (rank = 1) AS period,
+           string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+    FROM ranked GROUP BY id
+), gone AS (
+    SELECT DISTINCT id, i FROM runs, unnest(range(start + period, start + length)) AS t(i)
+), words AS (
+    SELECT id, i, ws[i + 1] AS word FROM w, unnest(range(len(ws))) AS t(i)
+), kept AS (
+    SELECT id, string_agg(word, ' ' ORDER BY i) AS words FROM words ANTI JOIN gone USING (id, i) GROUP BY id
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length,
+       period::BIGINT AS period, (1000 * length // period)::BIGINT AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(words, '')) AS collapsed_sha256
+FROM w LEFT JOIN listed USING (id) LEFT JOIN kept USING (id)
+"""
+
+
+@query("op13_periodic_runs", _RUNS_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = runs.repeat_tails(read(spark, sf_dir, "documents"))
+    best, all_runs = F.col("best"), F.col("runs")
+    lines = F.transform(all_runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = runs.periodic_runs(docs).select("*", runs.greatest(all_runs).alias("best"))
+    return found.select(
+        "doc_id",
+        F.size(all_runs).cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
