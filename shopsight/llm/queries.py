@@ -14,6 +14,7 @@ from shopsight.llm import (
     mixing,
     neardup,
     permutation_index,
+    prefix_trie,
     runs,
     substring,
     tokenfiles,
@@ -326,3 +327,42 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+_TRIE_SQL = rf"""
+WITH turns AS (
+    SELECT conv_id, struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) AS said,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS MATERIALIZED (
+    SELECT conv_id, list(said ORDER BY pos) AS said, {_CRC_SQL.format("conv_id")} % 4 AS h FROM turns GROUP BY conv_id
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.said[1:c.h], []), c.said[c.h + 1:]) AS said
+    FROM convs c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 20
+), members AS (
+    SELECT conv_id, d AS depth, said[1:d] AS path, len(said) = d AS ends
+    FROM rebuilt, unnest(range(len(said) + 1)) AS t(d)
+), nodes AS MATERIALIZED (
+    SELECT path, depth, path[1:depth - 1] AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+           string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends) AS ends,
+           (count(*) - 1) * CASE WHEN depth = 0 THEN 0 ELSE
+               len(regexp_extract_all(path[depth].text, '[^\x20\x09-\x0D]+')) END AS saved
+    FROM members GROUP BY path, depth
+), children AS (
+    SELECT parent AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent
+), sums AS (
+    SELECT n.path[1:d] AS path, sum(saved) AS saved_tokens, count(*) FILTER (n_children IS NULL) AS n_leaves
+    FROM nodes n LEFT JOIN children USING (path), unnest(range(depth + 1)) AS t(d) GROUP BY 1
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n LEFT JOIN children c ON c.path = n.path LEFT JOIN sums s ON s.path = n.path
+     LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.parent
+"""
+
+
+@query("op12_prefix_trie", _TRIE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns_of(read(spark, sf_dir, "conversations"))
+    return prefix_trie.build(*prefix_trie.share_openings(turns, group=20, most=4)).drop("id", "parent")
