@@ -3,23 +3,25 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 
 from shopsight.llm.pretokens import piece_starts
-from shopsight.llm.words import Texts, span_hashes, texts_of
+from shopsight.llm.words import Texts, coded_spans, texts_of
+
+#: Bytes of a piece that is remembered; longer ones rarely recur.
+REMEMBERED_BYTES = 64
 
 
 class PieceEncoder:
-    """Subclasses say how pieces are encoded. Pieces are told apart by a 64-bit hash of their bytes and length.
+    """Subclasses say how pieces are encoded. Pieces are told apart by their bytes.
 
-    ``remembered`` pieces are kept by each Python worker; those beyond are encoded again in
-    every chunk that has them.
+    ``remembered`` pieces are kept by each Python worker; those beyond, and long ones, are
+    encoded again in every chunk that has them.
     """
 
     def __init__(self, remembered: int) -> None:
         self.remembered = remembered
-        self.known: dict[int, int] = {}  # slot by hash; the slot's ids are a stretch of ``ids``
+        self.known: dict[bytes, int] = {}  # slot by piece; the slot's ids are a stretch of ``ids``
         self.begin = np.zeros(remembered, np.int64)
         self.count = np.zeros(remembered, np.int64)
         self.ids = np.zeros(1 << 16, np.int32)
@@ -38,8 +40,9 @@ class PieceEncoder:
         texts = texts_of(column)
         start = self.starts(texts)
         end = np.append(start[1:], len(texts.data))[: len(start)]
-        code, distinct = pd.factorize(span_hashes(texts.data, start, end))
-        slot = np.fromiter((self.known.get(h, -1) for h in distinct.tolist()), np.int64, len(distinct))
+        code, pieces = coded_spans(texts.data, start, end)
+        distinct = pieces.to_pylist()
+        slot = np.fromiter((self.known.get(p, -1) for p in distinct), np.int64, len(distinct))
         new = np.flatnonzero(slot < 0)
         flat, begin, count = self.ids[: self.used], self.begin[slot], self.count[slot]
         if len(new):
@@ -49,22 +52,24 @@ class PieceEncoder:
             stop = np.cumsum(n)
             begin[new], count[new] = len(flat) + stop - n, n
             flat = np.concatenate((flat, fresh))
-            self._remember(distinct[new], fresh, stop)
+            self._remember([distinct[i] for i in new.tolist()], fresh, stop)
         per_piece = count[code]
         total = np.concatenate(([0], np.cumsum(per_piece)))
         where = np.repeat(begin[code] - total[:-1], per_piece) + np.arange(total[-1])
         return flat[where], total[np.searchsorted(start, texts.offsets)]
 
-    def _remember(self, hashes: np.ndarray, ids: np.ndarray, stops: np.ndarray) -> None:
-        room = min(self.remembered - len(self.known), len(hashes))
-        if room <= 0:
+    def _remember(self, pieces: list[bytes], ids: np.ndarray, stops: np.ndarray) -> None:
+        short = np.flatnonzero(np.fromiter(map(len, pieces), np.int64, len(pieces)) <= REMEMBERED_BYTES)
+        short = short[: max(self.remembered - len(self.known), 0)]
+        if not len(short):
             return
-        size = int(stops[room - 1])
-        if self.used + size > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros(max(len(self.ids), size), np.int32)))
-        self.ids[self.used : self.used + size] = ids[:size]
-        first = len(self.known)
-        self.known.update(zip(hashes[:room].tolist(), range(first, first + room), strict=True))
-        self.count[first : first + room] = np.diff(stops[:room], prepend=0)
-        self.begin[first : first + room] = self.used + stops[:room] - self.count[first : first + room]
-        self.used += size
+        counts = np.diff(stops, prepend=0)
+        kept = ids[np.repeat(np.isin(np.arange(len(pieces)), short), counts)]
+        if self.used + len(kept) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros(max(len(self.ids), len(kept)), np.int32)))
+        self.ids[self.used : self.used + len(kept)] = kept
+        first, n = len(self.known), len(short)
+        self.known.update((pieces[i], first + k) for k, i in enumerate(short.tolist()))
+        self.count[first : first + n] = counts[short]
+        self.begin[first : first + n] = self.used + np.cumsum(counts[short]) - counts[short]
+        self.used += len(kept)

@@ -35,26 +35,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopsight.llm.tables import map_batches
-from shopsight.llm.words import Words, chunks, texts_of, words_of
+from shopsight.llm.words import Words, chunks, coded_spans, texts_of, words_of
 
 Run = tuple[int, int, int]
 
 
 def word_numbers(words: Words) -> np.ndarray:
     """Equal numbers for equal words of the same text, and for no others."""
-    n = len(words.start)
-    if not n:
-        return np.zeros(0, np.int64)
-    # words and the gaps between them alternate, so the text's own bytes serve as the array
-    edges = np.empty(2 * n, np.int64)
-    edges[0::2], edges[1::2] = words.start, words.end
-    parts = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), 2 * n - 1, [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(words.texts.data))]
-    )
-    coded = parts.dictionary_encode()
-    number = coded.indices.to_numpy()[0::2].astype(np.int64)
+    code, distinct = coded_spans(words.texts.data, words.start, words.end)
     text = np.repeat(np.arange(len(words.texts)), words.counts)
-    return number + text * np.int64(len(coded.dictionary))
+    return code + text * np.int64(len(distinct))
 
 
 def _hits(number: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

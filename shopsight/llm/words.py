@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,9 @@ import pyarrow as pa
 #: Bytes and rows of text that are worked on at a time; a longer text is a chunk by itself.
 CHUNK_BYTES, CHUNK_ROWS = 1 << 19, 2048
 
+#: Steps of eight bytes after which a word's hash is taken by BLAKE2.
+LANES = 16
+
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -112,7 +116,11 @@ def words_of(texts: Texts, lower: bool = False) -> Words:
 
 
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range: equal ranges have equal hashes wherever they stand."""
+    """A 64-bit hash of each byte range: equal ranges have equal hashes wherever they stand.
+
+    A polynomial modulo 2**64, quick but with known collisions of long ranges: for features
+    of a model, not to tell ranges apart.
+    """
     n = len(data)
     if not len(start):
         return np.zeros(0, np.uint64)
@@ -125,8 +133,52 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return scramble(value + (end - start).astype(np.uint64))
 
 
+def coded_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """A number for each byte range and the distinct ranges by number; equality is that of the bytes.
+
+    Ranges are ascending and do not overlap.
+    """
+    n = len(start)
+    if not n:
+        return np.zeros(0, np.int64), pa.array([], pa.large_binary())
+    # ranges and the gaps between them alternate, so the texts' own bytes serve as the array
+    edges = np.empty(2 * n, np.int64)
+    edges[0::2], edges[1::2] = start, end
+    buffers = [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))]
+    parts = pa.Array.from_buffers(pa.large_binary(), 2 * n - 1, buffers)
+    coded = parts.take(pa.array(np.arange(0, 2 * n, 2))).dictionary_encode() if (start[1:] > end[:-1]).any() else None
+    if coded is None:
+        buffers[1] = pa.py_buffer(np.append(start, end[-1]))
+        coded = pa.Array.from_buffers(pa.large_binary(), n, buffers).dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+
 def word_hashes(words: Words) -> np.ndarray:
-    return span_hashes(words.texts.data, words.start, words.end)
+    """A 64-bit hash of each word: equal words have equal hashes wherever they stand.
+
+    Words are read eight bytes at a time into two states that are scrambled after every step, so
+    no algebra relates long words; the few beyond ``LANES`` such steps get a keyed BLAKE2.
+    """
+    n = words.end - words.start
+    data = np.concatenate((words.texts.data, np.zeros(8, np.uint8)))
+    lanes = np.ndarray(len(data) - 7, np.uint64, data, strides=(1,))
+    one = scramble(n.astype(np.uint64))
+    two = scramble(one + np.uint64(0x9E3779B97F4A7C15))
+    some = np.arange(len(n))
+    for step in range(LANES):
+        some = some[n[some] > 8 * step]
+        if not len(some):
+            break
+        lane = lanes[words.start[some] + 8 * step]
+        beyond = np.maximum(8 * (step + 1) - n[some], 0).astype(np.uint64) * np.uint64(8)
+        lane = lane << beyond  # bytes after the word fall out
+        one[some] = scramble(one[some] ^ lane)
+        two[some] = scramble(two[some] + lane * np.uint64(0xD6E8FEB86659FD93))
+    out = scramble(one ^ scramble(two))
+    for i in np.flatnonzero(n > 8 * LANES).tolist():
+        whole = words.texts.data[words.start[i] : words.end[i]].tobytes()
+        out[i] = int.from_bytes(blake2b(whole, digest_size=8, key=b"words").digest(), "little")
+    return out
 
 
 def windows(counts: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
