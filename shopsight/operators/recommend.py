@@ -12,13 +12,10 @@ from pyspark.sql import types as T
 
 from shopsight.functions.scalars import EPSILON, join_text, ratio
 from shopsight.operators import similarity as S
+from shopsight.operators.factorize import best_products, truncated_svd
 from shopsight.schemas import DEFAULT_COLUMNS, ColumnMap
 from shopsight.session import materialize
 
-# items (or texts) whose square matrix a task may hold; larger catalogues take the join path
-MAX_DENSE_ITEMS = 2048
-
-
 def ratings(tx: DataFrame, cols: ColumnMap = DEFAULT_COLUMNS) -> DataFrame:
     """Mean rating per (user, item); pairs without a purchase are absent."""
     known = F.col(cols.customer).isNotNull() & F.col(cols.item).isNotNull() & F.col(cols.rating).isNotNull()
@@ -60,31 +57,6 @@ def top_n(scored: DataFrame, n: int | None, by: str = "user", item: str = "item"
     return ranked if n is None else ranked.filter(F.col("rank") <= n)
 
 
-def _item_list(rated: DataFrame, limit: int = MAX_DENSE_ITEMS) -> list | None:
-    """Sorted items when there are at most ``limit`` of them, else None."""
-    rows = rated.select("item").distinct().limit(limit + 1).collect()
-    return sorted(r[0] for r in rows) if len(rows) <= limit else None
-
-
-def _indexed(rated: DataFrame, items: list) -> DataFrame:
-    """Ratings with the position of the item in the (bounded) item list."""
-    dim = rated.sparkSession.createDataFrame(
-        [(v, i) for i, v in enumerate(items)],
-        T.StructType([T.StructField("item", rated.schema["item"].dataType), T.StructField("idx", T.IntegerType())]),
-    )
-    return rated.join(F.broadcast(dim), "item")
-
-
-def _square(pairs: DataFrame, items: list, value: str) -> np.ndarray:
-    """Symmetric matrix of a pair table over a bounded item list (at most ``MAX_DENSE_ITEMS`` squared cells)."""
-    position = {v: i for i, v in enumerate(items)}
-    out = np.zeros((len(items), len(items)))
-    found = pairs.toPandas()
-    i, j = found["item_a"].map(position).to_numpy(int), found["item_b"].map(position).to_numpy(int)
-    out[i, j] = out[j, i] = found[value].to_numpy(float)
-    return out
-
-
 def _only(rated: DataFrame, targets: DataFrame | None) -> DataFrame:
     return rated if targets is None else rated.join(targets, "user", "left_semi")
 
@@ -221,33 +193,17 @@ def matrix_factorization(
     components: int = 50,
     targets: DataFrame | None = None,
     all_scores: bool = False,
-    max_dense: int = MAX_DENSE_ITEMS,
+    width: int | None = None,
 ) -> DataFrame:
     """Truncated SVD of the zero-filled matrix; score of unrated items = row projected on the k factors.
 
-    The item Gram matrix is a distributed product; its eigenvectors (items x
-    items, at most ``max_dense``) give the right singular vectors, so scores
-    do not depend on signs or random starts.
+    The factors are found by distributed products with the ratings (``factorize``), whatever the
+    size of the catalogue. Scores do not depend on signs or starts; a rating of 0 means unrated.
     """
-    items = _item_list(rated, max_dense)
-    if items is None:
-        raise ValueError(f"more than {max_dense} items: use als_recommendations")
-    own = rated.groupBy(F.col("item").alias("item_a")).agg(F.sum(F.col("rating") * F.col("rating")).alias("dot"))
-    dots = S.gram(rated, "user", "item", "rating").select("item_a", "item_b", "dot")
-    g = _square(dots.unionByName(own.withColumn("item_b", F.col("item_a"))), items, "dot")
-    k = min(components, len(items))
-    _, vectors = np.linalg.eigh(g)
-    basis = vectors[:, -k:]
-    projection = basis @ basis.T
-    names = np.asarray(items)
-
-    def score(users, m):
-        s = m @ projection
-        r, c, v, rank = S.top_per_row(s, m == 0, names, len(names) if all_scores else n)
-        return pd.DataFrame({"user": users[r], "item": names[c], "score": v, "rank": rank})
-
-    schema = _result_schema(rated, T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType()))
-    return S.map_row_blocks(_indexed(_only(rated, targets), items), "user", "idx", "rating", len(items), score, schema)
+    factors = truncated_svd(rated, "user", "item", "rating", components, width)
+    rows, known = _only(factors.left, targets), rated.filter(F.col("rating") != 0)
+    limit = None if all_scores else n
+    return top_n(best_products(rows, factors.right, "user", "item", known.select("user", "item"), limit), limit)
 
 
 def als_recommendations(

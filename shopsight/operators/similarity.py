@@ -218,36 +218,6 @@ def cosine_slices(q: np.ndarray, u: np.ndarray, rows: int = 512) -> Iterator[tup
         yield part, q_unit[part] @ u_unit.T
 
 
-# --- dense rows by block -------------------------------------------------------
-
-def map_row_blocks(
-    entries: DataFrame,
-    row: str,
-    index: str,
-    val: str,
-    n_cols: int,
-    handler,
-    schema: T.StructType,
-    block: int | None = None,
-) -> DataFrame:
-    """Give ``handler(row_names, M)`` the dense rows of one block; ``index`` is 0..n_cols-1.
-
-    Used to multiply every row with a small matrix that the handler carries.
-    """
-    src = materialize(
-        entries.select(F.col(row).alias("row"), F.col(index).cast("int").alias("idx"), F.col(val).cast("double").alias("val"))
-    )
-    blocks = _blocks(src, "row", block or _row_block_size(n_cols))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows, names = pd.factorize(pdf["row"], sort=True)
-        m = np.zeros((len(names), n_cols))
-        m[rows, pdf["idx"].to_numpy()] = pdf["val"].to_numpy()
-        return handler(np.asarray(names), m)
-
-    return src.withColumn("b", _hash_block("row", blocks)).groupBy("b").applyInPandas(run, schema)
-
-
 def top_per_row(scores: np.ndarray, allowed: np.ndarray, names: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
     """Row index, column index, score and rank (1..n) of the best allowed columns of each row.
 

@@ -121,6 +121,32 @@ def l04_full(spark, sf):
     return out.select("user", "item", F.abs(F.round("score", 6)).alias("score"))
 
 
+def _sql_projector(name: str, gram: str, squarings: int = 14) -> str:
+    """The projector on a Gram matrix's first eigenvector: the matrix is squared again and again."""
+    return f"""{name}_steps AS (SELECT 0 AS step, i, j, v / (SELECT sum(v) FROM {gram} WHERE i = j) AS v FROM {gram}
+      UNION ALL SELECT a.step + 1, a.i, b.j, sum(a.v * b.v) / sum(sum(CASE WHEN a.i = b.j THEN a.v * b.v ELSE 0 END)) OVER ()
+      FROM {name}_steps a JOIN {name}_steps b ON a.j = b.i WHERE a.step < {squarings} GROUP BY a.step, a.i, b.j),
+    {name} AS (SELECT i, j, v FROM {name}_steps WHERE step = {squarings})"""
+
+
+@query(
+    "l04_truncated_scores",
+    f"""WITH RECURSIVE {SQL_RATED},
+    g1 AS (SELECT a.i AS i, b.i AS j, sum(a.r * b.r) AS v FROM rt a JOIN rt b ON a.u = b.u GROUP BY 1, 2),
+    {_sql_projector("p1", "g1")},
+    g2 AS (SELECT g1.i, g1.j, g1.v - p1.v * (SELECT sum(g.v * p.v) FROM g1 g JOIN p1 p ON p.i = g.i AND p.j = g.j) AS v
+      FROM g1 JOIN p1 ON p1.i = g1.i AND p1.j = g1.j),
+    {_sql_projector("p2", "g2")},
+    sc AS (SELECT rt.u, p1.j AS i, sum(rt.r * (p1.v + p2.v)) AS s FROM rt JOIN p1 ON p1.i = rt.i
+      JOIN p2 ON p2.i = p1.i AND p2.j = p1.j
+      WHERE NOT EXISTS (SELECT 1 FROM rt o WHERE o.u = rt.u AND o.i = p1.j) GROUP BY 1, 2)
+    SELECT u AS "user", i AS item, {sql_rnd('s', 6)} AS score, rank FROM {sql_top('sc')}""",
+)
+def l04_truncated(spark, sf):
+    """Scores from the first two factors."""
+    return L.matrix_factorization(rated(spark, sf), 5, 2).select("user", "item", rnd("score", 6), "rank")
+
+
 @query("l04_als_large_catalogue")
 def l04_als(spark, sf):
     li = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))

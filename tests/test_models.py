@@ -198,8 +198,6 @@ def test_factorisation_matches_svd(ratings):
     low = pd.DataFrame(u[:, :3] * s[:3] @ vt[:3], index=m.index, columns=m.columns)
     want = {(a, b): low.loc[a, b] for a in m.index for b in m if m.loc[a, b] == 0}
     assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], abs_tol=1e-8) for k in want)
-    with pytest.raises(ValueError):
-        RC.matrix_factorization(df, max_dense=3)
 
 
 def test_euclidean_neighbours(spark, ratings):
