@@ -70,16 +70,12 @@ def similar_users(rated: DataFrame, n: int = 5, targets: DataFrame | None = None
         [T.StructField("user", kind), T.StructField("other", kind), T.StructField("similarity", T.DoubleType())]
     )
 
-    def best(q_names, q, u_names, u, _cols):
-        out = []
-        for part, sims in S.cosine_slices(q, u):
-            names = q_names[part]
-            allowed = (sims > 0) & (names[:, None] != u_names[None, :])
-            r, c, s, _ = S.top_per_row(sims, allowed, u_names, n)
-            out.append(pd.DataFrame({"user": names[r], "other": u_names[c], "similarity": s}))
-        return pd.concat(out)
+    def best(q_names, u_names, cosines, _columns):
+        allowed = (cosines > 0) & (q_names[:, None] != u_names[None, :])
+        r, c, s, _ = S.top_per_row(cosines, allowed, u_names, n)
+        return pd.DataFrame({"user": q_names[r], "other": u_names[c], "similarity": s})
 
-    parts = S.row_row_blocks(rated, "user", "item", "rating", best, schema, targets, block)
+    parts = S.close_rows(rated, "user", "item", "rating", 0.0, best, schema, targets, block)
     return top_n(parts, n, "user", "other", "similarity")
 
 
@@ -134,17 +130,16 @@ def user_based(
     """For each unrated item the similarity-weighted mean rating of its raters above the threshold."""
     schema = _result_schema(rated, T.StructField("num", T.DoubleType()), T.StructField("den", T.DoubleType()))
 
-    def weigh(q_names, q, u_names, u, items):
+    def weigh(q_names, u_names, cosines, columns):
+        w = np.where((cosines > threshold) & (q_names[:, None] != u_names[None, :]), cosines, 0.0)
         out = []
-        rated_by = (u > 0).astype(float)
-        for part, sims in S.cosine_slices(q, u):
-            w = np.where(sims > threshold, sims, 0.0)
-            num, den = w @ u, w @ rated_by
-            r, c = np.nonzero((q[part] == 0) & (den > 0))
-            out.append(pd.DataFrame({"user": q_names[part][r], "item": items[c], "num": num[r, c], "den": den[r, c]}))
+        for items, q, u in columns():
+            num, den = w @ u, w @ (u > 0).astype(float)
+            r, c = np.nonzero((q == 0) & (den > 0))
+            out.append(pd.DataFrame({"user": q_names[r], "item": items[c], "num": num[r, c], "den": den[r, c]}))
         return pd.concat(out)
 
-    parts = S.row_row_blocks(rated, "user", "item", "rating", weigh, schema, targets, block)
+    parts = S.close_rows(rated, "user", "item", "rating", max(threshold, 0.0), weigh, schema, targets, block)
     # items that the query block itself never mentions are unrated as well as absent,
     # so the sums over blocks only ever meet unrated pairs
     scored = parts.groupBy("user", "item").agg(F.sum("num").alias("num"), F.sum("den").alias("den"))

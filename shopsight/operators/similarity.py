@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -218,6 +218,146 @@ def cosine_slices(q: np.ndarray, u: np.ndarray, rows: int = 512) -> Iterator[tup
         yield part, q_unit[part] @ u_unit.T
 
 
+# --- rows that can be close ----------------------------------------------------
+
+#: A key is heavy if it has more than this part of a table's rows; fewer keys than this are.
+_HEAVY = 1000
+#: Rows of each side of a block product.
+_PAIRED_ROWS = 2048
+#: Entries of common columns whose length may reach the limit are left out of the index, less this margin.
+_ROUNDING = 1e-9
+
+
+def lookup(big: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """Inner join with ``small``, which has one row for each key, whatever part of ``big`` a key holds.
+
+    Heavy keys of ``big``, fewer than ``_HEAVY`` by definition, find their row in a broadcast.
+    """
+    limit = big.count() / _HEAVY
+    heavy = materialize(big.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).select(key))
+    found = big.join(F.broadcast(small.join(F.broadcast(heavy), key, "left_semi")), key)
+    rest = big.join(F.broadcast(heavy), key, "left_anti").join(small, key)
+    return found.unionByName(rest)
+
+
+def indexed_entries(entries: DataFrame, above: float) -> DataFrame:
+    """(row, col) of the entries through which a row can be found by any row with cosine > ``above``.
+
+    Columns are ordered from rare to common, in classes of similar counts. Rows that are close
+    share a column, and the rarest one they share lies outside the common columns at the end of
+    either row whose part of the row's length is at most ``above``: with nothing shared but
+    those, the product of the two could not exceed that length. So these need no posting.
+    """
+    if above <= 0:
+        return entries.select("row", "col")
+    counts = entries.groupBy("col").agg(F.floor(F.log2(F.count(F.lit(1)))).cast("int").alias("class"))
+    classed = materialize(lookup(entries, counts, "col"))
+    # at most 64 classes a row
+    parts = classed.groupBy("row", "class").agg(F.sum(F.col("val") * F.col("val")).alias("part"))
+    by_class = Window.partitionBy("row").orderBy(F.col("class").desc())
+    lengths = parts.withColumns(
+        {"tail": F.sum("part").over(by_class), "whole": F.sum("part").over(Window.partitionBy("row"))}
+    )
+    needed = F.col("tail") > F.col("whole") * (above * above * (1 - _ROUNDING))
+    cuts = lengths.filter(needed).groupBy("row").agg(F.max("class").alias("cut"))
+    return lookup(classed, cuts, "row").filter(F.col("class") <= F.col("cut")).select("row", "col")
+
+
+def routes(indexed: DataFrame, asked: DataFrame, blocks: int) -> DataFrame:
+    """(row, met): for each row of ``asked`` (row, col) the blocks that hold a row with a common column in the index."""
+    postings = indexed.groupBy("col").agg(F.collect_set(_hash_block("row", blocks)).alias("met"))
+    return (
+        lookup(asked, postings, "col")
+        .select("row", F.explode("met").alias("met"))
+        .groupBy("row")
+        .agg(F.collect_set("met").alias("met"))
+    )
+
+
+def close_rows(
+    entries: DataFrame,
+    row: str,
+    col: str,
+    val: str,
+    above: float,
+    handler,
+    schema: T.StructType,
+    targets: DataFrame | None = None,
+    block: int | None = None,
+) -> DataFrame:
+    """Run ``handler`` on blocks of target rows and other rows that hold all pairs with cosine > ``above`` >= 0.
+
+    ``handler(q_names, u_names, cosines, columns)`` returns a pandas frame; ``columns()`` gives
+    (names, Q, U), the dense values of a stretch of columns at a time. A row travels only to the
+    blocks in which the inverted index has a row that may be close, and a block is held
+    once for every ``block`` rows that come to it, so rows that share nothing are never compared.
+    """
+    src = materialize(
+        entries.select(
+            F.col(row).alias("row"), F.col(col).alias("col"), F.col(val).cast("double").alias("val")
+        ).filter(F.col("val") != 0)
+    )
+    per_row = src.groupBy("row").agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("rows"), F.avg("n").alias("n")).first()
+    n_cols = src.agg(F.approx_count_distinct("col")).first()[0]
+    # the columns of a block are at most those of the matrix, and about its entries if these are few
+    dense, sparse = _row_block_size(n_cols), int(math.sqrt(_CELLS / (per_row["n"] or 1)))
+    size = block or max(1, min(_PAIRED_ROWS, max(dense, sparse)))
+    blocks = max(1, math.ceil(per_row["rows"] / size))
+    indexed = materialize(indexed_entries(src, above))
+    wanted, asked = src, indexed
+    if targets is not None:
+        some = targets.select(F.col(targets.columns[0]).alias("row")).distinct()
+        wanted, asked = src.join(some, "row", "left_semi"), indexed.join(some, "row", "left_semi")
+    routed = materialize(routes(indexed, asked, blocks))
+    shares = (
+        routed.select(F.explode("met").alias("ub"))
+        .groupBy("ub")
+        .agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("shares"))
+    )
+    going = routed.select("row", F.explode("met").alias("ub")).join(shares, "ub").select(
+        "row", F.struct("ub", F.pmod(F.xxhash64("row", F.lit(1)), F.col("shares")).cast("int").alias("share")).alias("to")
+    )
+    left = lookup(materialize(wanted), going.groupBy("row").agg(F.collect_list("to").alias("to")), "row").select(
+        "row", "col", "val", F.explode("to").alias("to")
+    ).select("row", "col", "val", "to.ub", "to.share")
+    # new names for the columns, because both sides come from one frame
+    held = src.select(*[F.col(c).alias(c) for c in ("row", "col", "val")], _hash_block("row", blocks).alias("ub"))
+    right = held.join(shares, "ub").select(
+        "row", "col", "val", "ub", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share")
+    )
+
+    def run(asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        if asking.empty or held.empty:
+            return empty_frame(schema)
+        codes, names = pd.factorize(pd.concat([asking["col"], held["col"]]), sort=True)
+        width = max(1, _CELLS // (asking["row"].nunique() + held["row"].nunique()))
+
+        def side(pdf: pd.DataFrame, cols: np.ndarray):
+            rows, row_names = pd.factorize(pdf["row"], sort=True)
+            values = pdf["val"].to_numpy()
+            length = np.sqrt(np.bincount(rows, values**2))
+
+            def dense(first: int) -> np.ndarray:
+                m = np.zeros((len(row_names), min(width, len(names) - first)))
+                mine = (cols >= first) & (cols < first + width)
+                m[rows[mine], cols[mine] - first] = values[mine]
+                return m
+
+            return np.asarray(row_names), length, dense
+
+        q_names, q_length, q_dense = side(asking, codes[: len(asking)])
+        u_names, u_length, u_dense = side(held, codes[len(asking) :])
+
+        def columns() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            for first in range(0, len(names), width):
+                yield np.asarray(names[first : first + width]), q_dense(first), u_dense(first)
+
+        products = sum(q @ u.T for _, q, u in columns())
+        return handler(q_names, u_names, products / q_length[:, None] / u_length[None, :], columns)
+
+    return left.groupBy("ub", "share").cogroup(right.groupBy("ub", "share")).applyInPandas(run, schema)
+
+
 def top_per_row(scores: np.ndarray, allowed: np.ndarray, names: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
     """Row index, column index, score and rank (1..n) of the best allowed columns of each row.
 
