@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -25,14 +23,13 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shopsight.operators import metrics as M
 from shopsight.operators.clean import impute
+from shopsight.operators.neighbours import CELL_ROWS, nearest_rows
 from shopsight.operators.sampling import hash_split
-from shopsight.operators.similarity import empty_frame
 from shopsight.schemas import numeric_columns
 from shopsight.session import materialize, together
 
@@ -293,9 +290,6 @@ def ensemble(scored: Mapping[str, DataFrame], key: str) -> DataFrame:
 
 # --- nearest neighbours -------------------------------------------------------------
 
-_KNN_ROWS = 8192
-
-
 def nearest_neighbours(
     train_df: DataFrame,
     query_df: DataFrame,
@@ -303,59 +297,11 @@ def nearest_neighbours(
     features: Sequence[str],
     label: str = "label",
     k: int = 5,
-    rows_per_block: int = _KNN_ROWS,
+    rows_per_block: int = 8192,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
-    """Majority label of the k nearest training rows (ties: smallest label), exact.
-
-    Both sides are cut into hash blocks; each block pair reports its k nearest
-    per query, so only k candidates per query and block travel on.
-    """
-    n_t = max(1, math.ceil(train_df.count() / rows_per_block))
-    n_q = max(1, math.ceil(query_df.count() / rows_per_block))
-    vec = F.array(*[F.col(c).cast("double") for c in features]).alias("v")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    t = train_df.select(
-        F.col(key).alias("id"), vec, F.col(label).cast("double").alias("y"), F.lit(False).alias("is_query"),
-        every(n_q).alias("qb"), F.pmod(F.xxhash64(key), F.lit(n_t)).cast("int").alias("tb"),
-    )
-    q = query_df.select(
-        F.col(key).alias("id"), vec, F.lit(None).cast("double").alias("y"), F.lit(True).alias("is_query"),
-        F.pmod(F.xxhash64(key), F.lit(n_q)).cast("int").alias("qb"), every(n_t).alias("tb"),
-    )
-    schema = T.StructType(
-        [T.StructField("id", train_df.schema[key].dataType), T.StructField("other", train_df.schema[key].dataType),
-         T.StructField("distance", T.DoubleType()), T.StructField("y", T.DoubleType())]
-    )
-
-    def nearest(pdf: pd.DataFrame) -> pd.DataFrame:
-        mask = pdf["is_query"].to_numpy()
-        qs, ts = pdf[mask].sort_values("id"), pdf[~mask].sort_values("id")
-        if not len(qs) or not len(ts):
-            return empty_frame(schema)
-        tv = np.stack(ts["v"].to_numpy())
-        out = []
-        for part in _slices(qs, 256):
-            qv = np.stack(part["v"].to_numpy())
-            d = (qv**2).sum(1)[:, None] + (tv**2).sum(1)[None, :] - 2 * qv @ tv.T
-            d = np.round(np.maximum(d, 0.0), 9)
-            best = np.argsort(d, axis=1, kind="stable")[:, :k]
-            rows = np.repeat(np.arange(len(part)), best.shape[1])
-            cols = best.ravel()
-            out.append(
-                pd.DataFrame(
-                    {"id": part["id"].to_numpy()[rows], "other": ts["id"].to_numpy()[cols], "distance": d[rows, cols], "y": ts["y"].to_numpy()[cols]}
-                )
-            )
-        return pd.concat(out)
-
-    parts = t.unionByName(q).groupBy("qb", "tb").applyInPandas(nearest, schema)
-    w = Window.partitionBy("id").orderBy("distance", "other")
-    near = parts.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= k)
+    """Majority label of the k nearest training rows (ties: smallest label), exact."""
+    near = nearest_rows(train_df, query_df, key, features, label, k, rows_per_block, cell_rows)
     return near.groupBy(F.col("id").alias(key)).agg(
         F.mode(F.col("y"), True).alias("prediction"), F.avg("y").alias("probability")
     )
-
-
-def _slices(pdf: pd.DataFrame, rows: int) -> Iterator[pd.DataFrame]:
-    for start in range(0, len(pdf), rows):
-        yield pdf.iloc[start : start + rows]

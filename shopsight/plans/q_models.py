@@ -514,6 +514,32 @@ def k14(spark, sf):
     return M.classification_metrics(scored, "label", "prediction", "probability")
 
 
+@query(
+    "k14_nearest_neighbour_predictions",
+    f"""WITH {SQL_CUSTOMERS}, pt AS (SELECT customer_id, recency / 30 AS a, frequency::DOUBLE AS b, monetary::DOUBLE / 10000 AS c,
+      is_subscriber::DOUBLE AS y, ('0x' || substr(md5(customer_id || '|42'), 1, 15))::BIGINT % 1000 < 200 AS held FROM cust),
+    d AS (SELECT q.customer_id, t.y, row_number() OVER (PARTITION BY q.customer_id
+      ORDER BY round((q.a - t.a) ** 2 + (q.b - t.b) ** 2 + (q.c - t.c) ** 2, 9), t.customer_id) AS n
+      FROM pt q JOIN pt t ON q.held AND NOT t.held)
+    SELECT customer_id, CASE WHEN sum(y) >= 3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
+      {sql_rnd('avg(y)', 6)} AS probability FROM d WHERE n <= 5 GROUP BY 1""",
+)
+def k14_predictions(spark, sf):
+    from shopsight.operators.sampling import hash_split
+
+    points = customers(spark, sf).select(
+        "customer_id",
+        (F.col("recency") / 30).alias("a"),
+        F.col("frequency").cast("double").alias("b"),
+        (F.col("monetary").cast("double") / 10000).alias("c"),
+        F.col("is_subscriber").alias("label"),
+    )
+    train, test = hash_split(materialize(points), ["customer_id"])
+    # small cells, so that both rounds have something to leave out
+    found = ML.nearest_neighbours(train, test, "customer_id", ["a", "b", "c"], cell_rows=32)
+    return found.select("customer_id", "prediction", rnd("probability", 6))
+
+
 @query("k06_train_with_cross_validation")
 def k06(spark, sf):
     data = churn_data(spark, sf)
