@@ -198,5 +198,7 @@ def read(index: DataFrame) -> DataFrame:
                         yield pa.RecordBatch.from_pylist(rows, schema)
 
     located = index.select("file", "offset", "length", F.floor(F.col("offset") / STRETCH).alias("stretch"))
-    ordered = located.repartition("file", "stretch").sortWithinPartitions("file", "offset")
+    # a row of the index is tiny, but stands for a record: as many tasks as stretches, whatever the rows weigh
+    stretches = max(1, located.select("file", "stretch").distinct().count())
+    ordered = located.repartition(stretches, "file", "stretch").sortWithinPartitions("file", "offset")
     return map_batches(ordered.select("file", "offset", "length"), run, RECORD)
