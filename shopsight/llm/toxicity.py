@@ -3,13 +3,15 @@
 A sentence ends at a full stop, exclamation or question mark, or line break. Its score is the logistic of
 a sum of weights, one for each of its distinct words and for the first bytes of each,
 hashed into ``BUCKETS`` cells. A document is toxic unless all its sentences are
-clean: P = 1 - prod(1 - p), the noisy-or. The weights are those under which the document labels
+clean: P = 1 - prod(1 - p), the noisy-or. What is expected of unknown sentences stays the same
+however many a document has (``prior_of``), in training as in scoring. The weights are those under which the document labels
 are most likely, found by AdaGrad in numpy on a bounded sample of whole documents, in one task;
 scoring then takes whole texts, and sentences at 0.5 or above are reported.
 
 Defined results: a null or empty text, or one without letters, has no sentence to score
 and gets score 0; repeated labels of a document count as toxic if any is; null labels are
 no labels; without labels of both kinds the weights are zero and every sentence has the prior's score.
+Repeated rows are scored each by itself; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,8 +33,9 @@ PREFIXES = (4, 5)
 #: Bounds of the training sample: documents of each label, and bytes of one of them.
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 2500, 5000, 1 << 16
 STEPS, DOCS_PER_STEP, RATE, DECAY = 600, 128, 0.3, 1e-2
-#: Log odds of a sentence that nothing is known about.
-PRIOR = -8.0
+#: Log odds of a sentence that nothing is known about, in a document of up to ``USUAL`` sentences. In longer
+#: ones it falls with the logarithm of their number, so that length alone does not make a document toxic.
+PRIOR, USUAL = -8.0, 64
 
 _WORD = np.zeros(256, bool)
 _WORD[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -87,9 +90,14 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
+def prior_of(text: np.ndarray) -> np.ndarray:
+    """Log odds of each sentence before its words are seen; ``text`` is the document of each."""
+    return PRIOR - np.log(np.maximum(np.bincount(text)[text] / USUAL, 1.0)) if len(text) else np.zeros(0)
+
+
 def sentence_scores(sentences: Sentences, weights: np.ndarray) -> np.ndarray:
     sums = weights[sentences.cells].sum(axis=1)
-    return _logistic(PRIOR + np.bincount(sentences.of_word, sums, len(sentences.text)))
+    return _logistic(prior_of(sentences.text) + np.bincount(sentences.of_word, sums, len(sentences.text)))
 
 
 def noisy_or(scores: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
@@ -115,7 +123,7 @@ def fit(texts: list[Sentences], labels: np.ndarray) -> np.ndarray:
             of_word = np.concatenate([texts[i].of_word + b for i, b in zip(some, base, strict=True)])
             text = np.repeat(np.arange(len(some)), sizes)
             sums = np.bincount(of_word, weights[cells].sum(axis=1), len(text))
-            p = _logistic(PRIOR + sums)
+            p = _logistic(prior_of(text) + sums)
             whole = np.clip(noisy_or(p, text, len(some)), 1e-9, 1 - 1e-12)
             toxic = labels[some] == 1
             # derivative of the log likelihood by each sentence's log odds

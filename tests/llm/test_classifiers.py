@@ -70,3 +70,18 @@ def test_nothing_to_learn_from(spark, no_docs, docs):
     net = langid.fit(langid.training_sample(no_docs))
     assert net is None
     assert {r["lang_pred"] for r in langid.identify(docs, net).collect()} == {langid.UNKNOWN}
+
+
+def test_length_alone_is_not_toxic(spark, weights):
+    """Many clean sentences, known or not, stay clean; a toxic one among them is still found."""
+    docs, labels = (spark.read.parquet(f"{TABLES}/{t}.parquet") for t in ("documents", "labels"))
+    clean = [r["text"] for r in docs.join(labels.filter("toxic = 0"), "doc_id").orderBy("doc_id").select("text").collect()]
+    joined = "\n".join(clean)
+    while joined.count(".") < 20_000:
+        joined += "\n" + joined
+    unseen = " ".join(f"Zq{i} vx{i}." for i in range(10_000))
+    insult = " You are a stupid worthless idiot and pathetic scum."
+    rows = [(1, joined), (2, unseen), (3, joined + insult), (4, unseen + insult)]
+    got = {r["doc_id"]: r for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), weights).collect()}
+    assert got[1]["score"] < 0.5 and got[2]["score"] < 0.5
+    assert got[3]["score"] >= 0.5 and got[4]["score"] >= 0.5
