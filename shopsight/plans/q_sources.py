@@ -22,7 +22,7 @@ from shopsight.plans.q_rfm import base
 from shopsight.plans.retail import SQL_ORD, SQL_RFM_BASE, orders_view, table
 from shopsight.schemas import TABLES
 from shopsight.session import ensure_checkpoint_dir, materialize
-from shopsight.sources import readers, tables, writers
+from shopsight.sources import readers, tables, versions, writers
 from shopsight.streaming import live
 
 
@@ -143,6 +143,30 @@ def a14(spark, sf):
     return out.select("c_custkey", "c_mktsegment", "c_acctbal")
 
 
+@query(
+    "a14_update_of_a_stored_table",
+    """SELECT c_nationkey, count(*) AS rows, count(*) FILTER (c_nationkey < 4 AND c_acctbal < 0) AS reviewed, 0::BIGINT AS reviewed_before,
+    count(*) FILTER (c_acctbal < 0 AND c_nationkey >= 4) AS negative, TRUE AS untouched_files_stay FROM customer GROUP BY 1""",
+)
+def a14_stored(spark, sf):
+    """Customers by nation, updated in place: what readers of either version see, and that other files stay."""
+    path = scratch(spark, "customers")
+    rows = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal", F.lit("OPEN").alias("state"))
+    versions.create(rows.repartitionByRange(8, "c_nationkey"), path)
+    done = versions.update(spark, path, {"state": "REVIEW", "c_acctbal": 0}, "c_nationkey < 4 AND c_acctbal < 0")
+    before, after = (set(versions.files_of(spark, path, v)) for v in (1, done.version))
+    stay = len(before & after) == done.untouched and done.rewritten == len(before - after) and 0 < done.rewritten < len(before)
+    old = versions.read(spark, path, 1).groupBy("c_nationkey").agg(F.count_if(F.col("state") == "REVIEW").alias("reviewed_before"))
+    new = versions.read(spark, path).groupBy("c_nationkey").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("state") == "REVIEW").alias("reviewed"),
+        F.count_if(F.col("c_acctbal") < 0).alias("negative"),
+    )
+    return new.join(old, "c_nationkey").select(
+        "c_nationkey", "rows", "reviewed", "reviewed_before", "negative", F.lit(stay).alias("untouched_files_stay")
+    )
+
+
 @query(
     "a15_declared_tables",
     """SELECT 'customers' AS "table", 7 AS columns, count(*) AS rows FROM customer UNION ALL SELECT 'transactions', 9, count(*) FROM orders
@@ -279,6 +303,33 @@ def n01(spark, sf):
     )
 
 
+_LATE = "event_id % 10 = 0"
+
+
+@query(
+    "n01_closed_hours_without_late_rows",
+    f"""WITH p AS (SELECT * FROM events WHERE event_type = 'purchase'),
+    w AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM p WHERE event_id % 10 > 1),
+    kept AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, value FROM p, w
+      WHERE NOT {_LATE} OR time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR > mark)
+    SELECT strftime(start, '%Y-%m-%d %H:%M') AS window_start, {sql_rnd('sum(value)', 2)} AS revenue, count(*) AS orders,
+      (SELECT count(*) > 0 FROM p, w WHERE {_LATE} AND time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= mark) AS has_late_rows
+    FROM kept, (SELECT max(ts) - INTERVAL 1 DAY AS last FROM p) WHERE start + INTERVAL 1 HOUR <= last GROUP BY 1""",
+)
+def n01_append(spark, sf):
+    """Every tenth event arrives after all others: hours that are closed by then are final, rows for them are dropped."""
+    events = table(spark, sf, "events").filter("event_type = 'purchase'")
+    folder = scratch(spark, "events")
+    # files are taken in the order in which they were written; a batch drops what the watermark of the last but one forbids
+    for part in ("event_id % 10 > 1", "event_id % 10 = 1", _LATE):
+        events.filter(part).coalesce(1).write.mode("append").parquet(folder)
+    stream = live.read_stream(spark, folder, events.schema, files_per_batch=1)
+    figures, late = live.closed_key_figures(stream, "ts", "value", scratch(spark, "sink"), scratch(spark, "stream"))
+    return figures.select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"), rnd("revenue", 2), "orders", F.lit(late > 0).alias("has_late_rows")
+    )
+
+
 @query(
     "n02_incremental_rfm",
     f"WITH {SQL_ORD}, {SQL_RFM_BASE} SELECT customer_id, recency, frequency, monetary FROM rfm",

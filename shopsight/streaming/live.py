@@ -35,6 +35,25 @@ def live_key_figures(
     )
 
 
+def closed_key_figures(
+    events: DataFrame, ts: str, amount: str, folder: str, checkpoint: str, late: str = "1 day", width: str = "1 hour"
+) -> tuple[DataFrame, int]:
+    """The key figures of windows that the watermark has closed, appended to ``folder``, and how many sums came too late.
+
+    A window is written once, when no row for it is accepted any more; the state holds open windows only. What
+    comes later is dropped; it is counted as Spark does, after the rows of a task are summed by window. The
+    stream runs until everything available now is read.
+    """
+    figures = live_key_figures(events, ts, amount, late, width)
+    writer = figures.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    running = writer.format("parquet").option("path", folder).trigger(availableNow=True).start()
+    running.awaitTermination()
+    dropped = sum(
+        state.numRowsDroppedByWatermark for progress in running.recentProgress for state in progress.stateOperators
+    )
+    return events.sparkSession.read.schema(figures.schema).parquet(folder), dropped
+
+
 def merge_batch(batch: DataFrame, batch_id: int, folder: str, cols: ColumnMap = DEFAULT_COLUMNS) -> None:
     """Write the mergeable totals of one micro-batch under its batch id.
 

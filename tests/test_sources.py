@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopsight.schemas import RAW_RETAIL, TABLES, to_canonical
-from shopsight.sources import readers, tables, writers
+from shopsight.sources import readers, tables, versions, writers
 from shopsight.streaming import live
 
 
@@ -146,3 +146,46 @@ def test_late_rows_are_dropped(spark, tmp_path):
         run()
     got = [r["window_start"].day for r in spark.read.parquet(f"{tmp_path}/out").collect()]
     assert 1 not in got and 10 in got
+
+
+def _stored(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    df = spark.createDataFrame([(i, i // 10, "a") for i in range(40)], "id long, part long, s string")
+    versions.create(df.repartitionByRange(4, "part"), path)
+    return path
+
+
+def test_update_rewrites_only_files_with_hits(spark, tmp_path):
+    path = _stored(spark, tmp_path)
+    before = versions.files_of(spark, path)
+    old = versions.read(spark, path)
+    done = versions.update(spark, path, {"s": "b"}, "part = 2 AND id % 2 = 0")
+    after = versions.files_of(spark, path)
+    assert (done.version, done.rewritten, done.untouched) == (2, 1, len(before) - 1)
+    assert len(set(before) & set(after)) == len(before) - 1
+    assert sorted(r["id"] for r in versions.read(spark, path).filter("s = 'b'").collect()) == [20, 22, 24, 26, 28]
+    # the old version, and what was opened before, stay as they were
+    assert old.filter("s = 'b'").count() == versions.read(spark, path, 1).filter("s = 'b'").count() == 0
+    assert versions.read(spark, path).count() == 40 and versions.versions(spark, path) == [1, 2]
+
+
+def test_update_without_hits_conflicts_and_errors(spark, tmp_path, monkeypatch):
+    path = _stored(spark, tmp_path)
+    assert versions.update(spark, path, {"s": "b"}, "id > 100").version == 1
+    assert versions.update(spark, path, {"s": "b"}, "nullif(id, id) = 1").version == 1
+    with pytest.raises(ValueError):
+        versions.update(spark, path, {"nothing": 1}, "id = 1")
+    with pytest.raises(ValueError):
+        versions.create(spark.range(1), path)
+    with pytest.raises(ValueError):
+        versions.read(spark, path, 7)
+    with pytest.raises(ValueError):
+        versions.read(spark, str(tmp_path / "none"))
+    # a second writer that started from version 1, too
+    versions.update(spark, path, {"s": "b"}, "id = 1")
+    files = versions.files_of(spark, path)
+    monkeypatch.setattr(versions, "versions", lambda *_: [1])
+    with pytest.raises(Exception):  # noqa: B017, PT011
+        versions.update(spark, path, {"s": "c"}, "id = 30")
+    monkeypatch.undo()
+    assert versions.files_of(spark, path) == files and versions.read(spark, path).filter("s = 'c'").count() == 0
