@@ -9,8 +9,14 @@ The network is trained in numpy, in one task, on a bounded sample of labelled te
 For use, embedding and filters are folded into tables by byte and by pair of bytes, so
 a filter's response is a sum of one or two table rows.
 
-Defined results: a null text, or one without a letter, is ``und`` with score 0; without
-any labelled text everything is ``und``; rows of equal text get equal results.
+A network may have one more output for languages it did not learn. Its examples are the
+windows of the sample with some letters swapped for others, a swap for each window: word
+lengths and repetitions stay those of a language, the letter groups do not. How much of
+that output a text may have and still count as known is set on labelled texts that were not learned from.
+
+Defined results: a null text, or one without a letter, is ``und`` with score 0 and not strange; without
+any labelled text everything is ``und``; an empty table gives an empty one; rows of equal
+text get equal results, repeated rows stay. Very long texts are read whole, window by window.
 """
 
 from __future__ import annotations
@@ -31,6 +37,10 @@ WINDOW, WIDTHS, EMBEDDED, FILTERS = 256, (2, 3, 4), 8, 16
 #: Bounds of the training sample: texts of each language, bytes of one of them, windows of one of them.
 SAMPLE_TEXTS, SAMPLE_BYTES, SAMPLE_WINDOWS = 1000, 1 << 16, 4
 STEPS, BATCH, RATE = 600, 128, 4e-3
+#: Letters that change places in an example of an unknown language, at least.
+SWAPPED = 8
+#: Part of the texts of learned languages that must count as known, and the least strangeness that can count as unknown.
+KNOWN_PART, LEAST_STRANGE = 0.999, 0.75
 #: Windows that are worked on at a time.
 AT_ONCE = 256
 UNKNOWN = "und"
@@ -41,7 +51,7 @@ _LOWER[0x41:0x5B] += 0x20
 
 @dataclass
 class Network:
-    """Embedding, filters and softmax; ``languages`` in order of the outputs."""
+    """Embedding, filters and softmax; ``languages`` in order of the outputs, which may end in one for strange text."""
 
     languages: list[str]
     embedding: np.ndarray
@@ -85,21 +95,36 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def enciphered(windows: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Each window with ``SWAPPED`` or more of the letters a-z, chosen for it at random, put in each other's place."""
+    out = windows.copy()
+    for i, window in enumerate(windows):
+        letters = rng.choice(26, rng.integers(SWAPPED, 27), replace=False) + 0x61
+        code = np.arange(256, dtype=np.uint8)
+        code[letters] = rng.permutation(letters)
+        out[i] = code[window]
+    return out
+
+
 def train(windows: np.ndarray, used: np.ndarray, labels: np.ndarray, languages: list[str]) -> Network:
-    """Fit by Adam on cross-entropy; windows are shortened at random so that short texts are met too."""
+    """Fit by Adam on cross-entropy; windows are shortened at random so that short texts are met too.
+
+    ``labels`` are positions in ``languages``, or one more for strange text.
+    """
+    outputs = max(len(languages), int(labels.max()) + 1)
     rng = np.random.default_rng(0)
     net = Network(
         languages,
         rng.normal(0, 0.5, (256, EMBEDDED)),
         [rng.normal(0, 0.5 / np.sqrt(w), (w, EMBEDDED, FILTERS)) for w in WIDTHS],
-        rng.normal(0, 0.1, (len(WIDTHS) * FILTERS, len(languages))),
-        np.zeros(len(languages)),
+        rng.normal(0, 0.1, (len(WIDTHS) * FILTERS, outputs)),
+        np.zeros(outputs),
     )
     values = [net.embedding, *net.filters, net.out, net.bias]
     mean, square = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values]
-    by_label = [np.flatnonzero(labels == k) for k in range(len(languages))]
+    by_label = [np.flatnonzero(labels == k) for k in range(outputs)]
     for step in range(1, STEPS + 1):
-        label = rng.integers(0, len(languages), BATCH)
+        label = rng.integers(0, outputs, BATCH)
         some = np.array([rng.choice(by_label[k]) for k in label])
         x = windows[some].copy()
         length = np.where(rng.random(BATCH) < 0.5, used[some], np.ceil(used[some] * rng.random(BATCH) ** 2)).astype(int)
@@ -141,7 +166,7 @@ class Reader:
         self.net, self.tables = net, net.tables()
 
     def probabilities(self, windows: np.ndarray) -> np.ndarray:
-        out = np.empty((len(windows), len(self.net.languages)))
+        out = np.empty((len(windows), len(self.net.bias)))
         for first in range(0, len(windows), AT_ONCE):
             x = windows[first : first + AT_ONCE]
             pairs = x[:, :-1].astype(np.intp) * 256 + x[:, 1:]
@@ -157,14 +182,15 @@ class Reader:
             out[first : first + AT_ONCE] = _softmax(active @ self.net.out + self.net.bias)
         return out
 
-    def predict(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """Index of the likeliest language of each text and its probability."""
+    def predict(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Index of the likeliest language of each text, its probability and that of strange text."""
         windows, text, used = windows_of(texts)
         weighted = self.probabilities(windows) * used[:, None]
         n = len(texts)
         total = np.stack([np.bincount(text, column, n) for column in weighted.T], axis=1)
         total /= np.maximum(np.bincount(text, used, n), 1)[:, None]
-        return total.argmax(axis=1), total.max(axis=1)
+        known = total[:, : len(self.net.languages)]
+        return known.argmax(axis=1), known.max(axis=1), total[:, len(self.net.languages) :].sum(axis=1)
 
 
 def training_sample(docs: DataFrame) -> DataFrame:
@@ -183,8 +209,11 @@ def training_sample(docs: DataFrame) -> DataFrame:
     return usable.select("doc_id", "text", "lang").join(ids, "doc_id").select("order", "text", "lang")
 
 
-def fit(sample: DataFrame) -> Network | None:
-    """Train on (order, text, lang), a bounded sample, in one task; None without rows."""
+def fit(sample: DataFrame, strangers: bool = False) -> Network | None:
+    """Train on (order, text, lang), a bounded sample, in one task; None without rows.
+
+    With ``strangers`` the network has an output for languages that are not in the sample.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.default_rng(1)
@@ -199,7 +228,11 @@ def fit(sample: DataFrame) -> Network | None:
         if langs:
             languages = sorted(set(langs))
             labels = np.array([languages.index(lang) for lang in langs])
-            net = train(np.concatenate(windows), np.concatenate(used), labels, languages)
+            shown, size = np.concatenate(windows), np.concatenate(used)
+            if strangers:
+                labels = np.append(labels, np.full(len(labels), len(languages)))
+                shown, size = np.concatenate((shown, enciphered(shown, rng))), np.append(size, size)
+            net = train(shown, size, labels, languages)
             arrays = [net.embedding, *net.filters, net.out, net.bias]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([languages]), pa.array([[a.astype("<f8").tobytes() for a in arrays]])], ["languages", "arrays"]
@@ -211,16 +244,29 @@ def fit(sample: DataFrame) -> Network | None:
         return None
     languages, packed = rows[0]["languages"], [np.frombuffer(a, "<f8") for a in rows[0]["arrays"]]
     filters = [a.reshape(w, EMBEDDED, FILTERS) for w, a in zip(WIDTHS, packed[1:], strict=False)]
-    return Network(languages, packed[0].reshape(256, EMBEDDED), filters, packed[-2].reshape(-1, len(languages)), packed[-1])
+    return Network(languages, packed[0].reshape(256, EMBEDDED), filters, packed[-2].reshape(-1, len(packed[-1])), packed[-1])
+
+
+def strange_limit(labelled: DataFrame, net: Network) -> float:
+    """The strangeness that texts of learned languages do not exceed, but for ``1 - KNOWN_PART`` of them.
+
+    ``labelled`` are documents that ``net`` did not learn from; a sample of them, bounded as that for training, is scored.
+    """
+    scored = identify(training_sample(labelled).select("text"), net, names=("lang_pred", "score", "strange"))
+    seen = scored.agg(F.percentile("strange", F.lit(KNOWN_PART)).alias("limit")).first()["limit"]
+    return LEAST_STRANGE if seen is None else max(LEAST_STRANGE, seen)
+
 
+def identify(docs: DataFrame, net: Network | None, names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the language of ``text`` and its score added; other columns pass through.
 
-def identify(docs: DataFrame, net: Network | None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """``docs`` with the language of ``text`` and its score added; other columns pass through."""
+    A third name gets the probability that the text is in no learned language, 0 where ``net`` was not taught to tell.
+    """
     for name in names:
         if fresh(docs, name) != name:
             raise ValueError(f"the input already has a column {name}")
     if net is None:
-        return docs.withColumn(names[0], F.lit(UNKNOWN)).withColumn(names[1], F.lit(0.0))
+        return docs.withColumns({names[0]: F.lit(UNKNOWN), **{name: F.lit(0.0) for name in names[1:]}})
     sent = docs.sparkSession.sparkContext.broadcast(net)  # its size depends on the number of languages only
     lettered, kept = fresh(docs, "_lettered"), docs.columns
     readers: dict[int, Reader] = {}
@@ -230,13 +276,14 @@ def identify(docs: DataFrame, net: Network | None, names: tuple[str, str] = ("la
         languages = np.array([*sent.value.languages, UNKNOWN], object)
         for batch in batches:
             for part in chunks(batch, "text"):
-                best, score = reader.predict(texts_of(part.column("text")))
+                best, *scores = reader.predict(texts_of(part.column("text")))
                 known = part.column(lettered).to_numpy(zero_copy_only=False)
                 lang = languages[np.where(known, best, len(languages) - 1)]
                 columns = [part.column(c) for c in kept]
-                values = [pa.array(lang, pa.string()), pa.array(np.where(known, score, 0.0))]
-                yield pa.RecordBatch.from_arrays([*columns, *values], [*kept, *names])
+                values = [pa.array(np.where(known, score, 0.0)) for score in scores[: len(names) - 1]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(lang, pa.string()), *values], [*kept, *names])
 
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    schema = T.StructType([*docs.schema, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    added = [T.StructField(names[0], T.StringType()), *(T.StructField(name, T.DoubleType()) for name in names[1:])]
+    schema = T.StructType([*docs.schema, *added])
     return map_batches(docs.withColumn(lettered, has_letter), run, schema)
