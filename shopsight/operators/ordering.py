@@ -152,8 +152,11 @@ def _ranked_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str],
 
     The rows are read once; what is kept and ordered are counted values.
     """
-    group = [*by, "column"]
-    hist = materialize(value_histogram(df, columns, by))
+    return _with_rank_ranges(materialize(value_histogram(df, columns, by)), [*by, "column"], rows_per_cell)
+
+
+def _with_rank_ranges(hist: DataFrame, group: Sequence[str], rows_per_cell: int) -> DataFrame:
+    """Materialised ``(*group, value, cnt)`` with ``n`` and the ranks in the group; a NULL value comes first."""
     if hist.count() <= rows_per_cell:
         w = Window.partitionBy(*group).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
         placed = hist.withColumn("_last", F.sum("cnt").over(w))
@@ -242,6 +245,66 @@ def _bracketed_histogram(df: DataFrame, columns: Sequence[str], probs: Sequence[
     )
 
 
+# the same for grouped quantiles, and the groups (times columns) whose sketches and brackets are kept
+_GROUP_BRACKET, _GROUP_ACCURACY, _BRACKETED_GROUPS = 0.002, 5_000, 256
+
+
+def _grouped_brackets(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str], rows_per_cell: int
+) -> DataFrame | None:
+    """``(*by, column, n, _lo0, _hi0, ...)``: the values at the ranks around each quantile of each group.
+
+    A first pass sketches every group and gives a bracket of values around each quantile.
+    A second pass counts what lies below the bracket and the values inside it, so only a
+    few rows in a thousand of a group are shuffled and ordered. None if there are more
+    than ``_BRACKETED_GROUPS`` groups, as each costs a sketch in every task.
+    """
+    if df.select(*by).distinct().limit(_BRACKETED_GROUPS + 1).count() * len(columns) > _BRACKETED_GROUPS:
+        return None
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    values = df.select(*by, F.inline(pairs)).filter(F.col("value").isNotNull())
+    spots = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-_GROUP_BRACKET, _GROUP_BRACKET)]
+    sketched = values.groupBy(*by, "column").agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("value", spots, _GROUP_ACCURACY).alias("_e")
+    )
+
+    def bracket(i: int, p: float) -> Column:
+        """Closed range of values; NULL is open."""
+        few = F.col("n") * _GROUP_BRACKET < 10
+        low = F.lit(None) if p <= _GROUP_BRACKET else F.when(~few, F.col("_e")[2 * i])
+        high = F.lit(None) if p >= 1 - _GROUP_BRACKET else F.when(~few, F.col("_e")[2 * i + 1])
+        return F.struct(F.lit(i).alias("slot"), F.lit(p).alias("p"), low.cast("double").alias("low"), high.cast("double").alias("high"))
+
+    brackets = F.array(*[bracket(i, float(p)) for i, p in enumerate(probs)])
+    edges = materialize(sketched.select(*by, "column", "n", brackets.alias("_b")))
+    keys = {g: f"_k_{i}" for i, g in enumerate([*by, "column"])}
+    theirs = F.broadcast(edges.withColumnsRenamed(keys))  # at most _BRACKETED_GROUPS rows, counted above
+
+    def same(left: str) -> Column:
+        return F.col(left).eqNullSafe(F.col(keys[left]))
+
+    match = same("column")
+    for g in by:
+        match &= same(g)
+    placed = values.join(theirs, match).select(*by, "column", "value", F.inline("_b"))
+    below = F.coalesce(F.col("value") < F.col("low"), F.lit(False))
+    inside = F.coalesce(F.col("value") <= F.col("high"), F.lit(True))
+    counted = (
+        placed.filter(below | inside)
+        .groupBy(*by, "column", "slot", F.when(~below, F.col("value")).alias("value"))
+        .agg(F.count(F.lit(1)).alias("cnt"))
+    )
+    ranked = _with_rank_ranges(materialize(counted), [*by, "column", "slot"], rows_per_cell).drop("n")
+    known = ranked.filter(F.col("value").isNotNull()).join(theirs, match).withColumn("_p", F.col("_b")[F.col("slot")]["p"])
+    pos = F.col("_p") * (F.col("n") - 1)
+    aggs = []
+    for i in range(len(probs)):
+        for tag, rank in (("lo", F.floor(pos) + 1), ("hi", F.ceil(pos) + 1)):
+            hit = (F.col("slot") == i) & rank.between(F.col("first_rank"), F.col("last_rank"))
+            aggs.append(F.max(F.when(hit, F.col("value"))).alias(f"_{tag}{i}"))
+    return known.groupBy(*by, "column").agg(F.max("n").alias("n"), *aggs)
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -251,25 +314,28 @@ def quantiles(
 ) -> DataFrame:
     """Exact linearly interpolated quantiles: ``(*by, column, n, q0, q1, ...)``.
 
-    Groups work from counted values, whole columns from the values near each quantile,
-    so neither a group nor a column has to fit in one task. NULLs are ignored.
+    Only the values near each quantile of a column or group are ordered (many groups: all counted
+    values), so neither has to fit in one task. NULLs are ignored. A rank outside its bracket,
+    which the accuracy of the sketch rules out, would be an error.
     """
-    ranked = None if by else _bracketed_histogram(df, columns, probs)
-    if ranked is None:
-        ranked = _ranked_histogram(df, columns, by, rows_per_cell)
-    aggs = []
-    for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (F.col("n") - 1)
-        for tag, rank in (("lo", F.floor(pos) + 1), ("hi", F.ceil(pos) + 1)):
-            hit = rank.between(F.col("first_rank"), F.col("last_rank"))
-            aggs.append(F.max(F.when(hit, F.col("value"))).alias(f"_{tag}{i}"))
-    picked = ranked.groupBy(*by, "column").agg(F.max("n").alias("n"), *aggs)
+    picked = _grouped_brackets(df, columns, probs, by, rows_per_cell) if by else None
+    if picked is None:
+        ranked = None if by else _bracketed_histogram(df, columns, probs)
+        if ranked is None:
+            ranked = _ranked_histogram(df, columns, by, rows_per_cell)
+        aggs = []
+        for i, p in enumerate(probs):
+            pos = F.lit(float(p)) * (F.col("n") - 1)
+            for tag, rank in (("lo", F.floor(pos) + 1), ("hi", F.ceil(pos) + 1)):
+                hit = rank.between(F.col("first_rank"), F.col("last_rank"))
+                aggs.append(F.max(F.when(hit, F.col("value"))).alias(f"_{tag}{i}"))
+        picked = ranked.groupBy(*by, "column").agg(F.max("n").alias("n"), *aggs)
     out = []
+    missed = F.raise_error(F.lit("a quantile's rank lies outside its bracket")).cast("double")
     for i, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("n") - 1)
-        out.append(
-            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (pos - F.floor(pos))).alias(f"q{i}")
-        )
+        low, high = (F.coalesce(F.col(f"_{tag}{i}"), missed) for tag in ("lo", "hi"))
+        out.append((low + (high - low) * (pos - F.floor(pos))).alias(f"q{i}"))
     return picked.select(*by, "column", "n", *out)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -51,30 +51,58 @@ def strong_pairs(pairs: DataFrame, threshold: float = 0.5) -> DataFrame:
     return pairs.filter(F.abs("correlation") > threshold).orderBy(F.abs("correlation").desc(), "column_a", "column_b")
 
 
+#: A value with more than this part of the distinct rows is frequent; a column has at most 1,000 such values.
+_FREQUENT = 0.001
+
+
 def spearman(df: DataFrame, columns: Sequence[str], rows_per_cell: int = ROWS_PER_CELL) -> DataFrame:
-    """Pearson correlation of average ranks over the rows where all columns are present."""
-    complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    # equal rows are counted once, which also keeps the rank joins free of hot values
-    counted = complete.groupBy(*columns).agg(F.count(F.lit(1)).alias("_w"))
-    ranks = average_ranks(complete, columns, rows_per_cell)
-    ranked = counted
-    for i, c in enumerate(columns):
-        one = ranks.filter(F.col("column") == c).select(F.col("value").alias(c), F.col("avg_rank").alias(f"_r{i}"))
-        ranked = ranked.join(one, c)
-    pairs = list(combinations(range(len(columns)), 2))
-    n = F.sum("_w")
-    w = F.col("_w")
-
-    def mean(e):
-        return F.sum(w * e) / n
-
-    exprs = []
-    for k, (i, j) in enumerate(pairs):
-        x, y = F.col(f"_r{i}"), F.col(f"_r{j}")
-        cov = mean(x * y) - mean(x) * mean(y)
-        sd = F.sqrt(mean(x * x) - mean(x) * mean(x)) * F.sqrt(mean(y * y) - mean(y) * mean(y))
-        exprs.append(F.try_divide(cov, sd).alias(f"p{k}"))
-    return _pairs_to_rows(ranked.agg(*exprs), [(columns[i], columns[j]) for i, j in pairs])
+    """Pearson correlation of average ranks over the rows where all columns are present.
+
+    All columns are ranked together as (column, value) and the ranks go back to the rows in one
+    exchange, however many columns there are. Ranks of a column have the mean (n + 1) / 2, so sums of
+    products are taken around it, a matrix for each task.
+    """
+    names = list(columns)
+    complete = df.select(*[F.col(c).cast("double").alias(c) for c in names]).dropna()
+    counted = materialize(
+        complete.groupBy(*names).agg(F.count(F.lit(1)).cast("double").alias("_w")).withColumn("_id", F.monotonically_increasing_id())
+    )
+    ranks = materialize(
+        average_ranks(complete, names, rows_per_cell).select(
+            "column", "value", (F.col("avg_rank") - (F.col("n") + 1) / 2).alias("rank")
+        )
+    )
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in names])
+    held = counted.select("_id", "_w", F.inline(cells))
+    often = held.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > _FREQUENT * counted.count())
+    # at most 1 / _FREQUENT values of a column; the others are too rare to make a hot key
+    frequent = F.broadcast(materialize(ranks.join(often.drop("rows"), ["column", "value"])))
+    key = ["column", "value"]
+    ranked = held.join(frequent, key).unionByName(held.join(frequent, key, "left_anti").join(ranks, key))
+    by_row = ranked.groupBy("_id").agg(
+        F.first("_w").alias("_w"), *[F.max(F.when(F.col("column") == c, F.col("rank"))).alias(f"_r{i}") for i, c in enumerate(names)]
+    )
+
+    def products(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((len(names), len(names)))
+        for frame in frames:
+            x = frame.drop(columns="_w").to_numpy(np.float64)
+            total += (x * frame["_w"].to_numpy()[:, None]).T @ x
+        i, j = np.indices(total.shape)
+        yield pd.DataFrame({"i": i.reshape(-1), "j": j.reshape(-1), "m": total.reshape(-1)})
+
+    sums = by_row.drop("_id").mapInPandas(products, "i int, j int, m double").groupBy("i", "j").agg(F.sum("m").alias("m"))
+    moments = materialize(sums)  # a row for each pair of columns
+    own = moments.filter("i = j")
+    wanted = df.sparkSession.createDataFrame(
+        [(i, j, names[i], names[j]) for i, j in combinations(range(len(names)), 2)], "i int, j int, column_a string, column_b string"
+    )
+    joined = (
+        wanted.join(moments, ["i", "j"], "left")
+        .join(own.select("i", F.col("m").alias("_mi")), "i", "left")
+        .join(own.select("j", F.col("m").alias("_mj")), "j", "left")
+    )
+    return joined.select("column_a", "column_b", F.try_divide("m", F.sqrt("_mi") * F.sqrt("_mj")).alias("correlation"))
 
 
 # rows that one task compares with each other, and blocks in either order

@@ -368,3 +368,28 @@ def test_too_many_labels_are_refused(spark):
     df = spark.range(1500).select("id", F.col("id").alias("y"))
     with pytest.raises(ValueError):
         G.select_by_f_score(df, ["id"], "y")
+
+
+def test_spearman_of_many_columns(spark):
+    """Fifty columns in one exchange, with a hot value, ties and rows that lack a value."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(0, 1, (600, 1))
+    x = np.round(base * rng.normal(0, 1, 50) + rng.normal(0, 1, (600, 50)), 1)
+    x[:250, 0] = 7.0
+    x[:, 1] = 1.0
+    frame = pd.DataFrame(x, columns=[f"c{i}" for i in range(50)])
+    frame.loc[5, "c3"] = np.nan
+    got = S.spearman(spark.createDataFrame(frame), list(frame.columns)).collect()
+    want = frame.dropna().rank().corr()
+    assert len(got) == 1225
+    for r in got:
+        expected = want.loc[r["column_a"], r["column_b"]]
+        if "c1" in (r["column_a"], r["column_b"]):
+            assert r["correlation"] is None
+        else:
+            assert math.isclose(r["correlation"], expected, rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_spearman_of_nothing(spark):
+    got = S.spearman(spark.createDataFrame([], "a double, b double, c double"), ["a", "b", "c"]).collect()
+    assert len(got) == 3 and all(r["correlation"] is None for r in got)

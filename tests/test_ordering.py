@@ -137,3 +137,53 @@ def test_quantiles_from_brackets(spark, monkeypatch):
         for c in frame.columns:
             assert np.allclose(got[c], frame[c].quantile(probs).to_numpy(), rtol=1e-12)
         assert got["none"] == [None] * len(probs)
+
+
+@pytest.mark.parametrize("per_cell", [SMALL, 1_000_000])
+def test_grouped_quantiles_from_brackets(spark, per_cell):
+    rng = np.random.default_rng(5)
+    n = 30_000
+    frame = pd.DataFrame(
+        {
+            "g": np.where(rng.random(n) < 0.6, "hot", np.where(rng.random(n) < 0.9, "mid", "few")),
+            "x": np.where(rng.random(n) < 0.3, 3.0, rng.normal(0, 2, n)),
+            "y": np.where(rng.random(n) < 0.2, np.nan, rng.integers(0, 9, n)),
+        }
+    )
+    frame.loc[:4, "g"] = None
+    df = spark.createDataFrame(frame).withColumn("y", F.nanvl("y", F.lit(None)))
+    if per_cell == SMALL:
+        per_cell = 150  # values inside the brackets are ordered in several cells
+    probs = [0.0, 0.25, 0.251, 0.5, 0.95, 1.0]
+    assert O._grouped_brackets(df, ["x", "y"], probs, ["g"], per_cell) is not None
+    got = O.quantiles(df, ["x", "y"], probs, ["g"], per_cell).collect()
+    assert len(got) == 8
+    for r in got:
+        part = frame[frame["g"].isna()] if r["g"] is None else frame[frame["g"] == r["g"]]
+        values = part[r["column"]].dropna()
+        assert r["n"] == len(values)
+        assert np.allclose([r[f"q{i}"] for i in range(len(probs))], np.quantile(values, probs), rtol=0, atol=1e-12)
+
+
+def test_grouped_brackets_shuffle_few_values(spark, monkeypatch):
+    """Of a group of distinct values only those near the quantiles are ordered."""
+    seen = []
+    ranges = O._with_rank_ranges
+    monkeypatch.setattr(O, "_with_rank_ranges", lambda hist, *rest: seen.append(hist.count()) or ranges(hist, *rest))
+    df = spark.range(100_000).selectExpr("id % 2 AS g", "cast(hash(id) AS double) AS x")
+    O.quantiles(df, ["x"], [0.25, 0.5, 0.75], ["g"]).collect()
+    assert seen[0] <= 0.02 * 100_000
+
+
+def test_many_groups_take_counted_values(spark):
+    df = spark.range(3000).selectExpr("id % 300 AS g", "cast(id AS double) AS x")
+    assert O._grouped_brackets(df, ["x"], [0.5], ["g"], 1000) is None
+    got = {r["g"]: r["q0"] for r in O.quantiles(df, ["x"], [0.5], ["g"]).collect()}
+    assert got == {g: np.median(np.arange(g, 3000, 300)) for g in range(300)}
+
+
+def test_grouped_quantiles_of_nothing(spark):
+    none = spark.createDataFrame([], "g string, x double")
+    assert O.quantiles(none, ["x"], [0.5], ["g"]).count() == 0
+    nulls = spark.createDataFrame([("a", None), (None, None)], "g string, x double")
+    assert O.quantiles(nulls, ["x"], [0.5], ["g"]).count() == 0
