@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shopsight.functions.scalars import months_between_periods, period_start, ratio
 from shopsight.operators.ordering import ROWS_PER_CELL, quantile_values, quantiles, value_bucket
-from shopsight.operators.similarity import cooccurrence
+from shopsight.operators.similarity import cooccurrence, frequent_pairs
 from shopsight.schemas import DEFAULT_COLUMNS, ColumnMap
 
 
@@ -47,19 +47,17 @@ def basket_pairs(tx: DataFrame, cols: ColumnMap = DEFAULT_COLUMNS, min_support:
     """Support, both confidences and lift of every item pair that occurs together.
 
     Pair counts come from blocked matrix products (see ``similarity``), so a
-    customer who bought everything adds no pair rows. ``min_support`` first
-    drops items that cannot be part of a frequent pair.
+    customer who bought everything adds no pair rows. With ``min_support`` pairs are
+    first counted in hashed buckets and only those that can reach it are named.
     """
     pairs = _baskets(tx, cols)
     support = item_support(tx, cols)
     if min_support > 0:
-        frequent = support.filter(F.col("support") >= min_support).select("item")
-        counted = pairs.join(frequent, "item", "left_semi")
+        customers = pairs.agg(F.count_distinct("customer")).first()[0]
+        # a little lower, the exact comparison follows below
+        together = frequent_pairs(pairs, "customer", "item", min_support * customers * (1 - 1e-12))
     else:
-        counted = pairs
-    together = cooccurrence(counted.withColumn("rating", F.lit(1.0)), "customer", "item").select(
-        F.col("item_a"), F.col("item_b"), F.col("common")
-    )
+        together = cooccurrence(pairs, "customer", "item")
     a = support.select(F.col("item").alias("item_a"), F.col("support").alias("_sa"))
     b = support.select(F.col("item").alias("item_b"), F.col("support").alias("_sb"))
     total = _basket_count(pairs)

@@ -46,14 +46,8 @@ def _dense(pdf: pd.DataFrame, rows: np.ndarray, n_rows: int) -> tuple[np.ndarray
     return m, np.asarray(names)
 
 
-def gram(
-    entries: DataFrame, row: str, col: str, val: str, row_block: int = ROW_BLOCK, col_block: int = COL_BLOCK
-) -> DataFrame:
-    """``(item_a, item_b, dot, common)`` for column pairs a < b that share a row.
-
-    ``dot`` is the inner product of the two columns, ``common`` the number of
-    rows where both are positive. (row, col) must be unique.
-    """
+def _column_pairs(entries: DataFrame, row: str, col: str, val: str, row_block: int, col_block: int) -> DataFrame:
+    """Entries ``(row, col, val, rb, cb, pa, pb)``, dealt to pairs of column blocks of one row block."""
     # read several times below; the entries are already one row per (row, column)
     src = materialize(
         entries.select(F.col(row).alias("row"), F.col(col).alias("col"), F.col(val).cast("double").alias("val"))
@@ -63,9 +57,38 @@ def gram(
     # an entry meets the column blocks that occur in its own row, however many there are in all
     met = placed.groupBy("row").agg(F.collect_set("cb").alias("met"))
     spread = placed.withColumn("ob", F.lit(0)) if n_col == 1 else placed.join(met, "row").withColumn("ob", F.explode("met"))
-    spread = spread.select(
+    return spread.select(
         "row", "col", "val", "rb", "cb", F.least("cb", "ob").alias("pa"), F.greatest("cb", "ob").alias("pb")
     )
+
+
+def _sides(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bool]:
+    """Both dense matrices of a pair of column blocks, their column names, and whether they are the same block."""
+    rows, uniq = pd.factorize(pdf["row"])
+    pa, pb = pdf["pa"].iat[0], pdf["pb"].iat[0]
+    left_mask = (pdf["cb"] == pa).to_numpy()
+    left, left_names = _dense(pdf[left_mask], rows[left_mask], len(uniq))
+    if pa == pb:
+        return left, left_names, left, left_names, True
+    right, right_names = _dense(pdf[~left_mask], rows[~left_mask], len(uniq))
+    return left, left_names, right, right_names, False
+
+
+def _met(common: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of the column pairs that share a row, each unordered pair once."""
+    i, j = np.nonzero(common)
+    return (i[i < j], j[i < j]) if same else (i, j)
+
+
+def gram(
+    entries: DataFrame, row: str, col: str, val: str, row_block: int = ROW_BLOCK, col_block: int = COL_BLOCK
+) -> DataFrame:
+    """``(item_a, item_b, dot, common)`` for column pairs a < b that share a row.
+
+    ``dot`` is the inner product of the two columns, ``common`` the number of
+    rows where both are positive. (row, col) must be unique.
+    """
+    spread = _column_pairs(entries, row, col, val, row_block, col_block)
     key_type = entries.schema[col].dataType
     schema = T.StructType(
         [
@@ -77,20 +100,10 @@ def gram(
     )
 
     def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows, uniq = pd.factorize(pdf["row"])
-        pa, pb = pdf["pa"].iat[0], pdf["pb"].iat[0]
-        left_mask = (pdf["cb"] == pa).to_numpy()
-        left, left_names = _dense(pdf[left_mask], rows[left_mask], len(uniq))
-        if pa == pb:
-            right, right_names = left, left_names
-        else:
-            right, right_names = _dense(pdf[~left_mask], rows[~left_mask], len(uniq))
+        left, left_names, right, right_names, same = _sides(pdf)
         dot = left.T @ right
         common = (left > 0).astype(float).T @ (right > 0).astype(float)
-        i, j = np.nonzero(common)
-        if pa == pb:
-            keep = i < j
-            i, j = i[keep], j[keep]
+        i, j = _met(common, same)
         a, b = left_names[i], right_names[j]
         swap = a > b
         return pd.DataFrame(
@@ -111,6 +124,68 @@ def cooccurrence(entries: DataFrame, row: str, col: str, **kw: int) -> DataFrame
     return gram(entries.withColumn("_one", F.lit(1.0)), row, col, "_one", **kw).select("item_a", "item_b", "common")
 
 
+PAIR_BUCKETS = 1 << 20  # hashed pair counts; their bitmap (128 KB) travels with the second pass
+
+
+def frequent_pairs(
+    entries: DataFrame,
+    row: str,
+    col: str,
+    min_common: float,
+    buckets: int = PAIR_BUCKETS,
+    row_block: int = ROW_BLOCK,
+    col_block: int = COL_BLOCK,
+) -> DataFrame:
+    """``(item_a, item_b, common)`` of the column pairs that at least ``min_common`` rows share.
+
+    Two passes over the blocks of ``gram``. The first one adds the counts of all pairs into
+    hashed buckets, at most ``buckets`` rows a block; the second one names only pairs whose bucket
+    reaches the limit, so rare pairs are never shuffled. A bucket counts at least what each
+    of its pairs does: no frequent pair is lost, and the counts returned are exact.
+    (row, col) must be unique.
+    """
+    # columns below the limit by themselves are in no frequent pair
+    often = entries.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_common).select(col)
+    kept = entries.join(often, col, "left_semi").withColumn("_one", F.lit(1.0))
+    spread = materialize(_column_pairs(kept, row, col, "_one", row_block, col_block).withColumn("h", F.xxhash64("col")))
+
+    def bucketed(pdf: pd.DataFrame):
+        left, left_names, right, right_names, same = _sides(pdf)
+        common = left.T @ right
+        i, j = _met(common, same)
+        code = pdf.drop_duplicates("col").set_index("col")["h"]
+        a = code.reindex(left_names).to_numpy().astype(np.uint64)[i]
+        b = code.reindex(right_names).to_numpy().astype(np.uint64)[j]
+        # the same for (a, b) and (b, a)
+        mixed = (a + b) ^ (a * b)
+        return left_names[i], right_names[j], common[i, j].astype("int64"), (mixed % np.uint64(buckets)).astype("int64")
+
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        *_, common, bucket = bucketed(pdf)
+        used, at = np.unique(bucket, return_inverse=True)
+        return pd.DataFrame({"bucket": used, "common": np.bincount(at, common, len(used)).astype("int64")})
+
+    blocks = spread.groupBy("rb", "pa", "pb")
+    counted = blocks.applyInPandas(count, "bucket long, common long").groupBy("bucket").agg(F.sum("common").alias("common"))
+    hot = np.zeros(buckets, dtype=bool)  # at most ``buckets`` numbers come to the driver
+    hot[counted.filter(F.col("common") >= min_common).select("bucket").toPandas()["bucket"].to_numpy()] = True
+    bitmap = np.packbits(hot)
+    key_type = entries.schema[col].dataType
+    schema = T.StructType(
+        [T.StructField("item_a", key_type), T.StructField("item_b", key_type), T.StructField("common", T.LongType())]
+    )
+
+    def name(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b, common, bucket = bucketed(pdf)
+        keep = np.unpackbits(bitmap, count=buckets).astype(bool)[bucket]
+        a, b = a[keep], b[keep]
+        swap = a > b
+        return pd.DataFrame({"item_a": np.where(swap, b, a), "item_b": np.where(swap, a, b), "common": common[keep]})
+
+    parts = blocks.applyInPandas(name, schema)
+    return parts.groupBy("item_a", "item_b").agg(F.sum("common").alias("common")).filter(F.col("common") >= min_common)
+
+
 def column_cosine(entries: DataFrame, row: str, col: str, val: str, **kw: int) -> DataFrame:
     """``(item_a, item_b, cosine)`` for column pairs a < b, over zero-filled vectors."""
     norms = entries.groupBy(F.col(col).alias("_c")).agg(F.sqrt(F.sum(F.col(val) * F.col(val))).alias("_n"))

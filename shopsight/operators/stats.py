@@ -8,7 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopsight.operators.ordering import ROWS_PER_CELL, average_ranks, row_numbers
@@ -105,8 +105,8 @@ def spearman(df: DataFrame, columns: Sequence[str], rows_per_cell: int = ROWS_PE
     return joined.select("column_a", "column_b", F.try_divide("m", F.sqrt("_mi") * F.sqrt("_mj")).alias("correlation"))
 
 
-# rows that one task compares with each other, and blocks in either order
-KENDALL_ROWS, KENDALL_BLOCKS = 50_000, 1000
+# rows that one task compares with each other, and parts into which a stretch of the order is cut at once
+KENDALL_ROWS, KENDALL_PARTS = 50_000, 1024
 
 
 def _inversions(values: np.ndarray, weights: np.ndarray) -> float:
@@ -122,46 +122,64 @@ def _inversions(values: np.ndarray, weights: np.ndarray) -> float:
     return across + _inversions(values[:half], weights[:half]) + _inversions(values[half:], weights[half:])
 
 
-def _discordant(cells: DataFrame, rows: int, rows_per_cell: int) -> float:
+def _discordant(cells: DataFrame, rows: int, rows_per_cell: int, parts: int = KENDALL_PARTS) -> float:
     """Discordant pairs of distinct cells ``(a, b, n)``, weighted by their counts.
 
     With ``r`` the position of a cell in the order (a, b) and ``s`` that in the
     order (b, a), a pair is discordant exactly if r and s disagree; ties in either column
-    never do. Both positions are cut into blocks of equal size. Pairs in one
-    block of r, and pairs in one block of s but different ones of r, are counted
-    inside the block; for all others the blocks themselves tell.
+    never do. The order r is one stretch at first. A stretch is cut into up to ``parts`` parts and the
+    pairs of different parts are counted: in the order s, ``rows`` cells at a time, and between
+    these blocks by running sums of their parts' weights. The parts are the next stretches, until
+    one fits in a task. No group exceeds ``rows`` cells and no count leaves Spark, however many cells there are.
     """
-    ranked = row_numbers(materialize(row_numbers(cells, ["a", "b"], "r", rows_per_cell)), ["b", "a"], "s", rows_per_cell)
-    count = cells.count()
-    size = max(rows, -(-count // KENDALL_BLOCKS))
-    placed = materialize(
-        ranked.select(
-            "r", "s", F.col("n").cast("double").alias("n"),
-            F.floor((F.col("r") - 1) / size).alias("p"), F.floor((F.col("s") - 1) / size).alias("q"),
+    numbered = row_numbers(materialize(row_numbers(cells, ["a", "b"], "r", rows_per_cell)), ["b", "a"], "s", rows_per_cell)
+    placed = materialize(numbered.select((F.col("r") - 1).alias("r"), "s", F.col("n").cast("double").alias("n")))
+    count, width, found = cells.count(), rows, 0.0
+    while width < count:  # stretches nest in each other
+        width *= parts
+
+    def inside(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("r")
+        return pd.DataFrame({"d": [_inversions(pdf["s"].to_numpy(), pdf["n"].to_numpy())]})
+
+    def block(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("s")
+        part, weight = pdf["part"].to_numpy(), pdf["n"].to_numpy()
+        held = np.bincount(part, weight, parts)
+        return pd.DataFrame(
+            {
+                "stretch": pdf["stretch"].iat[0],
+                "block": pdf["block"].iat[0],
+                "part": np.arange(parts),
+                "held": held,
+                "later": held[::-1].cumsum()[::-1] - held,  # weight of the parts behind this one
+                "d": np.where(np.arange(parts) == 0, _inversions(part, weight), 0.0),
+            }
         )
-    )
-
-    def counted(order: list[str]):
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(order)
-            return pd.DataFrame({"d": [_inversions(pdf["s"].to_numpy(), pdf["n"].to_numpy())]})
-
-        return run
 
-    same_p = placed.groupBy("p").applyInPandas(counted(["r"]), "d double")
-    same_q = placed.groupBy("q").applyInPandas(counted(["p", "s"]), "d double")
-    inside = same_p.unionByName(same_q).agg(F.coalesce(F.sum("d"), F.lit(0.0))).first()[0]
-    # at most KENDALL_BLOCKS squared rows
-    blocks = placed.groupBy("p", "q").agg(F.sum("n").alias("n")).toPandas()
-    grid = np.zeros((int(blocks["p"].max()) + 1, int(blocks["q"].max()) + 1))
-    grid[blocks["p"].astype(int), blocks["q"].astype(int)] = blocks["n"]
-    above = np.cumsum(grid[:, ::-1], axis=1)[:, ::-1]  # weight at this q or a larger one
-    before = np.cumsum(above, axis=0)
-    return inside + float((grid[1:, :-1] * before[:-1, 1:]).sum())
+    before = Window.partitionBy("stretch", "part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    while width > rows:
+        step = width // parts
+        stretch = F.floor(F.col("r") / width)
+        cut = placed.withColumn("stretch", stretch).withColumn("part", F.floor((F.col("r") % width) / step).cast("int"))
+        # positions in s within the stretches, one stretch after the other
+        ordered = row_numbers(cut, ["stretch", "s"], "at", rows_per_cell)
+        blocks = ordered.withColumn("block", F.floor((F.col("at") - 1) / rows)).groupBy("stretch", "block")
+        sums = blocks.applyInPandas(block, "stretch long, block long, part int, held double, later double, d double")
+        across = F.col("held") * F.coalesce(F.sum("later").over(before), F.lit(0.0))
+        found += sums.withColumn("d", F.col("d") + across).agg(F.coalesce(F.sum("d"), F.lit(0.0))).first()[0]
+        width = step
+    own = placed.groupBy(F.floor(F.col("r") / width)).applyInPandas(inside, "d double")
+    return found + own.agg(F.coalesce(F.sum("d"), F.lit(0.0))).first()[0]
 
 
 def kendall(
-    df: DataFrame, a: str, b: str, rows_per_block: int = KENDALL_ROWS, rows_per_cell: int = ROWS_PER_CELL
+    df: DataFrame,
+    a: str,
+    b: str,
+    rows_per_block: int = KENDALL_ROWS,
+    rows_per_cell: int = ROWS_PER_CELL,
+    parts: int = KENDALL_PARTS,
 ) -> float | None:
     """Tau-b of two columns with any number of distinct values; exact up to the rounding of the sums."""
     pair = df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")).dropna()
@@ -179,7 +197,7 @@ def kendall(
     denom = math.sqrt((pairs - ties_a) * (pairs - ties_b))
     if not denom:
         return None
-    discordant = _discordant(cells, rows_per_block, rows_per_cell)
+    discordant = _discordant(cells, rows_per_block, rows_per_cell, parts)
     concordant = pairs - ties_a - ties_b + ties("a", "b") - discordant
     return (concordant - discordant) / denom
 

@@ -73,6 +73,23 @@ def d32_parts(spark, sf):
     return cooccurrence(pairs.join(frequent, "item", "left_semi"), "customer_id", "item")
 
 
+@query(
+    "d32_supported_part_pairs",
+    f"""WITH b AS (SELECT DISTINCT o_custkey AS u, l_partkey AS item FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+    n AS (SELECT count(DISTINCT u) AS n FROM b), sup AS (SELECT item, count(*) AS c FROM b GROUP BY 1),
+    p AS (SELECT a.item AS item_a, c.item AS item_b, count(*) AS c FROM b a JOIN b c USING (u) WHERE a.item < c.item GROUP BY 1, 2)
+    SELECT item_a, item_b, {sql_rnd('p.c / n', 8)} AS support, {sql_rnd('p.c / x.c', 8)} AS confidence_a_b,
+    {sql_rnd('p.c / y.c', 8)} AS confidence_b_a, {sql_rnd('(p.c / n) / ((x.c / n) * (y.c / n))', 8)} AS lift
+    FROM p, n, sup x, sup y WHERE x.item = item_a AND y.item = item_b AND p.c / n >= 0.003""",
+)
+def d32_supported(spark, sf):
+    """Pairs of single products bought together by at least 0.3% of customers."""
+    li = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    bought = li.select(F.col("o_custkey").alias("customer_id"), F.col("l_partkey").alias("item"))
+    out = L.basket_pairs(bought, min_support=0.003)
+    return out.select("item_a", "item_b", *[rnd(c, 8) for c in ("support", "confidence_a_b", "confidence_b_a", "lift")])
+
+
 @query(
     "d32_basket_summary",
     f"WITH {SQL_BASKET} SELECT {sql_rnd('(SELECT count(*) FROM b) / n', 8)} AS basket_size_avg, (SELECT count(*) FROM sup) AS total_unique_items FROM n",

@@ -106,6 +106,26 @@ def j05(spark, sf):
     return labelled.select("customer_id", "cluster")
 
 
+@query("j05_ward_segments")
+def j05_ward(spark, sf):
+    labelled, _ = J.ward(J.capped_input(base(spark, sf), _RFM), 3)
+    return labelled.select("customer_id", "cluster")
+
+
+@query(
+    "j05_ward_tree_totals",
+    f"""WITH {SQL_ORD}, {SQL_RFM_BASE} SELECT count(*) AS customers,
+    {sql_rnd('count(*) * (var_pop(recency / 365) + var_pop(frequency / 10) + var_pop(monetary / 100000))', 6)} AS sum_of_squares FROM rfm""",
+)
+def j05_tree(spark, sf):
+    """The root of the Ward tree holds all customers, and its merges add up to their whole sum of squares."""
+    scaled = base(spark, sf).select(
+        "customer_id", (F.col("recency") / 365).alias("r"), (F.col("frequency") / 10).alias("f"), (F.col("monetary") / 100000).alias("m")
+    )
+    _, tree = J.ward(J.as_points(scaled, ["r", "f", "m"]), 3)
+    return tree.agg(F.max("size").alias("customers"), F.round(F.max("within"), 6).alias("sum_of_squares"))
+
+
 @query("j06_best_cluster_count")
 def j06(spark, sf):
     k, table = J.choose_k(J.capped_input(base(spark, sf), _RFM))

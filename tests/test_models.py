@@ -36,6 +36,55 @@ def test_kmeans_finds_blobs_and_is_stable(points):
     assert J.silhouette(a) > 0.9 and J.calinski_harabasz(a) > 100
 
 
+def _plain_ward(x):
+    """Clusters as lists of rows, merged where the sum of squares grows least: (heights, clusters at each count)."""
+    groups, heights, at = [[i] for i in range(len(x))], [], {}
+    while len(groups) > 1:
+        at[len(groups)] = [sorted(g) for g in groups]
+        spread = lambda g: ((x[g] - x[g].mean(0)) ** 2).sum()
+        grown, a, b = min(
+            (spread(groups[a] + groups[b]) - spread(groups[a]) - spread(groups[b]), a, b)
+            for a in range(len(groups))
+            for b in range(a)
+        )
+        heights.append(math.sqrt(max(2 * grown, 0)))
+        groups[b] += groups.pop(a)
+    return heights, at
+
+
+def test_ward_equals_merging_by_sums_of_squares(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(0, 3, (40, 3))
+    x[5], x[6] = x[4], x[4]  # repeated rows
+    frame = spark.createDataFrame([(i, Vectors.dense(v)) for i, v in enumerate(x)], ["customer_id", "features"])
+    heights, at = _plain_ward(x)
+    for k in (1, 2, 5, 50):
+        labelled, tree = J.ward(frame, k)
+        got = {}
+        for r in labelled.collect():
+            got.setdefault(r["cluster"], []).append(r["customer_id"])
+        want = at.get(k, [list(range(40))] if k == 1 else None)
+        if want is not None:
+            assert sorted(sorted(g) for g in got.values()) == sorted(want)
+        else:  # one cluster for each different row
+            assert len(got) == 38
+    rows = tree.orderBy("step").collect()
+    assert np.allclose([r["height"] for r in rows], heights[2:], atol=1e-9)  # equal rows are one leaf
+    assert rows[-1]["size"] == 40 and math.isclose(rows[-1]["within"], ((x - x.mean(0)) ** 2).sum())
+
+
+def test_ward_of_more_rows_than_leaves(spark, points):
+    frame = points.select("customer_id", "features")
+    labelled, tree = J.ward(frame, 3, leaves=12)
+    both = labelled.join(points.select("customer_id", "truth"), "customer_id")
+    assert both.count() == 90 and both.select("truth", "cluster").distinct().count() == 3
+    x = np.array([r["features"].toArray() for r in frame.collect()])
+    last = tree.orderBy(F.desc("step")).first()
+    assert last["size"] == 90 and math.isclose(last["within"], ((x - x.mean(0)) ** 2).sum(), rel_tol=1e-9)
+    empty, no_tree = J.ward(frame.limit(0))
+    assert empty.count() == no_tree.count() == 0
+
+
 def test_sweep_and_choice(points):
     k, table = J.choose_k(points.select("customer_id", "features"), 5)
     rows = {r["k"]: r for r in table.collect()}

@@ -22,6 +22,7 @@ from shopsight.operators import sampling as SA
 from shopsight.operators import sets as E
 from shopsight.operators import stats as S
 from shopsight.operators import transform as G
+from shopsight.operators.similarity import frequent_pairs
 from shopsight.plans import catalogue
 
 
@@ -221,6 +222,21 @@ def test_basket_of_a_customer_who_bought_everything(spark):
     assert len(L.basket_pairs(df, min_support=0.5).collect()) == 1
 
 
+@pytest.mark.parametrize("buckets", [1, 64, 1 << 20])
+def test_frequent_pairs_lose_nothing(spark, buckets):
+    rng = np.random.default_rng(5)
+    held = [(int(u), int(i)) for u in range(60) for i in np.unique(rng.zipf(1.5, 25) % 40)] + [(99, i) for i in range(40)]
+    df = spark.createDataFrame(held, "customer_id LONG, item LONG")
+    sets = {}
+    for u, i in held:
+        sets.setdefault(u, set()).add(i)
+    want = {(a, b): sum({a, b} <= s for s in sets.values()) for a in range(40) for b in range(a + 1, 40)}
+    for floor in (2, 10.5, 61):
+        out = frequent_pairs(df, "customer_id", "item", floor, buckets, row_block=16, col_block=7)
+        got = {(r["item_a"], r["item_b"]): r["common"] for r in out.collect()}
+        assert got == {pair: n for pair, n in want.items() if n >= floor}
+
+
 def test_histogram_edges(spark):
     df = spark.createDataFrame([(float(i),) for i in range(11)], "v DOUBLE")
     got = {r["bin"]: r["count"] for r in L.histogram(df, "v", 5).collect()}
@@ -284,8 +300,8 @@ def test_kendall_in_blocks(spark, levels):
     df = spark.createDataFrame(pd.DataFrame({"a": a.astype(float), "b": (a // 2 + b).astype(float)}))
     x, y = np.sign(a[:, None] - a[None, :]), np.sign((a // 2 + b)[:, None] - (a // 2 + b)[None, :])
     want = (x * y).sum() / math.sqrt((x != 0).sum() * (y != 0).sum())
-    for rows in (7, 64, 10_000):
-        assert math.isclose(S.kendall(df, "a", "b", rows, 50), want, rel_tol=1e-9)
+    for rows, parts in ((7, 8), (100, 1024), (10_000, 1024)):
+        assert math.isclose(S.kendall(df, "a", "b", rows, 50, parts), want, rel_tol=1e-9)
 
 
 def test_risk_of_an_edge_does_not_depend_on_partitions(spark, sf):
