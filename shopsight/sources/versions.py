@@ -63,7 +63,8 @@ def files_of(spark: SparkSession, path: str, version: int | None = None) -> list
     return [r[0] for r in spark.read.text(_manifest(path, known[-1] if version is None else version)).collect()]
 
 
-def _publish(spark: SparkSession, path: str, version: int, files: list[str]) -> None:
+def publish(spark: SparkSession, path: str, version: int, files: list[str]) -> None:
+    """Make ``files`` the given version, all at once; ``Conflict`` if that number is taken."""
     passing = f"{path.rstrip('/')}/passing-{uuid.uuid4().hex}"
     jvm, target, store = _files(spark, passing)
     out = store.create(target, False)
@@ -80,6 +81,19 @@ def _publish(spark: SparkSession, path: str, version: int, files: list[str]) ->
         raise
 
 
+def forget(spark: SparkSession, path: str, keep: int) -> None:
+    """Remove all but the last ``keep`` manifests, and what only they name; entries are names below ``path``."""
+    known = versions(spark, path)
+    old, kept = known[:-keep], known[-keep:]
+    named = {name for version in kept for name in files_of(spark, path, version)}
+    jvm, _, store = _files(spark, path)
+    for version in old:
+        # the manifest goes last: if this ends half way, the next call finds the rest
+        for name in set(files_of(spark, path, version)) - named:
+            store.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}"), True)
+        store.delete(jvm.org.apache.hadoop.fs.Path(_manifest(path, version)), False)
+
+
 def _plain(file: str) -> str:
     """Scans name local files with one slash or three."""
     return "/" + file.removeprefix("file:").lstrip("/") if file.startswith("file:") else file
@@ -97,7 +111,7 @@ def create(df: DataFrame, path: str) -> int:
     spark = df.sparkSession
     if versions(spark, path):
         raise ValueError(f"there is a table at {path}")
-    _publish(spark, path, 1, _write(df, path))
+    publish(spark, path, 1, _write(df, path))
     return 1
 
 
@@ -127,5 +141,5 @@ def update(spark: SparkSession, path: str, changes: Mapping[str, Any], condition
     kept = [f for f in files if _plain(f) not in names]
     changed = spark.read.schema(table.schema).parquet(*touched)
     new = _write(update_where(changed, changes, condition), path)
-    _publish(spark, path, last[0] + 1, kept + new)
+    publish(spark, path, last[0] + 1, kept + new)
     return Update(last[0] + 1, len(touched), len(kept))

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from shopsight.operators.models import score
 from shopsight.operators.sets import customer_partials, merge_partials
 from shopsight.schemas import DEFAULT_COLUMNS, ColumnMap, literal_for
+from shopsight.sources import versions
 
 
 def read_stream(spark: SparkSession, folder: str, schema: T.StructType, format: str = "parquet", files_per_batch: int | None = None, **options) -> DataFrame:
@@ -54,23 +55,57 @@ def closed_key_figures(
     return events.sparkSession.read.schema(figures.schema).parquet(folder), dropped
 
 
-def merge_batch(batch: DataFrame, batch_id: int, folder: str, cols: ColumnMap = DEFAULT_COLUMNS) -> None:
-    """Write the mergeable totals of one micro-batch under its batch id.
+#: Parts of one generation that are folded into one of the next.
+FAN = 8
+#: Versions of the totals that readers may still be reading.
+KEPT_VERSIONS = 10
 
-    The work follows the batch, not the history, and a replay after a failure
-    only overwrites its own folder.
+
+def _generation(part: str) -> int:
+    return int(part.split("-")[1])
+
+
+def merge_batch(
+    batch: DataFrame, batch_id: int, folder: str, cols: ColumnMap = DEFAULT_COLUMNS, fan: int = FAN, keep: int = KEPT_VERSIONS
+) -> None:
+    """Add the mergeable totals of one micro-batch to the totals in ``folder``.
+
+    The totals are a list of parts. A batch adds a part of generation 0, and ``fan`` parts of
+    a generation become one of the next, so after n batches a refresh reads at most ``fan`` parts
+    for each of log(n) generations and a row is written again log(n) times. The list is published as one
+    manifest numbered by the batch: readers see the batch whole or not at all, and a batch
+    that is played again after its manifest was published changes nothing. Parts that the last ``keep`` manifests do not
+    name are removed.
     """
-    customer_partials(batch, cols).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+    spark = batch.sparkSession
+    known = versions.versions(spark, folder)
+    if known and known[-1] > batch_id:
+        return
+    parts = versions.files_of(spark, folder) if known else []
+    folded, generation = [], 0
+    while len(same := [p for p in parts if _generation(p) == generation]) >= fan - 1:
+        folded, parts = same + folded, [p for p in parts if _generation(p) != generation]
+        generation += 1
+    totals = customer_partials(batch, cols)
+    if folded:
+        totals = merge_partials(totals, spark.read.parquet(*[f"{folder}/{p}" for p in folded]))
+    name = f"totals-{generation}-{batch_id}"
+    totals.write.mode("overwrite").parquet(f"{folder}/{name}")
+    versions.publish(spark, folder, batch_id + 1, [*parts, name])
+    versions.forget(spark, folder, keep)
 
 
 def current_totals(spark: SparkSession, folder: str) -> DataFrame:
-    """Customer totals over all batches written so far."""
-    return merge_partials(spark.read.parquet(folder).drop("batch"))
+    """Customer totals over all batches published so far."""
+    return merge_partials(spark.read.parquet(*[f"{folder}/{p}" for p in versions.files_of(spark, folder)]))
 
 
 def compact_totals(spark: SparkSession, folder: str, target: str) -> None:
-    """Fold all batches into one starting batch in a new folder."""
-    current_totals(spark, folder).write.mode("overwrite").parquet(f"{target}/batch=-1")
+    """All totals as one part in a new folder, where later batches can go on."""
+    parts, last = versions.files_of(spark, folder), versions.versions(spark, folder)[-1]
+    name = f"totals-{1 + max(map(_generation, parts))}-{last - 1}"
+    current_totals(spark, folder).write.mode("overwrite").parquet(f"{target}/{name}")
+    versions.publish(spark, target, last, [name])
 
 
 def start_customer_totals(stream: DataFrame, folder: str, checkpoint: str, cols: ColumnMap = DEFAULT_COLUMNS, **trigger):

@@ -127,6 +127,29 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
     assert live.current_totals(spark, f"{tmp_path}/compact").agg(F.sum("n")).first()[0] == 3
 
 
+def test_many_batches_leave_few_parts(spark, tmp_path):
+    folder, batches = f"{tmp_path}/totals", 14
+    rows = [[(k % 3, k, dt.datetime(2024, 1, 1 + k), 10.0 + k), (7, 100 + k, dt.datetime(2024, 2, 1), 1.0)] for k in range(batches)]
+    for k in range(batches):
+        batch = spark.createDataFrame(rows[k], ORDER).coalesce(1)
+        if k == 9:  # died after writing its part, before publishing it
+            batch.write.parquet(f"{folder}/totals-0-9")
+        live.merge_batch(batch, k, folder, fan=3, keep=2)
+        if k in (8, 9):
+            live.merge_batch(batch, k, folder, fan=3, keep=2)
+        parts = versions.files_of(spark, folder)
+        assert len(parts) <= 2 * 3
+        assert len(list((tmp_path / "totals").glob("totals-*"))) <= 2 * len(parts) + 6
+    assert versions.versions(spark, folder) == [batches - 1, batches]
+    got = {r["customer_id"]: (r["n"], r["sum_amount"]) for r in live.current_totals(spark, folder).collect()}
+    want = {c: (len(v), sum(v)) for c in range(3) for v in [[10 + k for k in range(batches) if k % 3 == c]]} | {7: (batches, batches)}
+    assert {c: (n, float(v)) for c, (n, v) in got.items()} == want
+    live.compact_totals(spark, folder, f"{tmp_path}/compact")
+    live.merge_batch(batch, batches - 1, f"{tmp_path}/compact")  # already among the totals
+    live.merge_batch(batch, batches, f"{tmp_path}/compact")
+    assert live.current_totals(spark, f"{tmp_path}/compact").agg(F.sum("n")).first()[0] == 2 * batches + 2
+
+
 def test_late_rows_are_dropped(spark, tmp_path):
     schema = T.StructType([T.StructField("ts", T.TimestampType()), T.StructField("value", T.DoubleType())])
     folder = tmp_path / "in"
