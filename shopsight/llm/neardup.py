@@ -48,8 +48,8 @@ BASE, RATE, LAST = 1.001, 20.0, 2**16 - 1
 ROWS, BANDS = 6, 45
 REGISTERS = ROWS * BANDS
 MARGIN = 0.12
-#: Members of a bucket, and sets of a cluster, that are held at a time.
-BLOCK, SETS = 2048, 512
+#: Nodes sketched, members of a bucket's block, and sets of a cluster, that are held at a time.
+BLOCK, MEMBERS, SETS = 2048, 512, 512
 
 _SKETCH = "doc_id long, sig int, n long, node binary, registers binary"
 
@@ -409,7 +409,7 @@ def _mixed_buckets(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> D
     """Members of buckets that hold several components, dealt to pairs of blocks."""
     named = members.join(labels, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
     several = named.groupBy("key").agg(
-        F.min("label").alias("first"), F.max("label").alias("last"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")
+        F.min("label").alias("first"), F.max("label").alias("last"), F.ceil(F.count(F.lit(1)) / MEMBERS).alias("blocks")
     )
     several = several.filter("first <> last").select("key", "blocks")
     rows = named.join(several, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
