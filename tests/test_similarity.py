@@ -83,3 +83,64 @@ def test_similar_users_of_a_sparse_catalogue(spark):
     assert {tuple(r) for r in RC.similar_users(frame(spark, m), 3, some).collect()} == {tuple(r) for r in got if r["user"] == 5}
     none = spark.createDataFrame([], "user long, item string, rating double")
     assert RC.similar_users(none).count() == 0 and RC.user_based(none).count() == 0
+
+
+def dense_matrix(seed, rows=300, cols=12):
+    """Nearly every two rows share a column; some rows come several times, some have one column only."""
+    rng = np.random.default_rng(seed)
+    m = np.where(rng.random((rows, cols)) < 0.6, rng.integers(1, 6, (rows, cols)), 0.0)
+    m[: rows // 10] = 0
+    m[np.arange(rows // 10), rng.integers(0, cols, rows // 10)] = rng.integers(1, 6, rows // 10)
+    m[rows // 2 : rows // 2 + 40] = m[rows // 2]
+    return m[m.any(axis=1)]
+
+
+def fails(*_args, **_kw):
+    raise AssertionError("rows go to blocks entry by entry")
+
+
+@pytest.fixture
+def packed_only(monkeypatch):
+    """Few columns: no entry is copied to every block of rows."""
+    for name in ("close_rows", "row_row_blocks"):
+        monkeypatch.setattr(S, name, fails)
+    monkeypatch.setattr(S, "_QUERIES", 16)
+    monkeypatch.setattr(S, "_HELD", 32)
+
+
+@pytest.mark.parametrize("block", [50, None])
+def test_user_based_of_few_items_sums_all_close_users(spark, packed_only, block):
+    m = dense_matrix(4)
+    cos = cosines(m)
+    w = np.where(cos > 0.1, cos, 0)
+    assert ((cos > 0) & (cos <= 0.1)).any() and (w[m[:, :1].ravel() == 0] @ (m > 0)).any()
+    num, den = w @ m, w @ (m > 0)
+    want = {(u, i): num[u, i] / den[u, i] for u, i in zip(*np.nonzero((m == 0) & (den > 0)), strict=True)}
+    got = {(r["user"], int(r["item"][1:])): r["score"] for r in RC.user_based(frame(spark, m), 99, block=block).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+@pytest.mark.parametrize("block", [50, None])
+def test_similar_users_of_few_items_order_ties_by_user(spark, packed_only, block):
+    m = dense_matrix(5)
+    cos = np.round(cosines(m), 12)
+    want = {(u, v, k) for u in range(len(m)) for k, v in enumerate(sorted(np.flatnonzero(cos[u] > 0), key=lambda v, u=u: (-cos[u, v], v))[:5], 1)}
+    got = {(r["user"], r["other"], r["rank"]) for r in RC.similar_users(frame(spark, m), 5, block=block).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("block", [50, None])
+def test_similar_users_by_jaccard_of_few_items(spark, packed_only, block):
+    m = dense_matrix(6)
+    h = (m > 0).astype(float)
+    common = h @ h.T
+    sims = common / (h.sum(1)[:, None] + h.sum(1)[None, :] - common)
+    np.fill_diagonal(sims, 0)
+    want = {
+        (u, v, common[u, v], k)
+        for u in range(len(m))
+        for k, v in enumerate(sorted(np.flatnonzero(sims[u] > 0), key=lambda v, u=u: (-round(sims[u, v], 12), v))[:3], 1)
+    }
+    df = frame(spark, m)
+    got = RC.similar_users_by_items(df, df.select("user").distinct(), 3, block=block).collect()
+    assert {(r["user"], r["other"], r["common_items"], r["rank"]) for r in got} == want
