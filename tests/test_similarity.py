@@ -144,3 +144,23 @@ def test_similar_users_by_jaccard_of_few_items(spark, packed_only, block):
     df = frame(spark, m)
     got = RC.similar_users_by_items(df, df.select("user").distinct(), 3, block=block).collect()
     assert {(r["user"], r["other"], r["common_items"], r["rank"]) for r in got} == want
+
+
+@pytest.mark.parametrize("few", [512, 3])
+def test_item_scores_of_few_items_stay_with_the_user(spark, monkeypatch, few):
+    monkeypatch.setattr(S, "FEW_COLUMNS", few)
+    if few == 512:
+        monkeypatch.setattr(RC, "_item_scores", fails)
+    m = dense_matrix(7, rows=60, cols=8)
+    unit = m / np.linalg.norm(m, axis=0)
+    sim = unit.T @ unit
+    np.fill_diagonal(sim, 0)
+    den = (m > 0) @ sim
+    scores = np.round(np.divide(m @ sim, den, out=np.zeros(m.shape), where=den > 0), 9)
+    want = {}
+    for u in range(len(m)):
+        items = sorted(np.flatnonzero((m[u] == 0) & (den[u] > 0)), key=lambda i, u=u: (-scores[u, i], i))
+        want |= {(u, f"i{i:04d}"): (scores[u, i], k) for k, i in enumerate(items, 1)}
+    for n in (2, None):
+        got = {(r["user"], r["item"]): (round(r["score"], 9), r["rank"]) for r in RC.item_based(frame(spark, m), n).collect()}
+        assert got == {k: v for k, v in want.items() if n is None or v[1] <= n}
