@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shopsight.functions.scalars import bands, ratio, risk_band, whole_days
 from shopsight.operators.ordering import ROWS_PER_CELL, quantiles
 from shopsight.schemas import DEFAULT_COLUMNS, ColumnMap
+from shopsight.session import materialize
 
 AGGREGATES: dict[str, Callable[[Column], Column]] = {
     "sum": F.sum,
@@ -127,6 +128,8 @@ def business_metrics(
 
 def extra_metrics(tx: DataFrame, cols: ColumnMap = DEFAULT_COLUMNS, rows_per_cell: int = ROWS_PER_CELL) -> DataFrame:
     """Analysis period, markets, repeat customers, median order, high ratings, completeness."""
+    # often a join, and read for the customers, the median and the rest
+    tx = materialize(tx)
     names = tx.columns
     cells = F.count(F.lit(1)) * len(names)
     missing = sum((F.count_if(F.col(c).isNull()) for c in names), F.lit(0))

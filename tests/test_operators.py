@@ -409,3 +409,19 @@ def test_spearman_of_many_columns(spark):
 def test_spearman_of_nothing(spark):
     got = S.spearman(spark.createDataFrame([], "a double, b double, c double"), ["a", "b", "c"]).collect()
     assert len(got) == 3 and all(r["correlation"] is None for r in got)
+
+
+def test_extra_metrics_read_their_input_once(spark):
+    day = dt.datetime(2024, 1, 1)
+    rows = [(i % 4, day + dt.timedelta(days=i), float(i), "a" if i % 3 else None, f"m{i % 2}", 4.5) for i in range(30)] + [(9, day, 1.0, "b", "m0", 1.0)]
+    tx = spark.createDataFrame(rows, "customer_id int, purchase_date timestamp, amount double, category string, location string, rating double")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for pdf in batches:
+            read.add(len(pdf))
+            yield pdf
+
+    got = K.extra_metrics(tx.mapInPandas(counted, tx.schema)).first()
+    assert read.value == len(rows)
+    assert (got["repeat_customers"], got["median_order_value"], got["categories"], got["markets"]) == (4, 14.0, 2, 2)
