@@ -30,14 +30,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents in a language that the labelled ones teach; a missing ``lang`` is filled in.
 
     Texts without a letter go, and those stranger than labelled texts that were kept out of the training
-    (a third, by a hash of doc_id). Without labelled texts nothing is rejected.
+    (a third, by a hash of doc_id). All other labelled texts teach the network, and all that were kept out set the limit.
+    Without labelled texts nothing is rejected.
     """
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
-    net = langid.fit(langid.training_sample(docs.filter(~held_out)), strangers=True)
+    net = langid.fit_all(docs.filter(~held_out))
     pred, score, strange = (fresh(docs, name) for name in ("_lang_pred", "_lang_score", "_strange"))
     known = langid.identify(docs, net, names=(pred, score, strange))
     if net is not None:
-        limit = langid.strange_limit(docs.filter(held_out), net)
+        known = save(known, "language-scores")
+        labelled = known.filter(held_out & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
+        limit = langid.strange_limit(labelled.select(strange))
         known = known.filter((F.col(pred) != langid.UNKNOWN) & (F.col(strange) <= limit))
     filled = known.withColumn("lang", F.coalesce("lang", F.nullif(pred, F.lit(langid.UNKNOWN))))
     return filled.select(*docs.columns)

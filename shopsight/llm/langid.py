@@ -5,7 +5,8 @@ embedded; filters of several widths slide over them; each filter keeps its large
 response in the window; a softmax over these tells the language. A text gets the mean of its windows'
 probabilities, weighted by their bytes. A-Z count as a-z.
 
-The network is trained in numpy, in one task, on a bounded sample of labelled texts.
+The network is trained in numpy, in one task, on a bounded sample of labelled texts; ``fit_all`` goes on from
+there in all tasks, over every window of all labelled texts, and takes the mean of what they learn.
 For use, embedding and filters are folded into tables by byte and by pair of bytes, so
 a filter's response is a sum of one or two table rows.
 
@@ -32,11 +33,14 @@ from pyspark.sql import types as T
 
 from shopsight.llm.tables import fresh, map_batches, save
 from shopsight.llm.words import Texts, chunks, texts_of
+from shopsight.operators.ordering import quantile_values
 
 WINDOW, WIDTHS, EMBEDDED, FILTERS = 256, (2, 3, 4), 8, 16
 #: Bounds of the training sample: texts of each language, bytes of one of them, windows of one of them.
 SAMPLE_TEXTS, SAMPLE_BYTES, SAMPLE_WINDOWS = 1000, 1 << 16, 4
 STEPS, BATCH, RATE = 600, 128, 4e-3
+#: Passes over all texts after the start on the sample, and their step.
+PASSES, PASS_RATE = 1, 1e-3
 #: Letters that change places in an example of an unknown language, at least.
 SWAPPED = 8
 #: Part of the texts of learned languages that must count as known, and the least strangeness that can count as unknown.
@@ -59,6 +63,15 @@ class Network:
     out: np.ndarray
     bias: np.ndarray
 
+    def arrays(self) -> list[np.ndarray]:
+        return [self.embedding, *self.filters, self.out, self.bias]
+
+    @classmethod
+    def of(cls, languages: list[str], arrays: list[np.ndarray]) -> Network:
+        """The network with these values, flat or not, in the order of ``arrays``."""
+        filters = [a.reshape(w, EMBEDDED, FILTERS) for w, a in zip(WIDTHS, arrays[1:], strict=False)]
+        return cls(languages, arrays[0].reshape(256, EMBEDDED), filters, arrays[-2].reshape(-1, len(arrays[-1])), arrays[-1])
+
     def tables(self) -> list[list[tuple[int, int, np.ndarray]]]:
         """For each width its (position, bytes, table) parts."""
         parts = []
@@ -113,50 +126,76 @@ def train(windows: np.ndarray, used: np.ndarray, labels: np.ndarray, languages:
     """
     outputs = max(len(languages), int(labels.max()) + 1)
     rng = np.random.default_rng(0)
-    net = Network(
+    net = _begun(languages, outputs, rng)
+    climb = _Adam(net, RATE)
+    by_label = [np.flatnonzero(labels == k) for k in range(outputs)]
+    for _ in range(STEPS):
+        label = rng.integers(0, outputs, BATCH)
+        some = np.array([rng.choice(by_label[k]) for k in label])
+        climb.step(_gradients(net, _shortened(windows[some], used[some], rng), label, np.ones(BATCH)))
+    return net
+
+
+def _begun(languages: list[str], outputs: int, rng: np.random.Generator) -> Network:
+    """A network that has learned nothing."""
+    return Network(
         languages,
         rng.normal(0, 0.5, (256, EMBEDDED)),
         [rng.normal(0, 0.5 / np.sqrt(w), (w, EMBEDDED, FILTERS)) for w in WIDTHS],
         rng.normal(0, 0.1, (len(WIDTHS) * FILTERS, outputs)),
         np.zeros(outputs),
     )
-    values = [net.embedding, *net.filters, net.out, net.bias]
-    mean, square = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values]
-    by_label = [np.flatnonzero(labels == k) for k in range(outputs)]
-    for step in range(1, STEPS + 1):
-        label = rng.integers(0, outputs, BATCH)
-        some = np.array([rng.choice(by_label[k]) for k in label])
-        x = windows[some].copy()
-        length = np.where(rng.random(BATCH) < 0.5, used[some], np.ceil(used[some] * rng.random(BATCH) ** 2)).astype(int)
-        x[np.arange(WINDOW) >= np.maximum(length, 4)[:, None]] = 0
-        embedded = net.embedding[x]
-        pooled, best = [], []
-        for w, weights in zip(WIDTHS, net.filters, strict=True):
-            n = WINDOW - w + 1
-            response = sum(embedded[:, j : j + n] @ weights[j] for j in range(w))
-            best.append(response.argmax(axis=1))
-            pooled.append(np.take_along_axis(response, best[-1][:, None, :], axis=1)[:, 0])
-        top = np.concatenate(pooled, axis=1)
-        active = np.maximum(top, 0.0)
-        error = _softmax(active @ net.out + net.bias)
-        error[np.arange(BATCH), label] -= 1.0
-        error /= BATCH
-        back = (error @ net.out.T) * (top > 0)
-        gradients = [np.zeros_like(net.embedding)]
-        for i, (w, weights) in enumerate(zip(WIDTHS, net.filters, strict=True)):
-            slope = back[:, i * FILTERS : (i + 1) * FILTERS]
-            gradient = np.zeros_like(weights)
-            for j in range(w):
-                seen = np.take_along_axis(x, best[i] + j, axis=1)
-                gradient[j] = np.einsum("nfe,nf->ef", net.embedding[seen], slope)
-                np.add.at(gradients[0], seen, slope[:, :, None] * weights[j].T[None])
-            gradients.append(gradient)
-        gradients += [active.T @ error, error.sum(axis=0)]
-        for v, g, m, s in zip(values, gradients, mean, square, strict=True):
+
+
+def _shortened(windows: np.ndarray, used: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Copies of the windows, half of them cut at random lengths."""
+    n = len(windows)
+    length = np.where(rng.random(n) < 0.5, used, np.ceil(used * rng.random(n) ** 2)).astype(int)
+    x = windows.copy()
+    x[np.arange(WINDOW) >= np.maximum(length, 4)[:, None]] = 0
+    return x
+
+
+def _gradients(net: Network, x: np.ndarray, label: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
+    """Slopes of the weighted mean cross-entropy of some windows, in the order of ``Network.arrays``."""
+    embedded = net.embedding[x]
+    pooled, best = [], []
+    for w, weights in zip(WIDTHS, net.filters, strict=True):
+        n = WINDOW - w + 1
+        response = sum(embedded[:, j : j + n] @ weights[j] for j in range(w))
+        best.append(response.argmax(axis=1))
+        pooled.append(np.take_along_axis(response, best[-1][:, None, :], axis=1)[:, 0])
+    top = np.concatenate(pooled, axis=1)
+    active = np.maximum(top, 0.0)
+    error = _softmax(active @ net.out + net.bias)
+    error[np.arange(len(x)), label] -= 1.0
+    error *= (weight / weight.sum())[:, None]
+    back = (error @ net.out.T) * (top > 0)
+    gradients = [np.zeros_like(net.embedding)]
+    for i, (w, weights) in enumerate(zip(WIDTHS, net.filters, strict=True)):
+        slope = back[:, i * FILTERS : (i + 1) * FILTERS]
+        gradient = np.zeros_like(weights)
+        for j in range(w):
+            seen = np.take_along_axis(x, best[i] + j, axis=1)
+            gradient[j] = np.einsum("nfe,nf->ef", net.embedding[seen], slope)
+            np.add.at(gradients[0], seen, slope[:, :, None] * weights[j].T[None])
+        gradients.append(gradient)
+    return [*gradients, active.T @ error, error.sum(axis=0)]
+
+
+class _Adam:
+    """Steps of a network's values, in place."""
+
+    def __init__(self, net: Network, rate: float) -> None:
+        self.values, self.rate, self.steps = net.arrays(), rate, 0
+        self.mean, self.square = ([np.zeros_like(v) for v in self.values] for _ in range(2))
+
+    def step(self, gradients: list[np.ndarray]) -> None:
+        self.steps += 1
+        for v, g, m, s in zip(self.values, gradients, self.mean, self.square, strict=True):
             m += 0.1 * (g - m)
             s += 0.01 * (g * g - s)
-            v -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)
-    return net
+            v -= self.rate * (m / (1 - 0.9**self.steps)) / (np.sqrt(s / (1 - 0.99**self.steps)) + 1e-8)
 
 
 class Reader:
@@ -233,28 +272,95 @@ def fit(sample: DataFrame, strangers: bool = False) -> Network | None:
                 labels = np.append(labels, np.full(len(labels), len(languages)))
                 shown, size = np.concatenate((shown, enciphered(shown, rng))), np.append(size, size)
             net = train(shown, size, labels, languages)
-            arrays = [net.embedding, *net.filters, net.out, net.bias]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([languages]), pa.array([[a.astype("<f8").tobytes() for a in arrays]])], ["languages", "arrays"]
+                [pa.array([languages]), pa.array([[a.astype("<f8").tobytes() for a in net.arrays()]])], ["languages", "arrays"]
             )
 
     ordered = sample.repartition(1).sortWithinPartitions("order", "text", "lang")
     rows = map_batches(ordered, run, "languages array<string>, arrays array<binary>").collect()
     if not rows:
         return None
-    languages, packed = rows[0]["languages"], [np.frombuffer(a, "<f8") for a in rows[0]["arrays"]]
-    filters = [a.reshape(w, EMBEDDED, FILTERS) for w, a in zip(WIDTHS, packed[1:], strict=False)]
-    return Network(languages, packed[0].reshape(256, EMBEDDED), filters, packed[-2].reshape(-1, len(packed[-1])), packed[-1])
+    return Network.of(rows[0]["languages"], [np.frombuffer(a, "<f8") for a in rows[0]["arrays"]])
+
 
+def fit_all(docs: DataFrame) -> Network | None:
+    """A network with an output for strange text that has learned from every window of every labelled text; None without any.
 
-def strange_limit(labelled: DataFrame, net: Network) -> float:
+    A network fitted to a bounded sample is only the start. From it each task goes on over all windows of its
+    texts, of any length, with equal weight for all languages, and over as many swapped copies as a language has windows
+    in the mean; the mean of the tasks' values, weighted by their windows, is where the next pass starts.
+    """
+    usable = docs.filter(F.col("lang").isNotNull() & (F.octet_length("text") > 0)).select("text", "lang")
+    many = F.sum(F.ceil(F.octet_length("text") / F.lit(WINDOW)))
+    windows = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(many.alias("n")).collect()}  # a row for each output
+    if not windows:
+        return None
+    net = _with_outputs(fit(training_sample(docs), strangers=True), sorted(windows))
+    for _ in range(PASSES):
+        net = _passed(usable, net, windows)
+    return net
+
+
+def _with_outputs(net: Network | None, languages: list[str]) -> Network:
+    """``net`` with outputs for all of ``languages``, those that it lacks being without weights, and for strange text."""
+    if net is None:
+        return _begun(languages, len(languages) + 1, np.random.default_rng(0))
+    place = [net.languages.index(lang) if lang in net.languages else None for lang in languages] + [len(net.languages)]
+    out = np.stack([np.zeros(len(net.out)) if at is None else net.out[:, at] for at in place], axis=1)
+    return Network(languages, net.embedding, net.filters, out, np.array([0.0 if at is None else net.bias[at] for at in place]))
+
+
+def _passed(labelled: DataFrame, net: Network, windows: dict[str, int]) -> Network:
+    """The mean of the networks that all tasks make of ``net``, each in a pass over its (text, lang)."""
+    sent = labelled.sparkSession.sparkContext.broadcast(net)
+    strange = len(net.languages)
+    code = {lang: i for i, lang in enumerate(net.languages)}
+    share = np.array([sum(windows.values()) / (strange * windows[lang]) for lang in net.languages])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng = np.random.default_rng(2)
+        mine = Network.of(sent.value.languages, [a.astype(np.float32) for a in sent.value.arrays()])
+        climb, seen, rest = _Adam(mine, PASS_RATE), 0, None
+
+        def learn(shown: np.ndarray, used: np.ndarray, label: np.ndarray) -> None:
+            some = slice(None, None, strange)  # the windows come in random order
+            x = _shortened(np.concatenate((shown, enciphered(shown[some], rng))), np.append(used, used[some]), rng)
+            weight = share[label].astype(np.float32)
+            label = np.append(label, np.full(len(x) - len(label), strange))
+            climb.step(_gradients(mine, x, label, np.append(weight, weight[some])))
+
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                shown, text, used = windows_of(texts_of(part.column("text")))
+                label = np.array([code[lang] for lang in part.column("lang").to_pylist()])[text]
+                order = rng.permutation(len(shown))
+                held = [a[order] for a in (shown, used, label)]
+                if rest is not None:
+                    held = [np.concatenate(pair) for pair in zip(rest, held, strict=True)]
+                whole = len(held[0]) // BATCH * BATCH
+                for first in range(0, whole, BATCH):
+                    learn(*(a[first : first + BATCH] for a in held))
+                rest, seen = [a[whole:] for a in held], seen + len(shown)
+        if rest is not None and len(rest[0]):
+            learn(*rest)
+        if seen:
+            flat = np.concatenate([a.ravel() for a in mine.arrays()]).astype(float)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), seen))], ["at", "v", "n"])
+
+    parts = map_batches(labelled, run, "at long, v double, n long")
+    mean = parts.groupBy("at").agg(F.round(F.sum("v") / F.sum("n"), 9).alias("v"))  # as many rows as the network has values
+    flat = np.array([r["v"] for r in sorted(mean.collect())])
+    return Network.of(net.languages, np.split(flat, np.cumsum([a.size for a in net.arrays()])[:-1]))
+
+
+def strange_limit(strange: DataFrame) -> float:
     """The strangeness that texts of learned languages do not exceed, but for ``1 - KNOWN_PART`` of them.
 
-    ``labelled`` are documents that ``net`` did not learn from; a sample of them, bounded as that for training, is scored.
+    ``strange`` has one column, the strangeness of all labelled documents that were not learned from.
     """
-    scored = identify(training_sample(labelled).select("text"), net, names=("lang_pred", "score", "strange"))
-    seen = scored.agg(F.percentile("strange", F.lit(KNOWN_PART)).alias("limit")).first()["limit"]
-    return LEAST_STRANGE if seen is None else max(LEAST_STRANGE, seen)
+    (column,) = strange.columns
+    limit = quantile_values(strange, [column], [KNOWN_PART])[column][0]
+    return LEAST_STRANGE if limit is None else max(LEAST_STRANGE, limit)
 
 
 def identify(docs: DataFrame, net: Network | None, names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:

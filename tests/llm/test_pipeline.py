@@ -3,8 +3,10 @@
 import hashlib
 
 from brute import near_components, removed, water_fill, words
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
+from shopsight.llm import langid
 from shopsight.llm.tables import save
 
 TABLES = "/root/testdata/sf0.001"
@@ -81,3 +83,38 @@ def test_empty_documents_pass_all_stages(spark, no_docs):
     for _, stage in pipeline.STAGES:
         docs = save(stage(spark, docs, TABLES), "t")
         assert docs.count() == 0
+
+
+def test_all_texts_teach_the_languages(spark, monkeypatch):
+    """A language is learned though none of its texts fits the sample, and the limit is that of all held-out rows."""
+    monkeypatch.setattr(langid, "SAMPLE_BYTES", 1000)
+    words_of = {"aa": "the onthly anthing and there with this ", "bb": "zulko primska vorzyk dlugow krzapty mostwo "}
+    rows = [(i, words_of["aa"] * (3 + i % 5), "aa", "s", 1) for i in range(60)]
+    rows += [(100 + i, words_of["bb"] * (200 + i), "bb", "s", 1) for i in range(30)]  # each above the sample's bound
+    rows += [(1000 + i, words_of["bb"] * 4, None, "new", 1) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = pipeline.identify_language(spark, docs, TABLES).filter("source = 'new'").collect()
+    assert [r["lang"] for r in got] == ["bb"] * 3
+
+
+def test_every_window_moves_the_network(spark, monkeypatch):
+    """With a start that has seen one text a language, the network still learns from the others."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang is not null and length(text) > 200")
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
+    monkeypatch.setattr(langid, "SAMPLE_TEXTS", 1)
+    monkeypatch.setattr(langid, "STEPS", 20)
+
+    def right(net):
+        scored = langid.identify(docs.filter(held), net, names=("pred", "score", "strange"))
+        return scored.agg(F.avg((F.col("pred") == F.col("lang")).cast("int"))).first()[0]
+
+    start = langid.fit(langid.training_sample(docs.filter(~held)), strangers=True)
+    assert right(langid.fit_all(docs.filter(~held))) > right(start)
+
+
+def test_strange_limit_is_exact(spark):
+    values = [i / 5000 for i in range(5000)]
+    got = langid.strange_limit(spark.createDataFrame([(v,) for v in values], "s double").repartition(7))
+    assert abs(got - (values[4994] + 0.001 * (values[4995] - values[4994]))) < 1e-12
+    assert langid.strange_limit(spark.createDataFrame([(0.1,), (None,)], "s double")) == langid.LEAST_STRANGE
+    assert langid.strange_limit(spark.createDataFrame([], "s double")) == langid.LEAST_STRANGE
