@@ -101,3 +101,46 @@ def test_best_products_in_blocks(spark, block):
         for rank, j in enumerate(sorted(free, key=lambda j: (-(u[i] @ v[j]), j))[:4]):
             want.add((2**60 + i, f"i{j:02d}", u[i] @ v[j], rank + 1))
     assert {tuple(r) for r in found} == want
+
+
+def test_largest_products_are_those_of_all_pairs(spark, monkeypatch):
+    """Blocks, known pairs, ties, zero vectors and rows that point away from the mean; no more than n a row and block come back."""
+    monkeypatch.setattr(FZ, "SHORT_ROWS", 16)
+    monkeypatch.setattr(FZ, "SHORT_FIRST", 8)
+    monkeypatch.setattr(FZ, "SHORT_STEP", 16)
+    rng = np.random.default_rng(5)
+    u, v = rng.normal(0.6, 0.5, (90, 4)), rng.normal(0.6, 0.5, (210, 4))
+    u[:5], v[0], v[7], u[6] = -u[:5], 0, v[9], 0
+    known = {(int(r), int(c)) for r, c in zip(rng.integers(0, 90, 3000), rng.integers(0, 210, 3000), strict=True)}
+    left = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(u)], "user int, u array<double>")
+    right = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "item int, v array<double>")
+    had = spark.createDataFrame([*known, (1, 999)], "user int, item int")
+    parts = FZ.largest_products(left, right, "user", "item", had, 3, block=70)
+    found = {}
+    for r in parts.collect():
+        found.setdefault(r["user"], []).append((-round(r["score"], 12), r["item"]))
+    scores = np.round(u @ v.T, 12)
+    for i in range(90):
+        if i == 6:
+            continue  # every product is 0
+        want = sorted((-scores[i, j], j) for j in range(210) if (i, j) not in known)[:3]
+        assert sorted(found[i])[:3] == want
+    assert max(len(x) for x in found.values()) <= 3 * 3
+
+
+def test_als_lists_do_not_grow_with_the_history(spark):
+    """The three best unbought items by the model's own scores, for short and long histories."""
+    rng = np.random.default_rng(1)
+    rows = [(i, int(j), float(rng.integers(1, 6))) for i in range(30) for j in rng.choice(60, 2 + 56 * (i % 2), replace=False)]
+    rated = spark.createDataFrame(rows, "user int, item int, rating double").coalesce(1)
+    got = {(r["user"], r["rank"]): (r["item"], r["score"]) for r in RC.als_recommendations(rated, n=3, rank=3).collect()}
+    from pyspark.ml.recommendation import ALS
+
+    model = ALS(userCol="user", itemCol="item", ratingCol="rating", rank=3, seed=42, coldStartStrategy="drop").fit(rated)
+    pairs = model.transform(rated.select("user").distinct().crossJoin(rated.select("item").distinct()).join(rated, ["user", "item"], "left_anti"))
+    want = {}
+    for r in pairs.collect():
+        want.setdefault(r["user"], []).append((-r["prediction"], r["item"]))
+    for user, all_of in want.items():
+        best = sorted(all_of)[:3]
+        assert [got.get((user, k + 1)) for k in range(len(best))] == [(i, pytest.approx(-s, abs=1e-5)) for s, i in best]
