@@ -1,6 +1,7 @@
 """Invariants of clustering, models, metrics; recommendations against brute force."""
 
 import math
+import threading
 
 import numpy as np
 import pandas as pd
@@ -114,6 +115,36 @@ def test_classifiers_learn(labelled, name):
     assert got["accuracy"] > 0.8 and 0.85 < got["auc_roc"] <= 1
 
 
+def test_models_of_a_comparison_are_fitted_beside_each_other(labelled, monkeypatch):
+    both, train = threading.Barrier(2, timeout=60), ML.train
+
+    def waiting(*args, **kw):
+        both.wait()
+        return train(*args, **kw)
+
+    monkeypatch.setattr(ML, "train", waiting)
+    fitted, table = ML.compare(labelled, "customer_id", ["a", "b"], ["decision_tree", "logistic_regression"], "classification")
+    assert list(fitted) == ["decision_tree", "logistic_regression"]
+    assert {r["rank"] for r in table.collect()} == {1, 2}
+
+
+def test_tuning_scores_are_means_over_the_folds(labelled):
+    grid = {"maxDepth": [1, 4], "minInstancesPerNode": [1, 60]}
+    model, table, _ = ML.tune(labelled, "customer_id", ["a", "b"], "decision_tree", "classification", grid)
+    train_df, _ = ML.hash_split(labelled, ["customer_id"], 20, 42)
+    data, rows = ML.with_folds(train_df, "customer_id", 3), table.collect()
+    evaluator = ML._cv_evaluator("classification")
+    for r, (depth, least) in zip(rows, [(1, 1), (1, 60), (4, 1), (4, 60)], strict=True):
+        pipeline = ML.build_pipeline(["a", "b"], "decision_tree", "classification", params={"maxDepth": depth, "minInstancesPerNode": least})
+        scores = [
+            evaluator.evaluate(pipeline.fit(data.filter(F.col("fold") != i)).transform(data.filter(F.col("fold") == i))) for i in range(3)
+        ]
+        assert r["score"] == pytest.approx(np.mean(scores))
+    chosen = [r for r in rows if r["is_best"]]
+    assert len(chosen) == 1 and chosen[0]["score"] == max(r["score"] for r in rows)
+    assert f"'maxDepth': {model.stages[-1].getOrDefault('maxDepth')}" in chosen[0]["params"]
+
+
 def test_unknown_model_and_task(labelled):
     with pytest.raises(ValueError):
         ML.train(labelled, "customer_id", ["a"], "nope", "classification")
