@@ -6,6 +6,7 @@ import threading
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -37,6 +38,27 @@ def test_kmeans_finds_blobs_and_is_stable(points):
     assert J.silhouette(a) > 0.9 and J.calinski_harabasz(a) > 100
 
 
+def test_shared_passes_fit_as_mllib(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 3, (500, 3)).round(1)
+    frame = spark.createDataFrame([(i, Vectors.dense(v)) for i, v in enumerate(x)], ["customer_id", "features"]).repartition(3, "customer_id")
+    frame = frame.localCheckpoint()
+    best = J._best_starts(frame, [2, 5], 42, 4, 7, 1e-4)
+    for k, (start, centres, cost) in best.items():
+        models = [KMeans(k=k, seed=42 + i, maxIter=7, tol=1e-4).fit(frame) for i in range(4)]
+        costs = [m.summary.trainingCost for m in models]
+        assert start == int(np.argmin(costs)) and cost == pytest.approx(min(costs))
+        assert np.allclose(centres, models[start].clusterCenters())
+
+
+def test_sweep_passes_do_not_grow_with_its_fits(points, monkeypatch):
+    passes = []
+    reduce = J.RDD.treeReduce
+    monkeypatch.setattr(J.RDD, "treeReduce", lambda rdd, f: passes.append(1) or reduce(rdd, f))
+    J.sweep(points.select("customer_id", "features"), 6, n_init=4)
+    assert 0 < len(passes) <= 100  # 20 fits, of at most 100 iterations
+
+
 def _plain_ward(x):
     """Clusters as lists of rows, merged where the sum of squares grows least: (heights, clusters at each count)."""
     groups, heights, at = [[i] for i in range(len(x))], [], {}
