@@ -324,6 +324,26 @@ def test_label_encoding_keeps_columns_of_any_name(spark):
     assert sorted(again.columns) == sorted(out.columns)
 
 
+def test_frequent_labels_do_not_gather_in_one_task(spark, monkeypatch):
+    values = ["x"] * 1500 + [None] * 500 + [f"l{i:04d}" for i in range(1000)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id LONG, c STRING").repartition(4)
+    codes = {v: n for n, v in enumerate(sorted({v for v in values if v}))}
+    want = sorted((i, v, codes.get(v)) for i, v in enumerate(values))
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "-1")
+    try:
+        plain = G.label_encode(df, ["c"])
+        assert "SortMergeJoin" not in plain._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, plain.collect())) == want
+        monkeypatch.setattr(G, "MAX_SENT_LABELS", 10)
+        many = G.label_encode(df, ["c"])
+        assert many.columns == ["id", "c", "c_encoded"]
+        assert sorted(map(tuple, many.collect())) == want
+    finally:
+        spark.conf.set(conf, before)
+
+
 def test_years_reach_the_scan(spark, sf):
     orders = spark.read.parquet(f"{sf}/orders.parquet")
     plan = orders.filter(schemas.in_years(orders, "o_orderdate", 1997, 1997))._jdf.queryExecution().executedPlan().toString()
