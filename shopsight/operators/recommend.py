@@ -390,6 +390,114 @@ def tfidf(texts: DataFrame, text: str = "content", min_token_len: int = 2) -> Da
     return raw.join(length, "content").select("content", "token", ratio(F.col("w"), F.col("_len")).alias("weight"))
 
 
+#: (text, category) pairs that are known by a number, and cells of the table of their vectors that every task holds.
+FEW_TEXTS, _TEXT_CELLS = 4096, 4_000_000
+#: Users whose cosines with all texts a task holds at a time.
+_USERS_AT_ONCE = 512
+
+
+class TextTable:
+    """The distinct (text, category) pairs of some purchases, at most ``FEW_TEXTS``, and the vectors of their texts.
+
+    ``vectors`` has a row for each pair, ``kind`` the position of its category in ``categories``, sorted. The texts
+    that can be recommended are ``offered``, unit rows ordered by ``offered_kind``.
+    """
+
+    def __init__(self, pairs: list, codes: DataFrame, texts: dict, weights: list, tokens: list) -> None:
+        self.codes = codes
+        self.categories = sorted({category for _, category in pairs})
+        position = {c: i for i, c in enumerate(self.categories)}
+        self.kind = np.array([position[category] for _, category in pairs])
+        row, column = {t: i for i, t in enumerate(texts)}, {t: i for i, t in enumerate(tokens)}
+        vectors = np.zeros((len(texts), len(tokens)))
+        for content, token, weight in weights:
+            vectors[row[content], column[token]] = weight
+        self.vectors = vectors[[row[content] for content, _ in pairs]]
+        # a text without a word is not offered
+        kinds = np.array([position[category] for category in texts.values()])
+        order = [i for i in np.argsort(kinds, kind="stable") if vectors[i].any()]
+        self.offered, self.offered_kind = S.unit_rows(vectors[order]), kinds[order]
+
+    @classmethod
+    def of(cls, purchases: DataFrame, min_token_len: int) -> TextTable | None:
+        """The table, or None if there are too many texts, categories or words."""
+        names = ("content", "category")
+        pairs = sorted(tuple(r) for r in purchases.select(*names).distinct().limit(FEW_TEXTS + 1).collect())
+        if len(pairs) > FEW_TEXTS or len({c for _, c in pairs}) > S.FEW_COLUMNS:
+            return None
+        schema = T.StructType([*[purchases.schema[c] for c in names], T.StructField("code", T.IntegerType())])
+        codes = purchases.sparkSession.createDataFrame([(*p, i) for i, p in enumerate(pairs)], schema)
+        weights = materialize(tfidf(codes.groupBy("content").agg(F.max("category").alias("category")), min_token_len=min_token_len))
+        tokens = [r[0] for r in weights.select("token").distinct().limit(_TEXT_CELLS + 1).collect()]
+        if len(tokens) * len(pairs) > _TEXT_CELLS:
+            return None
+        rows = [tuple(r) for r in weights.select("content", "token", "weight").collect()]
+        # the pairs ascend, so a text keeps its largest category
+        return cls(pairs, codes, dict(pairs), rows, sorted(tokens))
+
+
+def _packed_content_scores(purchases: DataFrame, table: TextTable, n: int, targets: DataFrame | None) -> DataFrame:
+    """``top_n`` of the content scores: purchases, sorted by user, stream through a task that holds the texts.
+
+    A user's purchases are counted by text as they pass, so no list of them is held, and no candidate leaves the task.
+    """
+    items = np.empty(len(table.categories), object)
+    items[:] = table.categories
+    vectors, kind, offered = table.vectors, table.kind, table.offered
+    kinds, firsts = np.unique(table.offered_kind, return_index=True)
+    many = max(len(vectors), 1)
+    user, item = purchases.schema["user"].dataType, purchases.schema["category"].dataType
+    schema = T.StructType(
+        [
+            T.StructField("user", user),
+            T.StructField("item", item),
+            T.StructField("score", T.DoubleType()),
+            T.StructField("rank", T.IntegerType()),
+        ]
+    )
+
+    def listed(users: np.ndarray, who: np.ndarray, code: np.ndarray, times: np.ndarray) -> Iterator[pd.DataFrame]:
+        """Lists of ``users``; ``times`` is how often the user at ``who``, ascending, bought each ``code``."""
+        for start in range(0, len(users) if len(kinds) else 0, _USERS_AT_ONCE):
+            names = users[start : start + _USERS_AT_ONCE]
+            mine = slice(*np.searchsorted(who, (start, start + len(names))))
+            counts = np.zeros((len(names), many))
+            counts[who[mine] - start, code[mine]] = times[mine]
+            profiles = counts @ vectors
+            best = np.maximum.reduceat(S.unit_rows(profiles) @ offered.T, firsts, axis=1)
+            had = np.zeros((len(names), len(items)), bool)
+            had[who[mine] - start, kind[code[mine]]] = True
+            allowed = profiles.any(axis=1)[:, None] & ~had[:, kinds]
+            r, c, s, rank = S.top_per_row(best, allowed, items[kinds], n)
+            yield pd.DataFrame({"user": names[r], "item": items[kinds][c], "score": s, "rank": rank.astype("int32")})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # the last user of a batch may go on in the next one
+        last, held, held_times = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            names, codes = pdf["user"].to_numpy(), pdf["code"].to_numpy()
+            new = np.flatnonzero(np.r_[True, names[1:] != names[:-1]])
+            who = np.repeat(np.arange(len(new)), np.diff(np.r_[new, len(names)]))
+            users = names[new]
+            if last is not None:
+                goes_on = users[0] == last[0]
+                users = users if goes_on else np.concatenate((last, users))
+                who = np.concatenate((np.zeros(len(held), np.int64), who + (0 if goes_on else 1)))
+            key, at = np.unique(who * many + np.concatenate((held, codes)), return_inverse=True)
+            times = np.bincount(at, np.concatenate((held_times, np.ones(len(codes)))), len(key)).astype(np.int64)
+            who, code = key // many, key % many
+            done = int(np.searchsorted(who, len(users) - 1))
+            yield from listed(users[:-1], who[:done], code[:done], times[:done])
+            last, held, held_times = users[-1:], code[done:], times[done:]
+        if last is not None:
+            yield from listed(last, np.zeros(len(held), np.int64), held, held_times)
+
+    coded = purchases.join(F.broadcast(table.codes), ["content", "category"]).select("user", "code")
+    return _only(coded, targets).repartition("user").sortWithinPartitions("user").mapInPandas(run, schema)
+
+
 def content_based(
     tx: DataFrame,
     n: int = 5,
@@ -401,21 +509,21 @@ def content_based(
 ) -> DataFrame:
     """Cosine of a user's mean purchase vector with texts of categories never bought; best text per category.
 
-    Users and texts meet in blocks, so neither texts nor tokens have to fit anywhere
+    With few texts a user's purchases are text codes that meet the table of text vectors where they are;
+    otherwise users and texts meet in blocks, so neither texts nor tokens have to fit anywhere
     as a whole. A user none of whose texts has a word gets no list.
     """
     usable = [f for f in features if f in tx.columns]
     if not usable:
         raise ValueError("no content columns available")
-    # one pass over the transactions: purchases per user and text
-    bought = materialize(
-        tx.select(
-            F.col(customer).alias("user"), join_text(*usable).alias("content"), F.col(category).alias("category")
-        )
-        .filter(F.col("user").isNotNull() & F.col("category").isNotNull())
-        .groupBy("user", "content", "category")
-        .agg(F.count(F.lit(1)).cast("double").alias("rating"))
-    )
+    purchases = tx.select(
+        F.col(customer).alias("user"), join_text(*usable).alias("content"), F.col(category).alias("category")
+    ).filter(F.col("user").isNotNull() & F.col("category").isNotNull())
+    table = TextTable.of(purchases, min_token_len)
+    if table is not None:
+        return _packed_content_scores(purchases, table, n, targets)
+    # one more pass over the transactions: purchases per user and text
+    bought = materialize(purchases.groupBy("user", "content", "category").agg(F.count(F.lit(1)).cast("double").alias("rating")))
     texts = materialize(bought.groupBy("content").agg(F.max("category").alias("category")))
     weights = materialize(tfidf(texts, min_token_len=min_token_len))
     counts = _only(bought.groupBy("user", "content").agg(F.sum("rating").alias("rating")), targets)
@@ -551,15 +659,16 @@ def train_and_compare(
         train.select(F.col("user").alias(cols.customer), F.col("item").alias(cols.item)), [cols.customer, cols.item], "left_semi"
     )
     features = [cols.item, cols.season, cols.color, cols.size]
-    cf2 = item_based(train, 2 * n)
-    cb2 = content_based(bought, 2 * n, features, cols.item, cols.customer)
+    # each list is read several times below
+    cf2 = materialize(item_based(train, 2 * n))
+    cb2 = materialize(content_based(bought, 2 * n, features, cols.item, cols.customer))
     lists = {
         "item_based": cf2.filter(F.col("rank") <= n),
         "content_based": cb2.filter(F.col("rank") <= n),
-        "hybrid": hybrid(cf2, cb2, n),
+        "hybrid": materialize(hybrid(cf2, cb2, n)),
     }
     for k in components:
-        lists[f"svd_{k}"] = matrix_factorization(train, n, k)
+        lists[f"svd_{k}"] = materialize(matrix_factorization(train, n, k))
     out = None
     for name, recs in lists.items():
         row = evaluate(test, recs, rated).withColumn("method", F.lit(name))
