@@ -164,3 +164,46 @@ def test_item_scores_of_few_items_stay_with_the_user(spark, monkeypatch, few):
     for n in (2, None):
         got = {(r["user"], r["item"]): (round(r["score"], 9), r["rank"]) for r in RC.item_based(frame(spark, m), n).collect()}
         assert got == {k: v for k, v in want.items() if n is None or v[1] <= n}
+
+
+def test_a_set_of_items_is_compared_once(spark, packed_only, monkeypatch):
+    rng = np.random.default_rng(8)
+    kinds = (rng.random((6, 9)) < 0.6) * 1.0
+    kinds[0], kinds[1] = 0, 1  # the first rates nothing above 0
+    users = np.repeat(np.arange(6), [3, 1, 2, 4, 60, 90])
+    m = kinds[users]
+    df = frame(spark, np.where(m > 0, m, -1.0))
+    met, pairs = [], S.packed_pairs
+    monkeypatch.setattr(S, "packed_pairs", lambda a, b, *rest, **kw: met.append((a.count(), b.count())) or pairs(a, b, *rest, **kw))
+    common = m @ m.T
+    sims = common / np.maximum(m.sum(1)[:, None] + m.sum(1)[None, :] - common, 1)
+    np.fill_diagonal(sims, 0)
+    for who in (range(len(m)), [3, 5, 70]):
+        want = {
+            (u, v, common[u, v], k)
+            for u in who
+            for k, v in enumerate(sorted(np.flatnonzero(sims[u] > 0), key=lambda v, u=u: (-sims[u, v], v))[:3], 1)
+        }
+        some = spark.createDataFrame([(u,) for u in who], "user LONG")
+        got = RC.similar_users_by_items(df, some, 3).collect()
+        assert len(got) == len(want) and {(r["user"], r["other"], r["common_items"], r["rank"]) for r in got} == want
+    # five sets with an item, of which two have users enough for every list
+    assert met[0] == (len({tuple(x) for x in kinds[1:3]}), 5)
+
+
+@pytest.mark.parametrize("patterns", [0, 3, 12])
+def test_close_sets_are_found_by_their_patterns(monkeypatch, patterns):
+    monkeypatch.setattr(S, "_PATTERN", patterns)
+    monkeypatch.setattr(S, "_FIRST_SETS", 8)
+    monkeypatch.setattr(S, "_SETS", 32)
+    rng = np.random.default_rng(9)
+    m = np.unique((rng.random((400, 14)) < rng.random((400, 1))) * 1.0, axis=0)
+    m = rng.permutation(m[m.any(axis=1)])
+    names, asked = np.arange(len(m)) * 3, rng.permutation(len(m))[:50]
+    both = m[asked] @ m.T
+    s = both / (m[asked].sum(1)[:, None] + m.sum(1) - both)
+    want = {
+        (a, c, s[a, c]) for a in range(50) for c in sorted((c for c in np.flatnonzero(s[a] > 0) if c != asked[a]), key=lambda c, a=a: (-s[a, c], c))[:4]
+    }
+    got = list(zip(*S.best_of_sets(m[asked], names[asked], m, names, 4), strict=True))
+    assert len(got) == len(want) and set(got) == want
