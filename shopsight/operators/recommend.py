@@ -241,6 +241,45 @@ def user_based(
 
 #: The sum of two angles must exceed that of the threshold by this to count; it covers rounding.
 _ANGLE_MARGIN = 1e-6
+#: Blocks of users by angle there are at least a side, if the users suffice.
+_ANGLE_SIDES = 32
+
+
+def _angle_blocks(rows: DataFrame, size: int) -> tuple[DataFrame, list[float]]:
+    """Rows with the number ``at`` of their block, by rising ``angle``, and the largest angle of every block.
+
+    Classes of about ``size`` rows are cut at quantiles; one that has more, of equal angles, is dealt to several blocks.
+    """
+    count = math.ceil(rows.count() / size)
+    edges = sorted(set(rows.approxQuantile("angle", [i / count for i in range(1, count)], 0.1 / count))) if count > 1 else []
+    kind = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e < F.col("angle"))) if edges else F.lit(0)
+    classes = rows.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("most")).orderBy("kind").collect()
+    first, parts, most = [0] * (len(edges) + 1), [1] * (len(edges) + 1), []
+    for c in classes:
+        first[c["kind"]], parts[c["kind"]] = len(most), math.ceil(c["n"] / size)
+        most += [c["most"]] * parts[c["kind"]]
+    of = lambda numbers: F.get(F.array(*map(F.lit, numbers)), kind)
+    return rows.withColumn("at", of(first) + F.pmod(F.xxhash64("row"), of(parts)).cast("int")), most
+
+
+def _far_pairs(asked: DataFrame, held: DataFrame, widest: float, size: int, handler, schema: T.StructType) -> DataFrame:
+    """``handler(asked, held)`` on the block pairs that have all pairs of packed rows whose ``angle``s add up to more than ``widest``.
+
+    A row goes only to the blocks where some row's angle is large enough for its own.
+    """
+    (left, most_left), (right, most_right) = _angle_blocks(asked, size), _angle_blocks(held, size)
+
+    def sent(rows: DataFrame, own: str, other: str, most: list[float]) -> DataFrame:
+        near = F.size(F.filter(F.array(*map(F.lit, most)), lambda m: m + F.col("angle") <= widest)) if most else F.lit(0)
+        met = F.filter(F.sequence(F.lit(0), F.lit(len(most))), lambda b: (b >= near) & (b < len(most)))
+        # new names for the columns, because both sides may come from one frame
+        return rows.select(*[F.col(c).alias(c) for c in ("row", "codes", "vals")], F.col("at").alias(own), F.explode(met).alias(other))
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return S.empty_frame(schema) if a.empty or b.empty else handler(a.sort_values("row", ignore_index=True), b.sort_values("row", ignore_index=True))
+
+    met = (sent(left, "qb", "ub", most_right).groupBy("qb", "ub"), sent(right, "ub", "qb", most_left).groupBy("qb", "ub"))
+    return met[0].cogroup(met[1]).applyInPandas(run, schema)
 
 
 def _packed_user_scores(
@@ -299,8 +338,18 @@ def _packed_user_scores(
                 out.append(listed(names[rows], q[rows] == 0, num, den, np.rint(count).astype("int64")))
         return pd.concat(out[1:] or out)
 
-    asked = packed.only(targets)
-    parts = asked.mapInPandas(over_all, schema).unionByName(S.packed_pairs(asked, packed.rows, width, over_far, schema, block))
+    def angles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(angle=np.arccos(np.clip(S.unit_rows(S.unpacked(pdf, width)) @ middle, -1.0, 1.0)))
+
+    def angled(rows: DataFrame) -> DataFrame:
+        return materialize(rows.mapInPandas(angles, T.StructType([*rows.schema.fields, T.StructField("angle", T.DoubleType())])))
+
+    held = angled(packed.rows)
+    asked = held if targets is None else angled(packed.only(targets))
+    size = block or min(max(1, S._CELLS // max(1, width)), max(S._LEAST_ROWS, math.ceil(held.count() / _ANGLE_SIDES)))
+    far = _far_pairs(asked, held, widest, size, over_far, schema)
+    parts = asked.drop("angle").mapInPandas(over_all, schema).unionByName(far)
     summed = parts.groupBy("user", "item").agg(*[F.sum(c).alias(c) for c in ("num", "den", "raters")])
     return summed.filter(F.col("raters") > 0).select("user", "item", ratio(F.col("num"), F.col("den")).alias("score"))
 

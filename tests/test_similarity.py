@@ -207,3 +207,22 @@ def test_close_sets_are_found_by_their_patterns(monkeypatch, patterns):
     }
     got = list(zip(*S.best_of_sets(m[asked], names[asked], m, names, 4), strict=True))
     assert len(got) == len(want) and set(got) == want
+
+
+def test_users_meet_only_blocks_with_far_users(spark):
+    from pyspark.sql import types as T
+
+    angle = np.concatenate([np.full(150, 0.2), np.linspace(0.3, 1.0, 100), np.linspace(1.0, 1.4, 10)])
+    rows = pd.DataFrame({"row": np.arange(260), "codes": [[i] for i in range(260)], "vals": [[1.0]] * 260, "angle": angle})
+    some = spark.createDataFrame(rows, "row LONG, codes ARRAY<INT>, vals ARRAY<DOUBLE>, angle DOUBLE")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+
+    def pairs(a, b):
+        assert max(len(a), len(b)) <= 60
+        i, j = np.meshgrid(a["row"], b["row"], indexing="ij")
+        return pd.DataFrame({"a": i.ravel(), "b": j.ravel()})
+
+    far = {(i, j) for i, j in zip(*np.nonzero(angle[:, None] + angle > 1.5), strict=True)}
+    got = [(r["a"], r["b"]) for r in RC._far_pairs(some, some, 1.5, 20, pairs, schema).collect()]
+    assert len(got) == len(set(got)) and far <= set(got) and len(got) < 2 * len(far) < len(angle) ** 2 / 4
+    assert RC._far_pairs(some.limit(0), some, 1.5, 20, pairs, schema).count() == 0
