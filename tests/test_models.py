@@ -167,6 +167,31 @@ def test_tuning_scores_are_means_over_the_folds(labelled):
     assert f"'maxDepth': {model.stages[-1].getOrDefault('maxDepth')}" in chosen[0]["params"]
 
 
+def test_points_with_fewer_trees_are_read_off_one_fit(labelled, monkeypatch):
+    grid = {"maxIter": [2, 5], "stepSize": [0.1, 0.5], "maxDepth": [2]}
+    fits, fit = [], ML.Pipeline.fit
+    monkeypatch.setattr(ML.Pipeline, "fit", lambda self, *a: fits.append(1) or fit(self, *a))
+    _, table, _ = ML.tune(labelled, "customer_id", ["a", "b"], "xgboost", "classification", grid, folds=2)
+    assert len(fits) == 2 * 2 + 1  # and that of the best on all rows
+    train_df, _ = ML.hash_split(labelled, ["customer_id"], 20, 42)
+    data, evaluator = ML.with_folds(train_df, "customer_id", 2), ML._cv_evaluator("classification")
+    rows = table.collect()
+    assert [r["params"] for r in rows] == [str({"maxIter": n, "stepSize": x, "maxDepth": 2}) for n in (2, 5) for x in (0.1, 0.5)]
+    for r, (n, x) in zip(rows, [(2, 0.1), (2, 0.5), (5, 0.1), (5, 0.5)], strict=True):
+        pipeline = ML.build_pipeline(["a", "b"], "xgboost", "classification", params={"maxIter": n, "stepSize": x, "maxDepth": 2})
+        scores = [evaluator.evaluate(fit(pipeline, data.filter(F.col("fold") != i)).transform(data.filter(F.col("fold") == i))) for i in (0, 1)]
+        assert r["score"] == pytest.approx(np.mean(scores))
+
+
+def test_the_training_run_tunes_over_whole_grids(spark, sf, monkeypatch):
+    from shopsight.plans import q_models, training_run
+
+    asked = {}
+    monkeypatch.setattr(training_run, "train_all", lambda customers, grids=None: asked.update(grids or {}) or (None, None))
+    q_models.k18(spark, sf)
+    assert not set(asked) & set(ML.GRIDS) and set(asked) == {"linear_regression"}
+
+
 def test_unknown_model_and_task(labelled):
     with pytest.raises(ValueError):
         ML.train(labelled, "customer_id", ["a"], "nope", "classification")
