@@ -144,3 +144,17 @@ def test_als_lists_do_not_grow_with_the_history(spark):
     for user, all_of in want.items():
         best = sorted(all_of)[:3]
         assert [got.get((user, k + 1)) for k in range(len(best))] == [(i, pytest.approx(-s, abs=1e-5)) for s, i in best]
+
+
+def test_als_blocks_grow_with_the_ratings(spark, monkeypatch):
+    from pyspark.ml.recommendation import ALS
+
+    used, fit = [], ALS.fit
+    monkeypatch.setattr(ALS, "fit", lambda self, df: used.append((self.getNumUserBlocks(), self.getNumItemBlocks())) or fit(self, df))
+    rows = [(u, i, float(1 + (u * i) % 5)) for u in range(20) for i in range(8) if (u + i) % 3]
+    rated = spark.createDataFrame(rows, "user INT, item INT, rating DOUBLE")
+    RC.als_recommendations(rated, n=2, rank=2)
+    monkeypatch.setattr(RC, "ALS_RATINGS", 5)
+    RC.als_recommendations(rated, n=2, rank=2)
+    blocks = -(-len(rows) // 5)
+    assert used == [(10, 10), (blocks, blocks)]
