@@ -108,6 +108,25 @@ def test_ward_of_more_rows_than_leaves(spark, points):
     assert empty.count() == no_tree.count() == 0
 
 
+def test_the_run_does_not_repeat_the_starts_of_its_sweep(points, monkeypatch):
+    from shopsight.plans import data_run
+
+    frame = points.withColumns({c: F.col("customer_id") % (i + 2) + 5 * F.col("truth") for i, c in enumerate(data_run.SEGMENT_COLUMNS)})
+    searched, best = [], J._best_starts
+    monkeypatch.setattr(J, "_best_starts", lambda f, ks, *rest: searched.append(list(ks)) or best(f, ks, *rest))
+    labelled, table, model = data_run.add_segments(frame.drop("features"), 4)
+    assert searched == [[2, 3, 4]]
+    vectors = J.clustering_input(frame.drop("features"), "customer_id", data_run.SEGMENT_COLUMNS)
+    k = len(model.clusterCenters())
+    _, again = J.kmeans(vectors, k, 42)
+    assert searched[1:] == [[k]] and [list(c) for c in again.clusterCenters()] == [list(c) for c in model.clusterCenters()]
+    # fits cut off by the number of iterations are no answer
+    starts = {}
+    monkeypatch.setattr(J, "_best_starts", lambda f, ks, seed, n, most, *rest: best(f, ks, seed, n, 1, *rest))
+    J.sweep(vectors, 4, starts=starts)
+    assert 4 not in starts
+
+
 def test_sweep_and_choice(points):
     k, table = J.choose_k(points.select("customer_id", "features"), 5)
     rows = {r["k"]: r for r in table.collect()}
